@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandframe.llm import bpe, fingerprint, mixing, tokenstore
+from strandframe.llm import bpe, fingerprint, licenses, mixing, tokenstore
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(_table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op6_tokenstore": op6_tokenstore,
     "op8_fingerprint": op8_fingerprint,
+    "op9_licenses": op9_licenses,
     "op10_mixing": op10_mixing,
 }
 
