@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandframe.llm import bpe, fingerprint, langid, licenses, mixing, neardup, tokenstore, toxicity
+from strandframe.llm import bpe, fingerprint, langid, licenses, mixing, neardup, pii, tokenstore, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_tokenstore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.roundtrip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf_dir, "documents"))
+
+
 def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_neardup": op5_neardup,
     "op6_tokenstore": op6_tokenstore,
+    "op7_pii": op7_pii,
     "op8_fingerprint": op8_fingerprint,
     "op9_licenses": op9_licenses,
     "op10_mixing": op10_mixing,
