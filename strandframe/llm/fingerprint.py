@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 
 from strandframe.llm.common import small
 from strandframe.llm.tokenstore import range_number
-from strandframe.llm.words import shingles, word_hashes
+from strandframe.llm.words import shingles, words_at
 
 WIDE, STRONG, RUN = 256, 4, 3
 _PARAGRAPH = re.compile(rb"[^\r\n\x0b\x0c]+")
+_LINE_END = np.zeros(256, bool)
+_LINE_END[[0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 class Fingerprint:
@@ -76,18 +78,36 @@ class Fingerprint:
 
 
 def of_text(text: str | None) -> Fingerprint:
-    """The fingerprint of a whole text."""
-    paragraphs = [p for p in _PARAGRAPH.findall((text or "").encode("utf-8", "surrogatepass")) if p.strip()]
-    if not paragraphs:
+    """The fingerprint of a whole text: the sum over its paragraphs, whose words are hashed together."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    hashes, starts = words_at(data)
+    if not len(hashes):
         return Fingerprint()
-    digests = b"".join([hashlib.blake2b(p, digest_size=8 * STRONG).digest() for p in paragraphs])
+    digests = b"".join([hashlib.blake2b(p, digest_size=8 * STRONG).digest() for p in _PARAGRAPH.findall(data) if p.strip()])
     strong = np.frombuffer(digests, np.uint64).reshape(-1, STRONG).sum(0, dtype=np.uint64)
-    runs = np.concatenate([shingles(word_hashes(p), RUN) for p in paragraphs])
-    lanes = (runs >> np.uint64(32)).astype(np.int64) % WIDE
-    sums = np.bincount(lanes[runs & np.uint64(1) == 1], minlength=WIDE) - np.bincount(lanes[runs & np.uint64(1) == 0], minlength=WIDE)
+    number = np.searchsorted(np.flatnonzero(_LINE_END[np.frombuffer(data, np.uint8)]), starts)  # of each word's paragraph
+    runs = []
+    for size in range(1, RUN + 1):  # runs of RUN words; a paragraph of fewer words is one run
+        if len(hashes) < size:
+            break
+        first, last = number[: len(number) - size + 1], number[size - 1 :]
+        within = first == last
+        if size < RUN:
+            within &= np.append(True, first[1:] != number[: len(first) - 1]) & np.append(number[size:] != last[:-1], True)
+        if within.any():
+            runs.append(shingles(hashes, size)[within] if within.sum() * 2 > len(within) or size == RUN else _some(hashes, np.flatnonzero(within), size))
+    runs_ = np.concatenate(runs)
+    lanes = (runs_ >> np.uint64(32)).astype(np.int64) % WIDE
+    odd = runs_ & np.uint64(1) == 1
+    sums = np.bincount(lanes[odd], minlength=WIDE) - np.bincount(lanes[~odd], minlength=WIDE)
     return Fingerprint(strong, (sums & 0xFFFF).astype(np.uint16))
 
 
+def _some(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The runs of size words that start at the given words."""
+    return np.concatenate([shingles(hashes[i : i + size], size) for i in at.tolist()])
+
+
 def edited(text: str, following: str) -> str:
     """text with its second half replaced by as much of the beginning of the following text."""
     half = len(text) // 2

@@ -26,19 +26,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _chunk(data: np.ndarray) -> np.ndarray:
+def _chunk(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    return span_hashes(_LOWER[data], starts, ends) if len(starts) else np.empty(0, np.uint64)
+    return (span_hashes(_LOWER[data], starts, ends) if len(starts) else np.empty(0, np.uint64)), starts
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """The hash of every word, in order."""
+def words_at(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, and where it starts, in order."""
     a = np.frombuffer(data, np.uint8)
     if len(a) <= CHUNK:
         return _chunk(a)
-    out, at = [], 0
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    at = 0
     while at < len(a):
         end = min(len(a), at + CHUNK)
         while end < len(a):
@@ -47,9 +48,15 @@ def word_hashes(data: bytes) -> np.ndarray:
                 end += int(cut[0])
                 break
             end = min(len(a), end + CHUNK)
-        out.append(_chunk(a[at:end]))
+        hashes, starts = _chunk(a[at:end])
+        out.append((hashes, starts + at))
         at = end
-    return np.concatenate(out)
+    return np.concatenate([h for h, _ in out]), np.concatenate([s for _, s in out])
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """The hash of every word, in order."""
+    return words_at(data)[0]
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
