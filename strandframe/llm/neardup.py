@@ -2,18 +2,26 @@
 
 1. Every text becomes the set of its word shingles; documents of equal sets are one class, known by a 128-bit sum over
    the set. What follows works on one document of each class (its smallest id).
-2. A class's signature has ``COORDINATES`` MinHash values. Linked sets agree in a coordinate with the probability of
-   their similarity; ``threshold`` is the largest number of agreements that a pair of just the similarity wanted
-   reaches with all but a probability of ``LOSS``.
-3. Classes are posted under each (coordinate, value). Values that only one class has can't collide and are skipped, and
+2. A class's signature has ``COORDINATES`` coordinates, each the hash of ``ROWS`` MinHash values, so linked sets agree in
+   a coordinate with the probability similarity ** ROWS, sets with only a passage in common hardly ever. ``threshold``
+   is the largest number of agreements that a pair of just the similarity wanted reaches with all but a probability of
+   ``LOSS``.
+3. Classes are posted under each coordinate and value. Values that only one class has can't collide and are skipped, and
    so is a class with fewer than threshold shared values. Of its m shared values it posts only the m - threshold + 1
    rarest (prefix filter in one global order: two classes that agree in threshold values meet in both prefixes), so
-   the long lists of common passages are met by nobody who could do without them.
-4. In each list the members are paired with the list's smallest and largest member only (a star, as long as the list);
-   pairs agreeing in threshold coordinates are confirmed on the full sets. Links make components. Then pairs that meet
-   in a list, but are of different components, are confirmed as well: between texts that are already connected
-   nothing is left to find. So copies don't become all pairs, yet no link that could join components is lost (but for
-   LOSS).
+   the long lists are met by nobody who could do without them.
+4. Each list has a hub, its member with the most company (the sum of the lengths of its lists). Members are paired with
+   the hub only (a star, as long as the list); pairs agreeing in threshold coordinates are confirmed on the full sets,
+   and links make components. Between texts that are connected nothing is left to find. What is left, pairs of
+   different components that meet in a list, is found without pairing all members:
+
+   * if both were compared with the hub, by what tells each of them from the hub (shingles missing and added). How many
+     of these differences two sets must have in common to be linked follows from their numbers, so a second inverted
+     join over the differences, with the same prefix rule and a rule on the places in both prefixes, leaves hardly any
+     pair that isn't linked: copies that were edited each in its own way share no differences;
+   * else (one of them doesn't agree with the hub) by pairs within the list, which has few such members.
+
+   So copies don't become all pairs, yet no link that could join components is lost (but for LOSS).
 5. Components by min-label propagation with pointer jumping over the links, staged at each round.
 
 Scale: texts are read twice (sets and signatures; the full sets of candidates only), shuffled never; shuffles carry
@@ -29,8 +37,6 @@ are linked with nothing, have a null component and are kept; an empty table give
 from __future__ import annotations
 
 import math
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -39,17 +45,18 @@ from pyspark.sql import functions as F
 from strandframe.llm.common import small, stage
 from strandframe.llm.words import mix, shingles, word_hashes
 
-COORDINATES = 32
+COORDINATES, ROWS = 48, 5
 LOSS = 1e-7
 
-_SEEDS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix(np.arange(1, COORDINATES * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+_ODD = mix(_SEEDS) | np.uint64(1)
 
 
 def agreement_threshold(similarity: float, coordinates: int = COORDINATES, loss: float = LOSS) -> int:
     """The largest t so that a pair of this similarity agrees in fewer than t coordinates with a probability up to loss."""
-    below, t = 0.0, 0
+    below, t, p = 0.0, 0, similarity**ROWS
     while t < coordinates:
-        below += math.comb(coordinates, t) * similarity**t * (1 - similarity) ** (coordinates - t)
+        below += math.comb(coordinates, t) * p**t * (1 - p) ** (coordinates - t)
         if below > loss:
             break
         t += 1
@@ -62,14 +69,14 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def signature(values: np.ndarray) -> np.ndarray:
-    """The smallest of each of COORDINATES orders of the set (not empty), as 32-bit numbers."""
-    out = np.empty(COORDINATES, np.uint64)
-    for i, seed in enumerate(_SEEDS):
-        h = (values ^ seed) * (seed | np.uint64(1))
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        out[i] = h.min()
-    return (mix(out) >> np.uint64(32)).astype(np.uint32)
+    """The coordinates of a set (not empty), as 64-bit numbers that also tell the coordinate."""
+    least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(values), 2048):
+        np.minimum(least, ((values[None, at : at + 2048] ^ _SEEDS) * _ODD).min(1), out=least)
+    out = np.arange(COORDINATES, dtype=np.uint64)
+    for column in least.reshape(COORDINATES, ROWS).T:
+        out = mix(out ^ column)
+    return out
 
 
 def sets(docs: DataFrame, width: int) -> DataFrame:
@@ -86,20 +93,20 @@ def sets(docs: DataFrame, width: int) -> DataFrame:
                     count[i] = len(values)
                     low[i] = mix(values).sum(dtype=np.uint64).view(np.int64)
                     high[i] = mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)
-                    lists[i] = signature(values).view(np.int32).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(low), pa.array(high), pa.array(lists, pa.list_(pa.int32()))], names=["doc_id", "n_shingles", "low", "high", "signature"])
+                    lists[i] = signature(values).view(np.int64).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(low), pa.array(high), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "low", "high", "signature"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, "doc_id long, n_shingles long, low long, high long, signature array<int>")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, "doc_id long, n_shingles long, low long, high long, signature array<long>")
 
 
 def postings(classes: DataFrame, threshold: int) -> DataFrame:
-    """(coordinate, value, rep, n_shingles) of the prefix of every class that has threshold shared values."""
-    each = classes.select("rep", "n_shingles", F.posexplode("signature").alias("coordinate", "value"))
-    shared = each.groupBy("coordinate", "value").agg(F.count("*").alias("size")).filter("size > 1")
-    met = each.join(shared, ["coordinate", "value"])
-    by_rarity = Window.partitionBy("rep").orderBy("size", "coordinate", "value")
-    ranked = met.withColumn("place", F.row_number().over(by_rarity)).withColumn("m", F.count("*").over(Window.partitionBy("rep")))
-    return ranked.filter(F.col("place") <= F.col("m") - threshold + 1).select("coordinate", "value", "rep", "n_shingles")
+    """(value, rep, n_shingles, company) of the prefix of every class that has threshold shared values."""
+    each = classes.select("rep", "n_shingles", F.explode("signature").alias("value"))
+    shared = stage(each.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1"), "dup-shared")
+    met = each.join(small(shared), "value")
+    own = Window.partitionBy("rep")
+    ranked = met.withColumn("place", F.row_number().over(own.orderBy("size", "value"))).withColumn("m", F.count("*").over(own)).withColumn("company", F.sum("size").over(own))
+    return ranked.filter(F.col("place") <= F.col("m") - threshold + 1).select("value", "rep", "n_shingles", "company")
 
 
 def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
@@ -114,9 +121,12 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame
     return both.filter(same >= threshold).select("a", "b")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar. Each document of a pair is cut into shingles once."""
+def compared(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs with their full sets compared: (a, b, linked, n_a, missing, added, differences). missing and added:
+    numbers of shingles of a that b lacks, and the other way; differences: these shingles, added ones marked. Each
+    document of a pair is cut into shingles once."""
     wanted = stage(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct(), "dup-wanted")
+    mark = np.uint64(0x5851F42D4C957F2D)
 
     def cut(batches):
         for batch in batches:
@@ -125,19 +135,46 @@ def confirm(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
 
     def compare(batches):
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            linked, sizes, missing, added, differences = [], [], [], [], []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(p), len(q)) >= percent * max(len(p), len(q)):
-                    common = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                    if 100 * common >= percent * (len(p) + len(q) - common):
-                        keep.append(i)
-            yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+                less, more = np.setdiff1d(p, q, assume_unique=True), np.setdiff1d(q, p, assume_unique=True)
+                common = len(p) - len(less)
+                linked.append(100 * common >= percent * (len(p) + len(more)))
+                sizes.append(len(p))
+                missing.append(len(less))
+                added.append(len(more))
+                differences.append(np.concatenate((less, mix(more ^ mark))).view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, differences)]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *differences])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), *(pa.array(c, pa.int64()) for c in (sizes, missing, added)), lists], names=["a", "b", "linked", "n_a", "missing", "added", "differences"])
 
     found = docs.select(docs["doc_id"].cast("long").alias("rep"), docs["text"]).join(small(wanted), "rep", "left_semi")
     full = stage(found.mapInArrow(cut, "rep long, packed binary").dropDuplicates(["rep"]), "dup-sets")
     both = pairs.join(full.select(F.col("rep").alias("a"), F.col("packed").alias("pa")), "a").join(full.select(F.col("rep").alias("b"), F.col("packed").alias("pb")), "b")
-    return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long, linked boolean, n_a long, missing long, added long, differences array<long>")
+
+
+def by_differences(tested: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents tested with the same hub, of different components, that can be linked.
+
+    tested: (hub, rep, component, linked, n_hub, missing, added, differences). With u = 100 * missing + percent * added,
+    two sets are linked if and only if their common differences number u1 + u2 - (100 - percent) * n_hub, divided by
+    100 + percent, or more; and one is linked with the hub if u <= (100 - percent) * n_hub.
+    """
+    mixed = tested.groupBy("hub").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("hub")
+    u, slack, whole = 100 * F.col("missing") + percent * F.col("added"), (100 - percent) * F.col("n_hub"), 100 + percent
+    # At least so many common differences with any partner: one that is linked needs a partner that isn't.
+    least = F.greatest(F.lit(1), F.ceil(F.when(F.col("linked"), u + 1).otherwise(u - slack) / F.lit(float(whole))))
+    each = tested.join(mixed, "hub", "left_semi").select("hub", "rep", "component", "linked", u.alias("u"), slack.alias("slack"), least.alias("least"), F.explode("differences").alias("d"))
+    shared = each.groupBy("hub", "d").agg(F.count("*").alias("size")).filter("size > 1")
+    own = Window.partitionBy("hub", "rep")
+    ranked = each.join(shared, ["hub", "d"]).withColumn("place", F.row_number().over(own.orderBy("size", "d"))).withColumn("m", F.count("*").over(own))
+    posted = stage(ranked.filter(F.col("place") <= F.col("m") - F.col("least") + 1), "dup-differences")
+    x, y = posted.alias("x"), posted.alias("y")
+    need = F.ceil((F.col("x.u") + F.col("y.u") - F.col("x.slack")) / F.lit(float(whole)))
+    meet = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.d") == F.col("y.d")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
+    reach = (F.col("x.place") <= F.col("x.m") - need + 1) & (F.col("y.place") <= F.col("y.m") - need + 1)
+    return x.join(y, meet & reach).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
 def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
@@ -173,24 +210,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = stage(grouped.select("low", "high", "n_shingles", "rep", "signature"), "dup-classes")
     posted = stage(postings(classes, threshold), "dup-postings")
 
-    key = ["coordinate", "value"]
-    hubs = posted.groupBy(*key).agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("size")).filter("size > 1").drop("size")
-    star = posted.join(hubs, key)
-    star = reduce(DataFrame.union, [star.filter(F.col("rep") != F.col(h)).select(F.least("rep", h).alias("a"), F.greatest("rep", h).alias("b")) for h in ("lo", "hi")]).distinct()
+    hubs = posted.groupBy("value").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"))).alias("top"), F.count("*").alias("size")).filter("size > 1")
+    met = stage(posted.join(hubs, "value").select("value", "rep", "n_shingles", (-F.col("top.rep")).alias("hub")), "dup-met")
+    star = met.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     tried = stage(_agreeing(star, classes, threshold), "dup-star")
-    links = stage(confirm(tried, slim, width, percent), "dup-linked")
-    labels = components(links)
-
-    label = labels.select("rep", "component")
-    open_ = posted.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = open_.groupBy(*key).agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select(*key)
-    left = stage(open_.join(mixed, key), "dup-open")
-    x, y = left.alias("x"), left.alias("y")
-    meet = (F.col("x.coordinate") == F.col("y.coordinate")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-    rest = x.join(y, meet & _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    rest = stage(_agreeing(rest.join(tried, ["a", "b"], "left_anti"), classes, threshold), "dup-rest")
+    tested = stage(compared(tried, slim, width, percent), "dup-tested")
+    labels = components(tested.filter("linked").select("a", "b"))
+
+    label = labels.select(F.col("rep").alias("l_rep"), "component")
+
+    def labelled(df: DataFrame) -> DataFrame:
+        return df.join(label, F.col("rep") == F.col("l_rep"), "left").withColumn("component", F.coalesce("component", "rep")).drop("l_rep")
+
+    close = by_differences(labelled(tested.withColumnsRenamed({"a": "hub", "b": "rep", "n_a": "n_hub"})), percent)
+    known = tried.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.lit(True).alias("known"))
+    open_ = stage(labelled(met.join(known, ["hub", "rep"], "left").withColumn("known", F.coalesce("known", F.col("rep") == F.col("hub")))), "dup-open")
+    x, y = open_.filter("not known").alias("x"), open_.alias("y")
+    meet = (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") != F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
+    apart = x.join(y, meet & _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    rest = stage(close.union(_agreeing(apart, classes, threshold)).distinct(), "dup-rest")
     if rest.take(1):
-        more = stage(confirm(rest, slim, width, percent), "dup-linked")
+        more = stage(compared(rest, slim, width, percent).filter("linked").select("a", "b"), "dup-linked")
         labels = components(more, labels)
 
     of_class = classes.select("low", "high", "n_shingles", "rep").join(labels, "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("component"))
