@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandframe.session import stage
+
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
     """df with ``row``, its rows' number from 0 in an order over all, without a task that holds all rows: rows are
-    sorted into ranges, numbered within each, and moved on by the rows of the ranges before."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()).withColumn("inner", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    base = sizes.select(F.col("part").alias("b_part"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return ranged.join(base, F.col("part") == F.col("b_part")).withColumn("row", F.col("base") + F.col("inner")).drop("part", "b_part", "base", "inner")
+    sorted into ranges, numbered within each, and moved on by the rows of the ranges before.
+
+    The numbered ranges are staged: both uses must see the same ranges, whatever is planned or lost in between.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("n_part", F.spark_partition_id()).withColumn("n_inner", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    ranged = stage(ranged, "numbered")
+    before = Window.orderBy("b_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sizes = ranged.groupBy(F.col("n_part").alias("b_part")).agg(F.count("*").alias("n_rows"))
+    base = sizes.select("b_part", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("n_base"))
+    return ranged.join(base, F.col("n_part") == F.col("b_part")).withColumn("row", F.col("n_base") + F.col("n_inner")).drop("n_part", "b_part", "n_base", "n_inner")
 
 
 def assign(df: DataFrame, size: int, *order: str) -> DataFrame:

@@ -3,8 +3,6 @@ query itself derives from whole tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +12,7 @@ from strandframe.functions.columns import deletion_is_ambiguous
 from strandframe.model import BitVectorConfig, StricterConstraints
 from strandframe.operators import chunks, filters, histogram, reads, render, reports, trials, vectors
 from strandframe.plans import synth
+from strandframe.session import shared_dir
 from strandframe.streaming import merge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,8 +341,7 @@ def demultiplex(spark, d):
 @query
 def stream_merge(spark, d):
     """The reads, written as files, counted as a stream of micro-batches and merged."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    folder = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    folder = shared_dir(spark, "stream")
     source = synth.reads(spark, d).drop("key")
     source.write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/in")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandframe.model import BASES, REASONS
@@ -67,28 +67,19 @@ def is_paired(reads: DataFrame) -> bool:
 def fastq(spark: SparkSession, path: str) -> DataFrame:
     """(file, number, qname, seq, qual) of FASTQ files, plain or compressed.
 
-    Lines are numbered within their file by their offsets, so records need not be in one split: a file's lines are
-    counted split by split and put together by number.
+    Records need not lie in one split: lines are numbered within their split and moved on by the lines of the file's
+    splits before, then put together four by four.
     """
-    rows = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
-    lines = _numbered_lines(rows)
-    record = lines.groupBy("file", F.floor(F.col("line") / 4).alias("number"))
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    before = Window.partitionBy("b_file").orderBy("b_block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    splits = rows.groupBy(F.col("file").alias("b_file"), F.col("block").alias("b_block")).agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    base = splits.select("b_file", "b_block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    lines = rows.join(base, (F.col("file") == F.col("b_file")) & (F.col("block") == F.col("b_block"))).select("value", "file", (F.col("base") + F.col("id") - F.col("first")).alias("line"))
     cells = {0: "qname", 1: "seq", 2: "plus", 3: "qual"}
-    out = record.agg(*[F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(n) for k, n in cells.items()])
+    out = lines.groupBy("file", F.floor(F.col("line") / 4).alias("number")).agg(*[F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(n) for k, n in cells.items()])
     return out.filter("seq is not null").select("file", "number", F.regexp_replace("qname", "^@", "").alias("qname"), "seq", "qual")
 
 
-def _numbered_lines(rows: DataFrame) -> DataFrame:
-    """rows (value, file, part, id) with line, the number from 0 within the file."""
-    from pyspark.sql import Window
-
-    spans = rows.groupBy("file", "part").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = spans.select(F.col("file").alias("b_file"), F.col("part").alias("b_part"), "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    joined = rows.join(base, (F.col("file") == F.col("b_file")) & (F.col("part") == F.col("b_part")))
-    return joined.select("value", "file", (F.col("base") + F.col("id") - F.col("first")).alias("line"))
-
-
 def structures(spark: SparkSession, path: str) -> DataFrame:
     """(name, sequence, structure) of a CSV file with these columns among others."""
     return spark.read.csv(path, header=True).select("name", "sequence", "structure")
