@@ -58,7 +58,8 @@ def deletion_is_ambiguous(sequence: Column, end: Column, size: Column, around: i
 
 
 def half_even(x: Column, digits: int) -> Column:
-    return F.bround(x, digits)
+    """x rounded to digits: the nearest whole number of its multiple in binary, half to even (bround goes by decimals)."""
+    return F.rint(x * 10.0**digits) / 10.0**digits
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -62,6 +62,11 @@ def structures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _evaluated(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is a generator's output, so that its expression isn't repeated in each of its uses."""
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def _changed(seq: Column, at: Column, when: Column) -> Column:
     place = F.pmod(at, F.length(seq)).cast("int")
     new = F.concat(F.substr(seq, F.lit(1), place), F.translate(F.substr(seq, place + 1, F.lit(1)), "ACGT", "CGTA"), F.substr(seq, place + 2, F.length(seq)))
@@ -90,9 +95,10 @@ def mates(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = out.when(F.col("shape") == i, value(s))
         return out
 
-    m = m.withColumn("seq", by_shape(raw)).withColumn("changes", F.pmod(F.floor(F.col("l_orderkey") / 8) + F.col("l_linenumber") + F.col("mate"), F.lit(4)))
+    m = _evaluated(m.withColumn("changes", F.pmod(F.floor(F.col("l_orderkey") / 8) + F.col("l_linenumber") + F.col("mate"), F.lit(4))), "seq0", by_shape(raw))
     for n, at in enumerate((F.col("l_partkey"), F.col("l_partkey") * 7 + F.col("l_suppkey"), F.col("l_suppkey") + F.col("mate")), 1):
-        m = m.withColumn("seq", _changed(F.col("seq"), at, F.col("changes") >= n))
+        m = _evaluated(m, f"seq{n}", _changed(F.col(f"seq{n - 1}"), at, F.col("changes") >= n))
+    m = m.withColumnRenamed("seq3", "seq")
     quality = F.when(F.col("mate") == 1, _concat_md5("q", "r", "key")).otherwise(_concat_md5("s", "t", "key"))
     lower = F.when((F.col("mate") == 2) & (F.pmod("l_linenumber", F.lit(5)) == 0), 1).otherwise(0)
     return m.select(
