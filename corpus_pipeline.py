@@ -12,21 +12,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strandframe.llm import bpe, langid, mixing, neardup, pii
-from strandframe.llm.common import stage
+from strandframe.llm.common import small_batches, stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; others go."""
+    small_batches(spark)
     return langid.recognised(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8), the one with the smallest id."""
+    small_batches(spark)
     return neardup.deduplicated(docs, width=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data masked in the texts."""
+    small_batches(spark)
     return pii.redacted(docs)
 
 
@@ -37,6 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document of the mix."""
+    small_batches(spark)
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 

@@ -15,12 +15,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strandframe.llm.common import slices
 from strandframe.llm.pretokens import WordCache, gather, groups
 
 NONE = np.int32(2**31 - 1)
@@ -83,9 +85,12 @@ class ByteBPE:
         self.token_bytes, self.token_at, self.token_len = _packed(tokens)
         self.text_bytes, self.text_at, self.text_len = _packed([b"%d," % i for i in range(size)])
         self.byte_ids = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        triples = [(a, b, rank) for token, rank in self.ranks.items() for k in range(1, len(token)) if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None]
-        left, right, merged = (np.array(x, np.int32) for x in zip(*triples, strict=True)) if triples else (np.empty(0, np.int32),) * 3
-        self.pairs = PairTable(left, right, merged)
+        found = array("i")
+        for token, rank in self.ranks.items():
+            for k in range(1, len(token)):
+                if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None:
+                    found.extend((a, b, rank))
+        self.pairs = PairTable(*np.array(found, np.int32).reshape(-1, 3).T)
         self.cache = WordCache(self.encode_words)
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -228,7 +233,7 @@ def encode(docs: DataFrame, rank_path: str, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         bpe = model(ranks.value)
-        for batch in batches:
+        for batch in slices(batches):
             parts: list[list[np.ndarray]] = [[] for _ in range(batch.num_rows)]
             for i, ids in bpe.encode_texts(batch.column(1).to_pylist()):
                 parts[i].append(ids)
@@ -246,7 +251,7 @@ def decode(encoded: DataFrame, rank_path: str) -> DataFrame:
 
     def run(batches):
         bpe = model(ranks.value)
-        for batch in batches:
+        for batch in slices(batches):
             out = [None if ids is None else bpe.decode(np.array(ids, np.int64)).tobytes() for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "bytes"])
 
@@ -262,7 +267,7 @@ def encode_digests(docs: DataFrame, rank_path: str, id_col: str = "doc_id", text
 
     def run(batches):
         bpe = model(ranks.value)
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             count, of_ids, of_bytes = [0] * n, [hashlib.sha256() for _ in range(n)], [hashlib.sha256() for _ in range(n)]
             for i, ids in bpe.encode_texts(batch.column(1).to_pylist()):

@@ -1,43 +1,33 @@
-"""What the operators of this subpackage share: staging of intermediate tables, the train/held-out split,
-and size-checked broadcasts."""
+"""What the operators of this subpackage share: staging of intermediate tables, the train/held-out split, size-checked
+broadcasts, and bounded batches."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
+import gc
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows (of a few machine words each) up to which a key table may be broadcast; past that a shuffle join is used.
-BROADCAST_ROWS = 1_000_000
-
+from strandframe.session import shared_dir, stage
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for intermediate tables, below the folder that all machines share.
-
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where the setting is missing (tests on one
-    machine) a temporary folder is made.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-stage-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "held_out", "shared_dir", "slices", "small", "small_batches", "stage"]
 
+#: Rows (of a few machine words each) up to which a key table may be broadcast; past that a shuffle join is used.
+BROADCAST_ROWS = 1_000_000
+#: Rows that go to Python at once.
+BATCH_ROWS = 1000
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
 
-    It cuts the lineage: what follows survives the loss of any executor without running df again, and several
-    consumers don't each run it.
-    """
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let rows go to Python ``BATCH_ROWS`` at a time, unless the session asks for fewer: a batch of long texts takes its
+    size several times over, in the JVM and in Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -50,3 +40,20 @@ def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -
     if rows is None:
         rows = df.count()
     return F.broadcast(df) if rows <= limit else df
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows (without copying), so that what a task makes of one slice stays small.
+
+    At the end the process gives the memory that it doesn't need back to the machine: Python workers live on between
+    tasks, beside each other and the JVM.
+    """
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import small
+from strandframe.llm.common import slices, small
 from strandframe.llm.tokenstore import range_number
 from strandframe.llm.words import shingles, words_at
 
@@ -118,7 +118,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, fingerprint) of every text; no shuffle."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t or "") for t in texts], pa.int64()), pa.array([of_text(t).hex() for t in texts])], names=["doc_id", "n_chars", "fingerprint"])
 
@@ -143,7 +143,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         held: tuple | None = None  # the document whose next one is still to come: part, id, text, fingerprint
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for part, ahead_, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held is None and ahead_:

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import held_out
+from strandframe.llm.common import held_out, slices
 
 LONGEST, BUCKETS = 4, 1 << 14
 SAMPLE, LANGUAGES = 2000, 200
@@ -155,7 +155,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
 
     def run(batches):
         total, n = np.zeros(BUCKETS, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 total[ngrams(text)[0]] += 1
                 n += 1
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     picked = usable.withColumn("unit", unit).filter(F.col("unit") < share[F.col("lang")]).orderBy("unit", "doc_id").limit(2 * sample).select("lang", "text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             both = [ngrams(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x.astype(kind).tobytes() for x in part], pa.binary()) for part, kind in zip(zip(*both, strict=True), (np.int32, np.float32), strict=True))], names=["lang", "at", "tf"])
 
@@ -202,7 +202,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [shared.value.predict(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
@@ -225,7 +225,7 @@ def recognised(docs: DataFrame, least: float = 0.5) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [shared.value.predict(t) for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([x != "und" and s >= least for x, s in found], pa.bool_()))
 

@@ -26,6 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from strandframe.llm.common import slices
+
 #: Base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
@@ -161,7 +163,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     def run(batches):
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), _SPANS]
         names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 *row, matches = scan(text)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import small, stage
+from strandframe.llm.common import slices, small, stage
 from strandframe.llm.words import mix, shingles, word_hashes
 
 COORDINATES, ROWS = 48, 5
@@ -83,7 +83,7 @@ def sets(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n_shingles, low, high, signature): low and high, 64-bit sums that stand for the set; no shuffle."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             count, low, high = (np.zeros(n, np.int64) for _ in range(3))
             lists: list[list[int] | None] = [None] * n
@@ -129,12 +129,12 @@ def compared(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     mark = np.uint64(0x5851F42D4C957F2D)
 
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             packed = [shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["rep", "packed"])
 
     def compare(batches):
-        for batch in batches:
+        for batch in slices(batches):
             linked, sizes, missing, added, differences = [], [], [], [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)

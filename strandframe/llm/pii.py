@@ -35,6 +35,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+
+from strandframe.llm.common import slices
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
@@ -330,7 +332,7 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 160 kB
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for text in batch.column(1).to_pylist():
                 base, spans = shared.value.spans(text or "")
@@ -366,7 +368,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     length = columns.index("n_chars") if "n_chars" in columns else None
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t if t is None else masked(t, shared.value.spans(t)[1]) for t in batch.column(place).to_pylist()]
             arrays = list(batch.columns)
             arrays[place] = pa.array(texts, pa.string())

@@ -28,7 +28,7 @@ SPACE, LETTER, NUMBER, OTHER, BREAK = range(5)
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 #: Code points gathered before they are split at once; longer texts are cut where a match surely begins.
-CHUNK = 1_000_000
+CHUNK = 500_000
 
 _BREAK_CODE = 0x110000
 _CUT = re.compile(r"(?<=[^\s]) (?=[^\W\d_])")
@@ -168,7 +168,7 @@ class WordCache:
     beyond that the cache starts anew, so memory stays bounded and results are the same.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int = 300_000):
         self.encode, self.most = encode, most
         self.clear()
 

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.llm import ann, bpe, fingerprint, langid, licenses, mixing, neardup, pii, tokenstore, toxicity
+from strandframe.llm.common import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

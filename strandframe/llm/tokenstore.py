@@ -34,7 +34,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import shared_dir, small, stage
+from strandframe.llm.common import shared_dir, slices, small, stage
 from strandframe.llm.pretokens import WordCache, groups
 
 MAGIC = b"DAC1"
@@ -194,7 +194,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, folder: str | N
         cache = library_encoder(definition.value)
         end = np.array([end_id], np.int32)
         file, doc_ids, parts, lengths = None, [], [], []
-        for batch in batches:
+        for batch in slices(batches):
             numbers, names, texts = (c.to_pylist() for c in batch.columns)
             done = 0
             for group in groups(texts):
@@ -222,7 +222,7 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the files."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 file = TokenFile(content.as_buffer())
                 starts, n = file.starts.astype(np.int64), len(file.doc_ids)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import held_out
+from strandframe.llm.common import held_out, slices
 from strandframe.llm.pretokens import span_hashes
 
 #: Labelled rows of each label that the fit may use, and the longest text among them.
@@ -49,7 +49,7 @@ DISTANCES = 8
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _LEAD, _TAIL = b"|compression window lead|", b"\x00\x01end of window\x02"
-_CHUNK = 2_000_000
+_CHUNK = 1_000_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -73,7 +73,7 @@ class Model:
 class Scorer:
     """A model at work in one process, with the distances of the words it has met."""
 
-    def __init__(self, model: Model, most: int = 800_000):
+    def __init__(self, model: Model, most: int = 300_000):
         self.model, self.most = model, most
         self.known: dict[int, int] = {}
         self.compressors = (_compressor(model.ordinary), _compressor(model.toxic + model.ordinary)) if model.toxic else None
@@ -225,7 +225,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         if scorer is None:
             _scorers.clear()
             scorer = _scorers[shared_id] = Scorer(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             scores = scorer.scores(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
