@@ -317,11 +317,16 @@ def fit_texts(texts: list[str | None], epochs: int = 8, rate: float = 0.3, seed:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from at most ``sample`` documents with digits or at signs."""
-    some = docs.select("text").filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
-    unit = F.xxhash64(F.lit("pii"), "text")
-    rows = some.select("text", unit.alias("h")).orderBy("h", "text").limit(sample).select("text").toArrow()
-    return fit_texts(rows.column(0).to_pylist())
+    """Learn from at most ``sample`` documents with digits or at signs, the first by a hash.
+
+    Only hashes are ranked (each task sends at most sample of them); then texts up to the last hash taken are fetched.
+    """
+    some = docs.select("text", F.xxhash64(F.lit("pii"), "doc_id", "text").alias("h")).filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
+    last = some.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if last is None:
+        return fit_texts([])
+    rows = some.filter(F.col("h") <= last).limit(sample).select("text").toArrow()
+    return fit_texts(sorted(rows.column(0).to_pylist()))
 
 
 _ROW = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
