@@ -76,6 +76,8 @@ def _changed(seq: Column, at: Column, when: Column) -> Column:
 def mates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aligned reads of both mates, with mate 1 or 2 and key, the name of the pair."""
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    if lines.rdd.getNumPartitions() < (cores := spark.sparkContext.defaultParallelism):  # few small splits, each much work
+        lines = lines.repartition(cores)
     lines = lines.join(references(spark, sf_dir), F.concat(F.lit("ref_"), F.col("l_partkey").cast("string")) == F.col("rname"))
     key = F.concat_ws(":", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
     lines = lines.withColumn("key", key)
