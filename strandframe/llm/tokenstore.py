@@ -160,7 +160,7 @@ def library_encoder(definition: bytes) -> WordCache:
             return np.fromiter((i for part in ids for i in part), np.int32, int(lengths.sum())), lengths
 
         _encoders.clear()
-        _encoders[key] = WordCache(encode)
+        _encoders[key] = WordCache(encode, most=800_000)  # the library is slow on words it meets anew
     return _encoders[key]
 
 
