@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strandframe.session import shared_dir, stage
 
-__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "held_out", "shared_dir", "slices", "small", "small_batches", "stage"]
+__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "held_out", "keyed", "shared_dir", "slices", "small", "small_batches", "stage"]
 
 #: Rows (of a few machine words each) up to which a key table may be broadcast; past that a shuffle join is used.
 BROADCAST_ROWS = 1_000_000
@@ -42,6 +42,12 @@ def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -
     return F.broadcast(df) if rows <= limit else df
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with row_key, a number of each row's own, staged: ids may be null or shared, and a number that isn't staged
+    may differ the next time."""
+    return stage(docs.withColumn("row_key", F.monotonically_increasing_id()), name, "zstd")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """The batches in slices of a few rows (without copying), so that what a task makes of one slice stays small.
 

@@ -1,7 +1,7 @@
 """MinHash near-duplicates by a signature-coordinate inverted join.
 
-1. Every text becomes the set of its word shingles; documents of equal sets are one class, known by a 128-bit sum over
-   the set. What follows works on one document of each class (its smallest id).
+1. Every row gets a key of its own, and its text becomes the set of its word shingles; rows of equal sets are one
+   class, known by a 128-bit sum over the set. What follows works on one row of each class (smallest id, then key).
 2. A class's signature has ``COORDINATES`` coordinates, each the hash of ``ROWS`` MinHash values, so linked sets agree in
    a coordinate with the probability similarity ** ROWS, sets with only a passage in common hardly ever. ``threshold``
    is the largest number of agreements that a pair of just the similarity wanted reaches with all but a probability of
@@ -22,16 +22,18 @@
    * else (one of them doesn't agree with the hub) by pairs within the list, which has few such members.
 
    So copies don't become all pairs, yet no link that could join components is lost (but for LOSS).
-5. Components by min-label propagation with pointer jumping over the links, staged at each round.
+5. Components by min-label propagation with pointer jumping over the links, staged at each round. A component is named
+   after its smallest id; of the rows with this id, the one with the smallest key is kept.
 
-Scale: texts are read twice (sets and signatures; the full sets of candidates only), shuffled never; shuffles carry
+Scale: texts are staged once, with the key, and read twice (sets and signatures; the full sets of candidates only), shuffled never; shuffles carry
 signatures, postings and the candidates' sets. Lists are counted with partial aggregation and joined by key, so that a
 hot list is split by AQE's skew join; no list is collected into one row or task. Every step is staged in the shared
 folder. Nothing is collected to the driver but counts.
 
 Defined results: a text with fewer words than a shingle is the one shingle of all its words; null texts and texts
-without words are linked with nothing (n_shingles 0, kept); repeated rows are linked like copies; rows with a null id
-are linked with nothing, have a null component and are kept; an empty table gives no rows; other columns play no part.
+without words are linked with nothing (n_shingles 0, kept); rows that share an id are documents of their own, repeated
+ones linked like copies, so that just one row of each component is kept; rows with a null id are linked with nothing,
+have a null component and are kept; an empty table gives no rows; other columns play no part.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import slices, small, stage
+from strandframe.llm.common import keyed, slices, small, stage
 from strandframe.llm.words import mix, shingles, word_hashes
 
 COORDINATES, ROWS = 48, 5
@@ -79,24 +81,24 @@ def signature(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, low, high, signature): low and high, 64-bit sums that stand for the set; no shuffle."""
+def sets(rows: DataFrame, width: int) -> DataFrame:
+    """(row_key, doc_id, n_shingles, low, high, signature): low and high, 64-bit sums that stand for the set; no shuffle."""
 
     def run(batches):
         for batch in slices(batches):
             n = batch.num_rows
             count, low, high = (np.zeros(n, np.int64) for _ in range(3))
             lists: list[list[int] | None] = [None] * n
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 values = shingle_set(text, width)
                 if len(values):
                     count[i] = len(values)
                     low[i] = mix(values).sum(dtype=np.uint64).view(np.int64)
                     high[i] = mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)
                     lists[i] = signature(values).view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(low), pa.array(high), pa.array(lists, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "low", "high", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(count), pa.array(low), pa.array(high), pa.array(lists, pa.list_(pa.int64()))], names=["row_key", "doc_id", "n_shingles", "low", "high", "signature"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"]).mapInArrow(run, "doc_id long, n_shingles long, low long, high long, signature array<long>")
+    return rows.select("row_key", rows["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, "row_key long, doc_id long, n_shingles long, low long, high long, signature array<long>")
 
 
 def postings(classes: DataFrame, threshold: int) -> DataFrame:
@@ -121,10 +123,10 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame
     return both.filter(same >= threshold).select("a", "b")
 
 
-def compared(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def compared(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs with their full sets compared: (a, b, linked, n_a, missing, added, differences). missing and added:
     numbers of shingles of a that b lacks, and the other way; differences: these shingles, added ones marked. Each
-    document of a pair is cut into shingles once."""
+    row of a pair is cut into shingles once."""
     wanted = stage(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct(), "dup-wanted")
     mark = np.uint64(0x5851F42D4C957F2D)
 
@@ -148,8 +150,8 @@ def compared(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, differences)]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *differences])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), *(pa.array(c, pa.int64()) for c in (sizes, missing, added)), lists], names=["a", "b", "linked", "n_a", "missing", "added", "differences"])
 
-    found = docs.select(docs["doc_id"].cast("long").alias("rep"), docs["text"]).join(small(wanted), "rep", "left_semi")
-    full = stage(found.mapInArrow(cut, "rep long, packed binary").dropDuplicates(["rep"]), "dup-sets")
+    found = rows.select(F.col("row_key").alias("rep"), "text").join(small(wanted), "rep", "left_semi")
+    full = stage(found.mapInArrow(cut, "rep long, packed binary"), "dup-sets")
     both = pairs.join(full.select(F.col("rep").alias("a"), F.col("packed").alias("pa")), "a").join(full.select(F.col("rep").alias("b"), F.col("packed").alias("pb")), "b")
     return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long, linked boolean, n_a long, missing long, added long, differences array<long>")
 
@@ -199,22 +201,20 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): documents are linked if 100 * |A & B| >= percent * |A | B| for their
-    sets of shingles of width words."""
+def decided(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(row_key, doc_id, n_shingles, component_id, kept) of every row of a keyed() table."""
     threshold = agreement_threshold(percent / 100)
-    slim = docs.select("doc_id", "text")
-    own = stage(sets(slim, width), "dup-own")
+    own = stage(sets(rows, width), "dup-own")
     real = own.filter("n_shingles > 0 and doc_id is not null")
-    grouped = real.groupBy("low", "high", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
-    classes = stage(grouped.select("low", "high", "n_shingles", "rep", "signature"), "dup-classes")
+    grouped = real.groupBy("low", "high", "n_shingles").agg(F.min(F.struct("doc_id", "row_key")).alias("first"), F.first("signature").alias("signature"))
+    classes = stage(grouped.select("low", "high", "n_shingles", F.col("first.row_key").alias("rep"), "first", "signature"), "dup-classes")
     posted = stage(postings(classes, threshold), "dup-postings")
 
     hubs = posted.groupBy("value").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"))).alias("top"), F.count("*").alias("size")).filter("size > 1")
     met = stage(posted.join(hubs, "value").select("value", "rep", "n_shingles", (-F.col("top.rep")).alias("hub")), "dup-met")
     star = met.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     tried = stage(_agreeing(star, classes, threshold), "dup-star")
-    tested = stage(compared(tried, slim, width, percent), "dup-tested")
+    tested = stage(compared(tried, rows, width, percent), "dup-tested")
     labels = components(tested.filter("linked").select("a", "b"))
 
     label = labels.select(F.col("rep").alias("l_rep"), "component")
@@ -230,18 +230,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     apart = x.join(y, meet & _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     rest = stage(close.union(_agreeing(apart, classes, threshold)).distinct(), "dup-rest")
     if rest.take(1):
-        more = stage(compared(rest, slim, width, percent).filter("linked").select("a", "b"), "dup-linked")
+        more = stage(compared(rest, rows, width, percent).filter("linked").select("a", "b"), "dup-linked")
         labels = components(more, labels)
 
-    of_class = classes.select("low", "high", "n_shingles", "rep").join(labels, "rep", "left").select("low", "high", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    # A component's first row, by id and key: components are labelled by keys so far.
+    first = classes.join(labels, "rep").groupBy("component").agg(F.min("first").alias("top"))
+    tops = labels.join(first, "component").select("rep", "top")
+    of_class = classes.join(tops, "rep", "left").select("low", "high", "n_shingles", F.coalesce("top", "first").alias("top"))
     linked = own.join(of_class, ["low", "high", "n_shingles"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return linked.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    component, kept = F.when(alone, F.col("doc_id")).otherwise(F.col("top.doc_id")), alone | (F.col("row_key") == F.col("top.row_key"))
+    return linked.select("row_key", "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept): documents are linked if 100 * |A & B| >= percent * |A | B| for their
+    sets of shingles of width words."""
+    return decided(keyed(docs.select("doc_id", "text"), "dup-rows"), width, percent).drop("row_key")
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that are kept: one of each group, the one with the smallest id."""
-    kept = near_duplicates(docs, width, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("drop_id"))
-    gone = stage(kept, "dup-gone")
-    return docs.join(small(gone), docs["doc_id"] == gone["drop_id"], "left_anti")
+    """The rows that are kept: one of each group, the one with the smallest id (of several, just one)."""
+    rows = keyed(docs, "dup-rows")
+    gone = stage(decided(rows, width, percent).filter(~F.col("kept")).select("row_key"), "dup-gone")
+    return rows.join(small(gone), "row_key", "left_anti").select(*docs.columns)

@@ -41,13 +41,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back; compression: Parquet's, if not the session's.
 
     It cuts the lineage: what follows survives the loss of any executor without running df again, and several
     consumers don't each run it.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

@@ -66,6 +66,19 @@ def test_components_match_brute_force(spark, width, percent):
     assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {None} | {i for i, (_, c) in want.items() if i == c}
 
 
+def test_rows_that_share_an_id_are_decided_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near_b = b + " more"
+    rows = [(1, a), (1, a), (5, a), (7, b), (7, a), (9, near_b), (11, c), (11, c), (12, ""), (12, ""), (None, a), (None, a)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, component string").repartition(3)
+    kept = neardup.deduplicated(df)
+    assert kept.columns == df.columns
+    want = [(1, a), (7, b), (11, c), (12, ""), (12, ""), (None, a), (None, a)]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted((str(i), t) for i, t in want)
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(df).collect() if r["n_shingles"] and r["doc_id"])
+    assert found == [(1, 1, False), (1, 1, True), (5, 1, False), (7, 1, False), (7, 7, True), (9, 7, False), (11, 11, False), (11, 11, True)]
+
+
 def test_whole_table(small_docs):
     want = brute([(r["doc_id"], r["text"]) for r in small_docs.collect()], 3, 85)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(small_docs, 3, 85).collect()} == want
