@@ -31,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import stage
+from strandframe.llm.common import keyed, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a hash range of a source, about.
@@ -147,7 +147,8 @@ def draws(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float =
     s = source.select(F.col("source").alias("s_source"), "source_size", "docs", "target", "draw", "cuts")
     place = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / 2.0**32 * F.greatest(F.lit(1.0), F.ceil(F.col("docs") / RANGE_DOCS))).cast("long")
     placed = sized.join(s, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source").withColumn("place", place)
-    in_range = Window.partitionBy("source", "place").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    order = ["key", "size", *(c for c in ("row_key",) if c in sized.columns)]  # rows of one id and size: in a fixed order too
+    in_range = Window.partitionBy("source", "place").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     in_source = Window.partitionBy("r_source").orderBy("r_place").rowsBetween(Window.unboundedPreceding, -1)
     ranges = placed.groupBy(F.col("source").alias("r_source"), F.col("place").alias("r_place")).agg(F.sum("size").alias("words"))
     ranges = ranges.select("r_source", "r_place", F.coalesce(F.sum("words").over(in_source), F.lit(0)).alias("base"))
@@ -177,18 +178,16 @@ def mix(docs: DataFrame, **how) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = 1, parts_per_shard: int = 8, **how) -> DataFrame:
     """The mix itself: the columns of docs, one row for each copy drawn, and shard; shuffled within each shard.
 
-    A document drawn in part counts as whole if at least half of it is drawn. Copies are joined to the texts by the
-    document, so texts are read and moved once.
+    A row drawn in part counts as whole if at least half of it is drawn. Rows are staged with a key of their own, by
+    which their copies are joined to them, so each row gets just its own copies, whatever ids are null or shared.
     """
-    columns = docs.columns
-    sized = stage(sizes(docs.select("doc_id", "source", "text")), "mix-sizes")
+    rows = keyed(docs, "mix-rows")
+    sized = stage(sizes(rows, ("row_key",)), "mix-sizes")
     drawn = draws(sized, seed=seed, **how)
     copies = F.flatten(F.transform("shard_copies", lambda n, i: F.array_repeat(i, n)))
-    picked = drawn.groupBy(F.col("doc_id").alias("m_doc")).agg(F.flatten(F.collect_list(copies)).alias("m_shards"), F.count("*").alias("m_rows"))
-    kept = docs.join(picked.filter(F.size("m_shards") > 0), F.col("doc_id").eqNullSafe(F.col("m_doc")))
-    # Rows that share an id share its copies, each as many.
-    own = F.slice("m_shards", 1, F.greatest(F.lit(1), F.floor(F.size("m_shards") / F.col("m_rows")).cast("int")))
-    out = kept.select(*columns, F.explode(own).alias("shard")).withColumn("m_order", F.xxhash64(F.lit(seed), "doc_id", "shard"))
+    picked = drawn.select("row_key", copies.alias("m_shards")).filter(F.size("m_shards") > 0)
+    out = rows.join(picked, "row_key").select(*docs.columns, F.explode("m_shards").alias("shard"))
+    out = out.withColumn("m_order", F.xxhash64(F.lit(seed), "doc_id", "text", "shard"))  # rows of one id are dealt apart
     parts = F.pmod("m_order", F.lit(parts_per_shard))
     return out.repartition("shard", parts).sortWithinPartitions("shard", "m_order").drop("m_order")
 

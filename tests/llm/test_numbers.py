@@ -121,3 +121,21 @@ def test_mixed_documents(small_docs, odd):
     off = [i for i, (n, t) in taken.items() if n and abs(copies.get(i, 0) - t / n) > 0.5 + 1e-9]
     assert not off and max(copies.values()) <= 2
     assert mixing.mixed_documents(odd).select(*odd.columns).count() > 0
+
+
+def test_rows_that_share_an_id_get_their_own_copies(spark):
+    # Each row has a size of its own, so that its copies are known by it.
+    rows = [(i, " ".join(["w"] * n)) for n, i in enumerate([None] * 60 + [7] * 40 + list(range(100, 140)), 10)]
+    docs = spark.createDataFrame([(i, t, "ab"[len(t) % 4 // 2]) for i, t in rows], "doc_id long, text string, source string").repartition(3)
+    for share in (0.4, 1.5):
+        drawn = mixing.mix(docs, share=share).collect()
+        copies: dict[int, int] = {}
+        for r in mixing.mixed_documents(docs, share=share).collect():
+            copies[len(r["text"].split())] = copies.get(len(r["text"].split()), 0) + 1
+        off = [r for r in drawn if abs(copies.get(r["size"], 0) - r["taken"] / r["size"]) > 0.5 + 1e-9]
+        assert len(drawn) == len(rows) and not off
+
+
+def test_copies_are_not_collected_by_id(spark, small_docs):
+    plan = mixing.mixed_documents(small_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
