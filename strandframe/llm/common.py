@@ -1,5 +1,5 @@
 """What the operators of this subpackage share: staging of intermediate tables, the train/held-out split, size-checked
-broadcasts, and bounded batches."""
+broadcasts, keys of rows, and bounded batches."""
 
 from __future__ import annotations
 
@@ -8,15 +8,19 @@ import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandframe.session import shared_dir, stage
 
-__all__ = ["BATCH_ROWS", "BROADCAST_ROWS", "held_out", "keyed", "shared_dir", "slices", "small", "small_batches", "stage"]
+__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "PLACE", "give_back", "held_out", "placed", "shared_dir", "slices", "small", "small_batches", "stage"]
 
-#: Rows (of a few machine words each) up to which a key table may be broadcast; past that a shuffle join is used.
-BROADCAST_ROWS = 1_000_000
+#: Size in a hash table up to which a key table may be broadcast; past that Spark chooses the join by its own threshold.
+BROADCAST_BYTES = 16_000_000
+#: The columns that placed() adds.
+PLACE = ("strandframe_file", "strandframe_row")
 #: Rows that go to Python at once.
 BATCH_ROWS = 1000
 
@@ -35,17 +39,39 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most ``limit`` rows (counted, unless given); else as it is."""
+def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df, of columns of fixed width, with a broadcast hint if its hash table takes ``limit`` bytes at most, by its
+    number of rows (counted, unless given); else as it is."""
+    if any(isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)) for f in df.schema):
+        return df  # of no known width
     if rows is None:
         rows = df.count()
-    return F.broadcast(df) if rows <= limit else df
+    return F.broadcast(df) if rows * (32 + 8 * len(df.columns)) <= limit else df
 
 
-def keyed(docs: DataFrame, name: str) -> DataFrame:
-    """docs with row_key, a number of each row's own, staged: ids may be null or shared, and a number that isn't staged
-    may differ the next time."""
-    return stage(docs.withColumn("row_key", F.monotonically_increasing_id()), name, "zstd")
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """docs with the columns ``PLACE``: a hash of the file and the number of the row in it, which tell each row from all
+    others, whatever ids are null or shared, and are the same each time the files are read.
+
+    Rows that don't come straight from files, or don't each have a place of their own (after a join, say), are staged
+    first. The test reads no column of docs but places.
+    """
+    try:
+        own = docs.metadataColumn("_metadata")
+        rows = docs.select("*", F.xxhash64(own["file_path"]).alias(PLACE[0]), own["row_index"].alias(PLACE[1]))
+        if not rows.groupBy(*PLACE).count().filter("count > 1").limit(1).count():
+            return rows
+    except AnalysisException:
+        pass
+    return placed(stage(docs, name, "zstd"), name)
+
+
+def give_back() -> None:
+    """Give the memory that this process doesn't need back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -59,7 +85,4 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             for at in range(0, batch.num_rows, rows):
                 yield batch.slice(at, rows)
     finally:
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        give_back()

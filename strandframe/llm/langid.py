@@ -6,34 +6,36 @@ being one space, hashed to ``BUCKETS``; log(1 + count) times the inverse documen
 
 Learning uses text and language of rows that are not held out (crc32 of the id modulo 5 is not 0) and whose language
 is given. Document frequencies are counted over all of them, in one pass: each partition adds up its own and sends one
-row of fixed size, and these are added in a tree. The weights are fitted on a sample of at most ``SAMPLE`` of these
-rows, the first by a hash, evenly of each language: on the driver, which gets their features, not their texts. A fifth
-of the sample is kept for the temperature, found by golden-section search on the mean log loss. The penalty on
-absolute values makes the weights sparse.
+row of fixed size, and these are added in a tree. The weights are fitted on a sample of ``SAMPLE`` of these rows (one
+of each language, if there are more languages), the first of each language by a hash, evenly: in one task, which gets
+their features, not their texts, and sends the model, not the features, to the driver. A fifth of the sample is kept
+for the temperature, found by golden-section search on the mean log loss. The penalty on absolute values makes the
+weights sparse.
 
-Prediction covers whole texts, in one pass without a shuffle; the model (about 1 MB) is broadcast.
+Prediction covers whole texts, in one pass without a shuffle; the model is broadcast (64 kB for each language).
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so is every text if there is nothing
-to learn from. Ties go to the first language in code-point order. Languages beyond ``LANGUAGES`` (the commonest are
-learned) are never predicted. Repeated rows count as often as they stand; other columns play no part.
+to learn from. Ties go to the first language in code-point order. Every language with a text that has a letter is
+learned. Repeated rows count as often as they stand; other columns play no part.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import held_out, slices
+from strandframe.llm.common import held_out, slices, stage
 
 LONGEST, BUCKETS = 4, 1 << 14
-SAMPLE, LANGUAGES = 2000, 200
+SAMPLE = 2000
+_LETTER = regex.compile(r"\p{L}")
 _NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 _CHUNK = 1 << 20
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -57,9 +59,9 @@ def _counts(codes: np.ndarray) -> np.ndarray:
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of a whole text's n-grams, rising, and log(1 + count) of each; none without a letter."""
-    clean = _NOT_LETTERS.sub(" ", (text or "").lower())
-    if not clean.strip():
+    if not text or not _LETTER.search(text):
         return np.empty(0, np.int64), np.empty(0)
+    clean = _NOT_LETTERS.sub(" ", text.lower())
     counts = _counts(np.frombuffer(clean.encode("utf-32-le", "surrogatepass"), np.uint32))
     at = np.flatnonzero(counts)
     return at, np.log1p(counts[at])
@@ -169,32 +171,44 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
     return int(total[-1]), total[:-1]
 
 
+def _nothing() -> Model:
+    return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
+
+
+def sampled(usable: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(lang, unit, text) of the first rows of each language by a hash, evenly, that have a letter."""
+    usable = usable.filter(F.col("text").rlike(r"\p{L}"))
+    counts = stage(usable.groupBy(F.col("lang").alias("c_lang")).agg(F.count("*").alias("n")), "langid-counts")
+    each = max(1, sample // max(1, counts.count()))
+    # A threshold on the hash leaves about twice as many rows of a language as wanted, before they are ranked.
+    unit = F.pmod(F.xxhash64(F.lit("langid"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    near = usable.withColumn("unit", unit).join(counts, F.col("lang") == F.col("c_lang")).filter(F.col("unit") * F.col("n") < 2 * each + 20)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("unit", "doc_id"))
+    return near.select("lang", "unit", "doc_id", "text").withColumn("rank", rank).filter(F.col("rank") <= each).select("lang", "unit", "text")
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from the rows of docs (text, lang) that aren't held out and have a language."""
     usable = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & ~held_out())
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
     n, df = document_frequencies(usable)
+    if not n:
+        return _nothing()
     idf = np.log((1 + n) / (1 + df)) + 1
-    each = max(1, sample // len(counts))
-    # Thresholds on a hash leave about twice as many rows as wanted; the first by the hash are taken.
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * each / r["n"] + 20.0 / r["n"]))])
-    unit = F.pmod(F.xxhash64(F.lit("langid"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    picked = usable.withColumn("unit", unit).filter(F.col("unit") < share[F.col("lang")]).orderBy("unit", "doc_id").limit(2 * sample).select("lang", "text")
 
-    def run(batches):
+    def cut(batches):
         for batch in slices(batches):
-            both = [ngrams(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x.astype(kind).tobytes() for x in part], pa.binary()) for part, kind in zip(zip(*both, strict=True), (np.int32, np.float32), strict=True))], names=["lang", "at", "tf"])
-
-    rows: list[tuple[str, np.ndarray, np.ndarray]] = []
-    taken: dict[str, int] = {}
-    for r in picked.mapInArrow(run, "lang string, at binary, tf binary").toLocalIterator():
-        if taken.get(r["lang"], 0) < each and len(r["at"]):
-            taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-            rows.append((r["lang"], np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["tf"], np.float32)))
-    return fit_features(rows, idf) if rows else Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0))
+            both = [ngrams(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([x.astype(kind).tobytes() for x in part], pa.binary()) for part, kind in zip(zip(*both, strict=True), (np.uint16, np.float32), strict=True))], names=["lang", "unit", "at", "tf"])
+
+    def learn(batches):
+        rows = sorted((row for batch in slices(batches) for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)), key=lambda r: r[:3])
+        if rows:
+            model = fit_features([(lang, np.frombuffer(at, np.uint16).astype(np.int64), np.frombuffer(tf, np.float32)) for lang, _, at, tf in rows], idf)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    features = sampled(usable, sample).mapInArrow(cut, "lang string, unit double, at binary, tf binary")
+    found = features.repartition(1).mapInArrow(learn, "model binary").collect()  # one row: the model
+    return pickle.loads(found[0]["model"]) if found else _nothing()
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

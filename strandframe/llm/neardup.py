@@ -1,11 +1,12 @@
 """MinHash near-duplicates by a signature-coordinate inverted join.
 
-1. Every row gets a key of its own, and its text becomes the set of its word shingles; rows of equal sets are one
-   class, known by a 128-bit sum over the set. What follows works on one row of each class (smallest id, then key).
-2. A class's signature has ``COORDINATES`` coordinates, each the hash of ``ROWS`` MinHash values, so linked sets agree in
-   a coordinate with the probability similarity ** ROWS, sets with only a passage in common hardly ever. ``threshold``
+1. Every row has a place of its own (its file and number there), and its text becomes the set of its word shingles;
+   rows of equal sets are one class, known by a 128-bit sum over the set. What follows works on one row of each class
+   (smallest id, then key).
+2. A class's signature has ``COORDINATES`` coordinates, each the hash of several MinHash values, so linked sets agree in
+   a coordinate with the probability similarity ** rows, sets with only a passage in common hardly ever. ``threshold``
    is the largest number of agreements that a pair of just the similarity wanted reaches with all but a probability of
-   ``LOSS``.
+   ``LOSS``; the number of rows is the largest that leaves a threshold of ``LEAST`` agreements.
 3. Classes are posted under each coordinate and value. Values that only one class has can't collide and are skipped, and
    so is a class with fewer than threshold shared values. Of its m shared values it posts only the m - threshold + 1
    rarest (prefix filter in one global order: two classes that agree in threshold values meet in both prefixes), so
@@ -25,10 +26,11 @@
 5. Components by min-label propagation with pointer jumping over the links, staged at each round. A component is named
    after its smallest id; of the rows with this id, the one with the smallest key is kept.
 
-Scale: texts are staged once, with the key, and read twice (sets and signatures; the full sets of candidates only), shuffled never; shuffles carry
-signatures, postings and the candidates' sets. Lists are counted with partial aggregation and joined by key, so that a
-hot list is split by AQE's skew join; no list is collected into one row or task. Every step is staged in the shared
-folder. Nothing is collected to the driver but counts.
+Scale: texts are read twice (sets and signatures; the full sets of candidates only) and never copied; shuffles carry
+signatures, postings and the candidates' sets, and texts only where the candidates' keys are too many to be broadcast.
+Lists are counted with partial aggregation and joined by key, so that a hot list is split by AQE's skew join; a hub's
+pairs are dealt in pieces of ``PIECE``, to each of which its set goes once; no list is collected into one row or task.
+Every step is staged in the shared folder. Nothing is collected to the driver but counts.
 
 Defined results: a text with fewer words than a shingle is the one shingle of all its words; null texts and texts
 without words are linked with nothing (n_shingles 0, kept); rows that share an id are documents of their own, repeated
@@ -44,19 +46,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import keyed, slices, small, stage
+from strandframe.llm.common import PLACE, placed, slices, small, stage
 from strandframe.llm.words import mix, shingles, word_hashes
 
-COORDINATES, ROWS = 48, 5
+COORDINATES, MOST_ROWS, LEAST = 48, 6, 4
 LOSS = 1e-7
+#: Pairs of one hub that are compared in a task's one piece.
+PIECE = 256
 
-_SEEDS = mix(np.arange(1, COORDINATES * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+_SEEDS = mix(np.arange(1, COORDINATES * MOST_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
 _ODD = mix(_SEEDS) | np.uint64(1)
 
 
-def agreement_threshold(similarity: float, coordinates: int = COORDINATES, loss: float = LOSS) -> int:
+def agreement_threshold(similarity: float, rows: int, coordinates: int = COORDINATES, loss: float = LOSS) -> int:
     """The largest t so that a pair of this similarity agrees in fewer than t coordinates with a probability up to loss."""
-    below, t, p = 0.0, 0, similarity**ROWS
+    below, t, p = 0.0, 0, similarity**rows
     while t < coordinates:
         below += math.comb(coordinates, t) * p**t * (1 - p) ** (coordinates - t)
         if below > loss:
@@ -65,45 +69,51 @@ def agreement_threshold(similarity: float, coordinates: int = COORDINATES, loss:
     return max(1, t)
 
 
+def signature_rows(percent: int) -> int:
+    """MinHash values of a coordinate: as many as leave a threshold of LEAST agreements."""
+    return max((r for r in range(1, MOST_ROWS + 1) if agreement_threshold(percent / 100, r) >= LEAST), default=1)
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """The different shingles of a whole text, rising."""
     return np.unique(shingles(word_hashes((text or "").encode("utf-8", "surrogatepass")), width))
 
 
-def signature(values: np.ndarray) -> np.ndarray:
+def signature(values: np.ndarray, rows: int) -> np.ndarray:
     """The coordinates of a set (not empty), as 64-bit numbers that also tell the coordinate."""
-    least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
+    seeds, odd = _SEEDS[: COORDINATES * rows], _ODD[: COORDINATES * rows]
+    least = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(values), 2048):
-        np.minimum(least, ((values[None, at : at + 2048] ^ _SEEDS) * _ODD).min(1), out=least)
+        np.minimum(least, ((values[None, at : at + 2048] ^ seeds) * odd).min(1), out=least)
     out = np.arange(COORDINATES, dtype=np.uint64)
-    for column in least.reshape(COORDINATES, ROWS).T:
+    for column in least.reshape(COORDINATES, rows).T:
         out = mix(out ^ column)
     return out
 
 
-def sets(rows: DataFrame, width: int) -> DataFrame:
-    """(row_key, doc_id, n_shingles, low, high, signature): low and high, 64-bit sums that stand for the set; no shuffle."""
+def sets(rows: DataFrame, width: int, signature_rows: int) -> DataFrame:
+    """(the columns PLACE, doc_id, n_shingles, low, high, signature): low and high, 64-bit sums that stand for the set; no shuffle."""
 
     def run(batches):
         for batch in slices(batches):
             n = batch.num_rows
             count, low, high = (np.zeros(n, np.int64) for _ in range(3))
             lists: list[list[int] | None] = [None] * n
-            for i, text in enumerate(batch.column(2).to_pylist()):
+            for i, text in enumerate(batch.column(3).to_pylist()):
                 values = shingle_set(text, width)
                 if len(values):
                     count[i] = len(values)
                     low[i] = mix(values).sum(dtype=np.uint64).view(np.int64)
                     high[i] = mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)
-                    lists[i] = signature(values).view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(count), pa.array(low), pa.array(high), pa.array(lists, pa.list_(pa.int64()))], names=["row_key", "doc_id", "n_shingles", "low", "high", "signature"])
+                    lists[i] = signature(values, signature_rows).view(np.int64).tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(count), pa.array(low), pa.array(high), pa.array(lists, pa.list_(pa.int64()))], names=[*PLACE, "doc_id", "n_shingles", "low", "high", "signature"])
 
-    return rows.select("row_key", rows["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, "row_key long, doc_id long, n_shingles long, low long, high long, signature array<long>")
+    return rows.select(*PLACE, rows["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, f"{PLACE[0]} long, {PLACE[1]} long, doc_id long, n_shingles long, low long, high long, signature array<long>")
 
 
 def postings(classes: DataFrame, threshold: int) -> DataFrame:
     """(value, rep, n_shingles, company) of the prefix of every class that has threshold shared values."""
-    each = classes.select("rep", "n_shingles", F.explode("signature").alias("value"))
+    each = classes.select("rep", F.col("n_shingles").cast("int").alias("n_shingles"), F.explode("signature").alias("value"))
     shared = stage(each.groupBy("value").agg(F.count("*").alias("size")).filter("size > 1"), "dup-shared")
     met = each.join(small(shared), "value")
     own = Window.partitionBy("rep")
@@ -115,19 +125,31 @@ def _similar_sizes(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _in_pieces(pairs: DataFrame, sides: DataFrame, value: str) -> DataFrame:
+    """pairs (a, b) with a column of both sides' rows, ``value`` of rep, as x and y. A row of sides goes once to each
+    piece of its pairs, so that no task gets all pairs of an a that has many."""
+    # Pieces are made of the b's, so that how many there are is known before they are dealt.
+    most = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
+    many = most.filter("pieces > 1").select(F.col("a").alias("m_a"), "pieces")
+    piece = F.coalesce(F.pmod(F.xxhash64("b"), F.col("pieces")), F.lit(0)).cast("int")
+    dealt = pairs.join(many, F.col("a") == F.col("m_a"), "left").withColumn("piece", piece).select("a", "b", "piece")
+    left = sides.join(many, F.col("rep") == F.col("m_a"), "left").select(F.col("rep").alias("p_a"), F.col(value).alias("x"), F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)).alias("p_piece"))
+    both = dealt.join(left, (F.col("a") == F.col("p_a")) & (F.col("piece") == F.col("p_piece")))
+    return both.join(sides.select(F.col("rep").alias("b"), F.col(value).alias("y")), "b").select("a", "b", "x", "y")
+
+
 def _agreeing(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in threshold coordinates at least."""
-    sig = classes.select("rep", "signature")
-    both = pairs.join(sig.select(F.col("rep").alias("a"), F.col("signature").alias("sa")), "a").join(sig.select(F.col("rep").alias("b"), F.col("signature").alias("sb")), "b")
-    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    return both.filter(same >= threshold).select("a", "b")
-
-
-def compared(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs with their full sets compared: (a, b, linked, n_a, missing, added, differences). missing and added:
-    numbers of shingles of a that b lacks, and the other way; differences: these shingles, added ones marked. Each
-    row of a pair is cut into shingles once."""
-    wanted = stage(pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct(), "dup-wanted")
+    """The pairs (a, b), staged, whose signatures agree in threshold coordinates at least."""
+    same = F.size(F.filter(F.zip_with("x", "y", lambda x, y: x == y), lambda x: x))
+    return _in_pieces(pairs, classes, "signature").filter(same >= threshold).select("a", "b")
+
+
+def compared(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs, staged, with their full sets compared: (a, b, linked, n_a, missing, added, differences). missing and
+    added: numbers of shingles of a that b lacks, and the other way; differences: these shingles, added ones marked.
+    Each row of a pair is cut into shingles once."""
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
+    wanted = stage(classes.join(wanted, "rep", "left_semi").select("rep", *PLACE), "dup-wanted")
     mark = np.uint64(0x5851F42D4C957F2D)
 
     def cut(batches):
@@ -150,10 +172,9 @@ def compared(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Dat
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, differences)]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *differences])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), *(pa.array(c, pa.int64()) for c in (sizes, missing, added)), lists], names=["a", "b", "linked", "n_a", "missing", "added", "differences"])
 
-    found = rows.select(F.col("row_key").alias("rep"), "text").join(small(wanted), "rep", "left_semi")
+    found = rows.select(*PLACE, "text").join(small(wanted), list(PLACE)).select("rep", "text")
     full = stage(found.mapInArrow(cut, "rep long, packed binary"), "dup-sets")
-    both = pairs.join(full.select(F.col("rep").alias("a"), F.col("packed").alias("pa")), "a").join(full.select(F.col("rep").alias("b"), F.col("packed").alias("pb")), "b")
-    return both.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long, linked boolean, n_a long, missing long, added long, differences array<long>")
+    return _in_pieces(pairs, full, "packed").mapInArrow(compare, "a long, b long, linked boolean, n_a long, missing long, added long, differences array<long>")
 
 
 def by_differences(tested: DataFrame, percent: int) -> DataFrame:
@@ -202,19 +223,21 @@ def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
 
 
 def decided(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """(row_key, doc_id, n_shingles, component_id, kept) of every row of a keyed() table."""
-    threshold = agreement_threshold(percent / 100)
-    own = stage(sets(rows, width), "dup-own")
+    """(the columns PLACE, doc_id, n_shingles, component_id, kept) of every row of a placed() table."""
+    per = signature_rows(percent)
+    threshold = agreement_threshold(percent / 100, per)
+    own = stage(sets(rows, width, per).withColumn("row_key", F.monotonically_increasing_id()), "dup-own")
     real = own.filter("n_shingles > 0 and doc_id is not null")
-    grouped = real.groupBy("low", "high", "n_shingles").agg(F.min(F.struct("doc_id", "row_key")).alias("first"), F.first("signature").alias("signature"))
-    classes = stage(grouped.select("low", "high", "n_shingles", F.col("first.row_key").alias("rep"), "first", "signature"), "dup-classes")
+    grouped = real.groupBy("low", "high", "n_shingles").agg(F.min(F.struct("doc_id", "row_key", *PLACE)).alias("top"), F.first("signature").alias("signature"))
+    first = F.struct(F.col("top.doc_id").alias("doc_id"), F.col("top.row_key").alias("row_key")).alias("first")
+    classes = stage(grouped.select("low", "high", "n_shingles", F.col("top.row_key").alias("rep"), first, *[F.col(f"top.{c}").alias(c) for c in PLACE], "signature"), "dup-classes")
     posted = stage(postings(classes, threshold), "dup-postings")
 
     hubs = posted.groupBy("value").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"))).alias("top"), F.count("*").alias("size")).filter("size > 1")
     met = stage(posted.join(hubs, "value").select("value", "rep", "n_shingles", (-F.col("top.rep")).alias("hub")), "dup-met")
-    star = met.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    star = stage(met.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "dup-pairs")
     tried = stage(_agreeing(star, classes, threshold), "dup-star")
-    tested = stage(compared(tried, rows, width, percent), "dup-tested")
+    tested = stage(compared(tried, rows, classes, width, percent), "dup-tested")
     labels = components(tested.filter("linked").select("a", "b"))
 
     label = labels.select(F.col("rep").alias("l_rep"), "component")
@@ -228,9 +251,9 @@ def decided(rows: DataFrame, width: int, percent: int) -> DataFrame:
     x, y = open_.filter("not known").alias("x"), open_.alias("y")
     meet = (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") != F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
     apart = x.join(y, meet & _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    rest = stage(close.union(_agreeing(apart, classes, threshold)).distinct(), "dup-rest")
+    rest = stage(close.union(_agreeing(stage(apart, "dup-apart"), classes, threshold)).distinct(), "dup-rest")
     if rest.take(1):
-        more = stage(compared(rest, rows, width, percent).filter("linked").select("a", "b"), "dup-linked")
+        more = stage(compared(rest, rows, classes, width, percent).filter("linked").select("a", "b"), "dup-linked")
         labels = components(more, labels)
 
     # A component's first row, by id and key: components are labelled by keys so far.
@@ -240,17 +263,17 @@ def decided(rows: DataFrame, width: int, percent: int) -> DataFrame:
     linked = own.join(of_class, ["low", "high", "n_shingles"], "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     component, kept = F.when(alone, F.col("doc_id")).otherwise(F.col("top.doc_id")), alone | (F.col("row_key") == F.col("top.row_key"))
-    return linked.select("row_key", "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    return linked.select(*PLACE, "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents are linked if 100 * |A & B| >= percent * |A | B| for their
     sets of shingles of width words."""
-    return decided(keyed(docs.select("doc_id", "text"), "dup-rows"), width, percent).drop("row_key")
+    return decided(placed(docs.select("doc_id", "text"), "dup-rows"), width, percent).drop(*PLACE)
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows that are kept: one of each group, the one with the smallest id (of several, just one)."""
-    rows = keyed(docs, "dup-rows")
-    gone = stage(decided(rows, width, percent).filter(~F.col("kept")).select("row_key"), "dup-gone")
-    return rows.join(small(gone), "row_key", "left_anti").select(*docs.columns)
+    rows = placed(docs, "dup-rows")
+    gone = stage(decided(rows, width, percent).filter(~F.col("kept")).select(*PLACE), "dup-gone")
+    return rows.join(small(gone), list(PLACE), "left_anti").select(*docs.columns)

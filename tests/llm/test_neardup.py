@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 
@@ -89,6 +90,25 @@ def test_empty(empty):
 
 
 def test_threshold_is_safe():
-    for s in (0.8, 0.85, 0.95):
-        t, p = neardup.agreement_threshold(s), s**neardup.ROWS
-        assert t >= 1 and (t == 1 or (1 - p) ** neardup.COORDINATES < neardup.LOSS)
+    for percent in (50, 80, 85, 95):
+        rows = neardup.signature_rows(percent)
+        t, p = neardup.agreement_threshold(percent / 100, rows), (percent / 100) ** rows
+        missed = sum(math.comb(neardup.COORDINATES, k) * p**k * (1 - p) ** (neardup.COORDINATES - k) for k in range(t))
+        assert t >= neardup.LEAST and missed < neardup.LOSS
+
+
+def test_pieces_of_a_popular_row_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PIECE", 16)
+    pairs = [(1, i) for i in range(2, 300)] + [(7, 8), (9, 10), (400, 1)]
+    sides = spark.createDataFrame([(i, i * 10) for i in range(1, 401)], "rep long, v long")
+    got = neardup._in_pieces(spark.createDataFrame(pairs, "a long, b long"), sides, "v").collect()
+    assert sorted(map(tuple, got)) == sorted((a, b, a * 10, b * 10) for a, b in pairs)
+
+
+def test_rows_without_places_of_their_own_are_staged(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(50))
+    spark.createDataFrame([(1, text, "m"), (2, text + " more", "n")], "doc_id long, text string, _metadata string").coalesce(1).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert [r["doc_id"] for r in neardup.deduplicated(docs).collect()] == [1]
+    twice = docs.drop("_metadata").crossJoin(spark.range(2).select("id"))  # rows of one place, twice
+    assert [(r["doc_id"], r["text"]) for r in neardup.deduplicated(twice).collect()] == [(1, text)]

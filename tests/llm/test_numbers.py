@@ -91,9 +91,10 @@ def test_mix_of_nothing(spark, empty):
 def test_mix_matches_sql(small_docs):
     c = duckdb.connect()
     c.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
-    want = c.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({mixing.oracle_sql()})").fetchall()
-    got = [tuple(r) for r in mixing.mix(small_docs).select("doc_id", "size", "source_size", "target", "taken").collect()]
-    assert sorted(got) == sorted(want)
+    columns = ["doc_id", "size", "source_size", "target", "taken", "shard_words"]
+    for how in ({}, {"share": 0.7, "shards": 4, "blocks": 64, "seed": 9}):
+        want = c.execute(f"SELECT {', '.join(columns)} FROM ({mixing.oracle_sql(**how)})").fetchall()
+        assert sorted(map(tuple, mixing.mix(small_docs, **how).select(*columns).collect())) == sorted(want)
 
 
 @pytest.mark.parametrize("total,good,drawn", [(40, 15, 20), (3000, 900, 1500), (10, 0, 5), (10, 10, 4), (0, 0, 0)])
@@ -112,6 +113,24 @@ def test_shards_tile_each_source(small_docs):
     assert words.min() >= 0 and words.sum(0).max() < 1.3 * words.sum(0).mean()
 
 
+def test_many_sources_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP", 8)
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 7), None if i % 40 == 39 else f"s{i % 40:02}") for i in range(400)], "doc_id long, text string, source string")
+    check_mix(docs)
+    cuts = mixing.shard_cuts(mixing.targets(mixing.sizes(docs)), shards=8, blocks=2000).collect()
+    total = np.zeros(8, np.int64)
+    for r in cuts:
+        assert r["cuts"][0] == 0 and r["cuts"][-1] == r["draw"] and sorted(r["cuts"]) == r["cuts"]
+        total += np.diff(r["cuts"])
+    assert len(cuts) == 40 and total.max() < 1.15 * total.min()  # shards of equal numbers of blocks
+
+
+def test_clashing_columns_are_kept(spark):
+    docs = spark.createDataFrame([(i, "a b c", "s", "mine", i) for i in range(40)], "doc_id long, text string, source string, shard string, m_order long")
+    out = mixing.mixed_documents(docs)
+    assert out.columns == [*docs.columns, "shard_"] and {r["shard"] for r in out.collect()} == {"mine"}
+
+
 def test_mixed_documents(small_docs, odd):
     out = mixing.mixed_documents(small_docs).select(*small_docs.columns)
     taken = {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.mix(small_docs).collect()}
