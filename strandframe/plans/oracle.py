@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from strandframe.plans import synth
 
 
@@ -17,7 +19,7 @@ _OWN = f"concat({_slice('sequence', '(e - n - 10)', '(e - n)')}, {_slice('sequen
 BASE = "('A', 'C', 'G', 'T')"
 
 #: refs, structures, mates; ops (one row for each CIGAR op); bits1 (mate 1), bits2, paired.
-CTES = f"""WITH {synth.SQL.strip()},
+CTES = f"""{synth.SQL.strip()},
 op_lists AS (SELECT key, mate, pos, regexp_extract_all(cigar, '([0-9]+)([A-Z])', 1) AS ns, regexp_extract_all(cigar, '([0-9]+)([A-Z])', 2) AS ls FROM mates),
 op_rows AS (SELECT key, mate, pos, len(ns) AS total, unnest(range(1, len(ns) + 1)) AS ord, unnest(ns)::INT AS n, unnest(ls) AS op FROM op_lists),
 ops AS (SELECT key, mate, ord, n, op, ord = total AS is_last,
@@ -65,8 +67,25 @@ sn AS (SELECT rname, CASE WHEN s IS NOT NULL AND n = 0 THEN 0.0 ELSE round_even(
 """
 
 
+def _tables() -> dict[str, str]:
+    """name -> query of each table above, in order."""
+    begins = [*re.finditer(r"^(\w+) AS \(", CTES, re.M)]
+    ends = [*(m.start() for m in begins[1:]), len(CTES)]
+    return {m[1]: CTES[m.end() - 1 : end].strip().rstrip(",") for m, end in zip(begins, ends, strict=True)}
+
+
+_TABLES = _tables()
+_NAME = re.compile(r"\b(" + "|".join(_TABLES) + r")\b")
+
+
 def sql(select: str) -> str:
-    return CTES + select
+    """select with the tables that it needs, each made once."""
+    needed, waiting = set(), set(_NAME.findall(select))
+    while waiting:
+        needed.add(name := waiting.pop())
+        waiting |= set(_NAME.findall(_TABLES[name])) - needed
+    tables = ",\n".join(f"{n} AS MATERIALIZED {q}" for n, q in _TABLES.items() if n in needed)
+    return f"WITH {tables}\n{select}" if tables else select
 
 
 _RATE = "CASE WHEN info = 0 THEN 'NaN'::DOUBLE ELSE round_even(({0})::DOUBLE / info, 5) END"
