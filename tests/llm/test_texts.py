@@ -62,11 +62,48 @@ def test_toxicity_of_odd_rows(spark, odd, empty):
     assert {r["predicted"] for r in toxicity.score_toxicity(odd, labels.limit(0)).collect()} == {0} and toxicity.score_toxicity(empty, labels).count() == 0
 
 
-def test_toxicity_counts_whole_long_texts():
-    m = toxicity.fit_texts(["good words and vilest muck here now"] * 12, ["good words and other things here now"] * 12, 0.5)
-    one = toxicity.Scorer(m)
-    text = "good vilest " * 300_000
-    assert one.counts([text]).sum() == 600_000 and np.array_equal(one.counts([text])[0], 300_000 * one.counts(["good vilest"])[0])
+def plain_words(text):
+    return re.sub("[\x00-\x2f\x3a-\x60\x7b-\x7f]", " ", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")).encode().split()
+
+
+def test_toxicity_counts_match_plain_windows(monkeypatch):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdeéñ") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    prose = [" ".join(rng.choice(vocabulary) for _ in range(200)) for _ in range(40)]
+    muck = [" ".join(w if rng.random() < 0.9 else rng.choice(["vilest", "muckraker", "wretched"]) for w in t.split()) for t in prose]
+    base, found = toxicity.train([w for t in muck for w in toxicity.spread(t, 100)], [w for t in prose for w in toxicity.spread(t, 100)])
+    scorer = toxicity.Scorer(toxicity.Model(base, found))
+    lead, tail = toxicity._LEAD + b" ", b" " + toxicity._TAIL
+
+    def saved(window):
+        both = (toxicity._compressor(d).compress(lead + window + tail) for d in (base, found + base))
+        return len(next(both)) - len(next(both))
+
+    monkeypatch.setattr(toxicity, "_CHUNK", 500)
+    texts = [None, "", "?!", muck[0] + ". Über Größe", prose[1], muck[2] * 20]
+    for text, got in zip(texts, scorer.counts(texts), strict=True):
+        w, want = plain_words(text), np.zeros(toxicity.DISTANCES, int)
+        for i in range(0, len(w), toxicity.COARSE):
+            part = w[i : i + toxicity.COARSE]
+            near = saved(b" ".join(part)) < 1
+            for k in range(0, len(part), toxicity.FINE):
+                want[0 if near else min(toxicity.DISTANCES - 1, max(0, saved(b" ".join(part[k : k + toxicity.FINE]))))] += 1
+        assert got.tolist() == want.tolist()
+    assert scorer.counts([muck[5]])[0, 2:].sum() > scorer.counts([prose[5]])[0, 2:].sum()
+
+
+def test_windows_are_spread_over_a_whole_text():
+    text = " ".join(f"w{i}" for i in range(30_000))
+    some = toxicity.spread(text, 50)
+    assert len(some) == 50 and some[0].startswith(b"w0 ") and int(some[-1].split()[0][1:]) > 29_000 and toxicity.spread("a b", 50) == [b"a b"]
+
+
+def test_toxicity_takes_repeated_rows_once(spark):
+    rows = [(i, "good plain words stand here now") for i in range(40)] + [(i, "vilest muck stands here now") for i in range(40, 80)]
+    docs = spark.createDataFrame(rows + rows[:1] * 3000, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 40)) for i in range(80)] * 2, "doc_id long, toxic int")
+    one, two = toxicity.fit(docs, labels), toxicity.fit(spark.createDataFrame(rows, docs.schema), labels.distinct())
+    assert (one.ordinary, one.toxic) == (two.ordinary, two.toxic)
 
 
 def plain_spans(text):
