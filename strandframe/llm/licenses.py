@@ -100,57 +100,86 @@ def fold(text: str) -> bytes:
 
 
 def _windows(text: bytes, notice: Notice, seeds: list[tuple[int, bytes]]) -> list[tuple[int, int]]:
-    size, k = len(notice.phrase), notice.errors
-    spans = []
+    """Where the notice can stand, by its seeds: windows that overlap are one up to the length of two notices, so that
+    the work stays in proportion to the text. An edit may be of a character of four bytes."""
+    size, slack = len(notice.phrase.encode()), 4 * notice.errors + 4
+    spans = set()
     for at, seed in seeds:
         place = text.find(seed)
         while place >= 0:
-            spans.append((max(0, place - at - k - 1), min(len(text), place - at + size + k + 1)))
+            spans.add((max(0, place - at - slack), min(len(text), place - at + size + slack)))
             place = text.find(seed, place + 1)
-    spans.sort()
     joined: list[tuple[int, int]] = []
-    for a, b in spans:
-        if joined and a <= joined[-1][1]:
+    for a, b in sorted(spans):
+        if joined and a <= joined[-1][1] and b - joined[-1][0] <= 2 * (size + slack):
             joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
         else:
             joined.append((a, b))
     return joined
 
 
-def fuzzy(text: bytes) -> list[Match]:
-    """Notices with errors in a folded text. A notice is looked for where its core and a seed can stand."""
+def _at_characters(text: bytes, a: int, b: int) -> tuple[int, int]:
+    """a and b moved outwards to where characters begin."""
+    while a > 0 and text[a] & 0xC0 == 0x80:
+        a -= 1
+    while b < len(text) and text[b] & 0xC0 == 0x80:
+        b += 1
+    return a, b
+
+
+def fuzzy(text: bytes, spaces: np.ndarray) -> list[Match]:
+    """Notices with errors in a folded text; spaces: where its spaces stand. A notice is looked for where its core and a
+    seed can stand; of matches of it that overlap, the one with the fewest edits (then the first) counts."""
     found = []
     for notice, want, seeds in _search():
-        if not notice.core_errors and notice.core.encode() not in text:
+        core = notice.core.encode()
+        if not notice.core_errors and core not in text:
             continue
+        seen: list[tuple[int, int, int]] = []  # start, end and edits of matches, by bytes
         for a, b in _windows(text, notice, seeds):
-            piece = text[a:b].decode("utf-8", "replace")
-            if not notice.core_errors and notice.core not in piece:
+            a, b = _at_characters(text, a, b)
+            if not notice.core_errors and text.find(core, a, b) < 0:
                 continue
+            piece = text[a:b].decode("utf-8", "surrogatepass")
+            upto, at = 0, a  # characters passed, and where they end
             for m in want.finditer(piece):
                 edits = sum(m.fuzzy_counts)
                 if edits <= notice.errors and m.end() > m.start():
-                    lo = text.count(b" ", 0, a + len(piece[: m.start()].encode())) - 1
-                    found.append(Match(notice.label, edits, len(notice.phrase), lo, lo + m.group().count(" ")))
+                    start = at + len(piece[upto : m.start()].encode("utf-8", "surrogatepass"))
+                    at = start + len(m.group().encode("utf-8", "surrogatepass"))
+                    upto = m.end()
+                    seen.append((start, at, edits))
+        best: list[tuple[int, int, int]] = []
+        for m in sorted(seen):
+            if best and m[0] < best[-1][1]:
+                if m[2] < best[-1][2]:
+                    best[-1] = m
+            else:
+                best.append(m)
+        for start, end, edits in best:
+            lo = int(np.searchsorted(spaces, start)) - 1
+            found.append(Match(notice.label, edits, len(notice.phrase), lo, lo + text.count(b" ", start, end)))
     return found
 
 
 def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float, list[Match]]:
     """n_words, n_base, first_word, last_word, base_labels, labels, score and the fuzzy matches of a whole text."""
     folded = fold(text or "")
-    n_words = max(0, folded.count(b" ") - 1)
+    spaces = np.flatnonzero(np.frombuffer(folded, np.uint8) == 32)  # the word of number i follows the i-th space
+    n_words = max(0, len(spaces) - 1)
     places, base = [], set()
     for phrase, label in BASE.items():
         want = f" {phrase} ".encode()
         at = folded.find(want)
         while at >= 0:
-            places.append(folded.count(b" ", 0, at + 1) - 1)
+            places.append(at)
             base.add(label)
             at = folded.find(want, at + 1)
-    matches = fuzzy(folded)
+    first, last = (int(np.searchsorted(spaces, f(places))) if places else None for f in (min, max))
+    matches = fuzzy(folded, spaces)
     labels = base | {m.label for m in matches}
     score = 1.0 if places else max((1 - m.edits / m.length for m in matches), default=0.0)
-    return n_words, len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, matches
+    return n_words, len(places), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score, matches
 
 
 _SPANS = pa.list_(pa.struct([("label", pa.string()), ("edits", pa.int32()), ("first_word", pa.int64()), ("last_word", pa.int64())]))

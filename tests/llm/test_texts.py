@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -201,6 +202,22 @@ def test_licences_with_errors(text, labels):
     assert licenses.scan(text)[5] == labels
 
 
+def test_wide_characters_are_single_edits():
+    assert licenses.scan("apache l\uff49cense v\uff45rs\uff49on 2")[5] == "apache-2" and licenses.scan("x" * 40 + " \U0001f600under the m\U0001f600it license")[5] in ("", "mit")
+
+
+def test_work_grows_with_the_text():
+    took = []
+    for n in (4000, 32_000):
+        text = "licensed under cc by nc gnu general public license " * n
+        began = time.process_time()
+        row = licenses.scan(text)
+        took.append(time.process_time() - began)
+        assert row[:4] == (9 * n, n, 2, 9 * (n - 1) + 2) and row[5] == "cc-by-nc,gpl" and sum(m.label == "gpl" for m in row[7]) == n
+        assert [m.first_word for m in row[7] if m.label == "gpl"][:3] == [5, 14, 23]
+    assert took[1] < 24 * took[0]
+
+
 def test_licences_of_odd_rows(odd, empty):
     rows = {r["doc_id"]: r for r in licenses.scan_documents(odd).collect()}
     assert (rows[1]["n_words"], rows[1]["first_word"], rows[1]["labels"], rows[1]["score"]) == (0, None, "", 0.0) and licenses.scan_documents(empty).count() == 0
