@@ -3,6 +3,7 @@ broadcasts, keys of rows, and bounded batches."""
 
 from __future__ import annotations
 
+import bisect
 import ctypes
 import gc
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from strandframe.session import shared_dir, stage
 
-__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "PLACE", "give_back", "held_out", "placed", "shared_dir", "slices", "small", "small_batches", "stage"]
+__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "PLACE", "by_ranges", "give_back", "held_out", "placed", "shared_dir", "slices", "small", "small_batches", "stage"]
 
 #: Size in a hash table up to which a key table may be broadcast; past that Spark chooses the join by its own threshold.
 BROADCAST_BYTES = 16_000_000
@@ -66,6 +67,37 @@ def placed(docs: DataFrame, name: str) -> DataFrame:
     return placed(stage(docs, name, "zstd"), name)
 
 
+def by_ranges(docs: DataFrame, parts: int) -> tuple[DataFrame, int]:
+    """docs (doc_id, text) with ``part``, the number of the range that a row lies in, in the order of (doc_id, text),
+    nulls first; and how many ranges: about ``parts``, of about the same number of bytes.
+
+    Spark cuts ids, and the beginnings of texts, into four times as many ranges by rows; neighbours are joined until
+    they have their share of the bytes. What the driver holds is the first row of each such range. A row finds its range
+    by bisection; only its id and the beginning of its text go to Python. Rows of one id are dealt out by their texts.
+    """
+    head = F.coalesce(F.substring("text", 1, 24), F.lit(""))
+    key = docs.select(F.col("doc_id").isNotNull().alias("known"), "doc_id", head.alias("head"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    fine = key.repartitionByRange(4 * parts, "known", "doc_id", "head").withColumn("fine", F.spark_partition_id())
+    cuts = stage(fine.groupBy("fine").agg(F.min(F.struct("known", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "head")).alias("first"), F.sum(F.col("size") + 64).alias("size")), "ranges")
+    bounds, gathered, share = [], 0, None
+    rows = cuts.orderBy("first").collect()  # 4 * parts rows at most
+    share = sum(r["size"] for r in rows) / parts
+    for r in rows:
+        if gathered >= share:
+            bounds.append(tuple(r["first"]))
+            gathered = 0
+        gathered += r["size"]
+    shared = docs.sparkSession.sparkContext.broadcast(bounds)
+
+    @F.arrow_udf("int")
+    def number(ids: pa.Array, heads: pa.Array) -> pa.Array:
+        cuts_ = shared.value
+        return pa.array([bisect.bisect_right(cuts_, (i is not None, i or 0, h)) for i, h in zip(ids.to_pylist(), heads.to_pylist(), strict=True)], pa.int32())
+
+    part = number("doc_id", head) if bounds else F.lit(0)
+    return docs.withColumn("part", part), len(bounds) + 1
+
+
 def give_back() -> None:
     """Give the memory that this process doesn't need back to the machine."""
     gc.collect()

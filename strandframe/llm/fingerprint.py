@@ -11,8 +11,8 @@ hashes of its runs of three words. A document's fingerprint is the lane-wise sum
   (the standard error is about 1/sqrt(WIDE)).
 
 The query compares a text with an edited one, whose second half is the beginning of the next document. Texts are
-shuffled once, by range of doc_id; the first documents of a range go to the range before as well (one for each
-range), so no task needs another's rows, and no order over the whole table is made in one task.
+shuffled once, by ranges of (doc_id, text) of about the same number of bytes; the first document of a range goes to the
+range before as well, so no task needs another's rows, and no order over the whole table is made in one task.
 
 Defined results: null is the empty text; a text without words has the fingerprint of zeros; likeness is 1 for equal
 fingerprints, else 0 where one is without word runs; null ids come first; rows that share an id follow one another in
@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import slices, small
-from strandframe.llm.tokenstore import range_number
+from strandframe.llm.common import by_ranges, slices, small
 from strandframe.llm.words import shingles, words_at
 
 WIDE, STRONG, RUN = 256, 4, 3
@@ -131,14 +130,15 @@ _ROW = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 def compare_with_edits(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every text."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    number, parts = range_number(slim, "doc_id", max(1, slim.rdd.getNumPartitions()))
-    ids = slim.select("doc_id", number.alias("part")).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id"))["doc_id"].alias("first"))
-    order = Window.orderBy("part")
-    last = F.max("part").over(Window.partitionBy(F.lit(0)))
-    firsts = ids.select("part", "first", F.coalesce(F.lag("part").over(order), last).alias("before"))  # a row for each range
-    own = slim.withColumn("part", number).withColumn("ahead", F.lit(False))
-    firsts = firsts.select(F.col("first").alias("f_first"), F.col("before").alias("f_before"))
-    ahead = slim.join(small(firsts, parts), F.col("doc_id").eqNullSafe(F.col("f_first"))).select("doc_id", "text", F.col("f_before").alias("part"), F.lit(True).alias("ahead"))
+    ranged, parts = by_ranges(slim, max(1, slim.rdd.getNumPartitions()))
+    first_id = F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id"))["doc_id"]
+    ids = ranged.groupBy("part").agg(first_id.alias("f_first")).withColumnRenamed("part", "f_part")
+    order = Window.orderBy("f_part")
+    last = F.max("f_part").over(Window.partitionBy(F.lit(0)))
+    firsts = ids.select("f_part", "f_first", F.coalesce(F.lag("f_part").over(order), last).alias("f_before"))  # a row for each range
+    own = ranged.withColumn("ahead", F.lit(False))
+    begins = ranged.join(small(firsts, parts), (F.col("part") == F.col("f_part")) & F.col("doc_id").eqNullSafe(F.col("f_first")))
+    ahead = begins.groupBy("f_before", "doc_id").agg(F.min("text").alias("text")).select("doc_id", "text", F.col("f_before").alias("part"), F.lit(True).alias("ahead"))
     dealt = own.unionByName(ahead).repartitionById(parts, "part").sortWithinPartitions("part", "ahead", F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches):
@@ -146,8 +146,6 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for part, ahead_, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held is None and ahead_:
-                    continue  # a further row with the id of the next range's first
                 print_ = of_text(text)
                 if held is not None:
                     _, id_, before, fp = held

@@ -10,11 +10,13 @@ of each document within the file (uint64, one more than documents); then for eac
 directory (uint64), bitmap words (uint64), chunks (uint8), each padded to 8 bytes.
 
 Files are made by range of doc_id and written under a temporary name, then renamed: a task that is run again after
-the loss of an executor writes the same file again, and no reader sees half a file. ``NNNNNNNN.dac`` rise with doc_id.
+the loss of an executor writes the same file again, and no reader sees half a file. A range is one file for each
+``FILE_IDS`` ids or so (a document is never cut), which bounds what a task holds; names rise with doc_id.
 
-Scale: one shuffle (of the texts, by range of id), files of about one input split each; where a document starts among
-all ids comes from a running sum over files (one row for each file). Word ids are looked up by the batch, so the
-tokenizer sees each different word once for each cache's life.
+Scale: one shuffle (of the texts, by ranges of about the same number of bytes; the rows of one id may be several
+ranges); where a document starts among all ids comes from a running sum over files (one row for each file). Word ids
+are looked up by the batch, so the tokenizer sees each different word once for each cache's life. A text with the string
+of an added token goes to the library whole, so it is taken as the library takes it.
 
 Defined results: null and empty texts have the end id alone; rows with a null id come first; repeated rows are
 documents of their own, in the order of their texts; an empty table gives no rows.
@@ -31,14 +33,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandframe.llm.common import shared_dir, slices, small, stage
+from strandframe.llm.common import by_ranges, shared_dir, slices, small, stage
 from strandframe.llm.pretokens import WordCache, groups
 
 MAGIC = b"DAC1"
 BLOCK = 512
+#: Ids after which a range begins another file, and files of a range at most (by the width of the number in their names).
+FILE_IDS, RANGE_FILES = 8_000_000, 1 << 20
 NO_ID = -(2**63)
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
@@ -140,82 +144,91 @@ def write_file(path: str, data: bytes) -> None:
     fs.move(own, where)
 
 
-_encoders: dict[bytes, WordCache] = {}
+class LibraryEncoder:
+    """The tokenizers library, for a tokenizer's definition (JSON), with a cache of words in front of it."""
 
-
-def library_encoder(definition: bytes) -> WordCache:
-    """This process's cache in front of the tokenizers library, for a tokenizer's definition (JSON)."""
-    key = hashlib.sha256(definition).digest()
-    if key not in _encoders:
+    def __init__(self, definition: bytes):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_buffer(definition)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-        def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            # A word is a match of the tokenizer's own split pattern, and by itself is split no further.
-            ids = [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            return np.fromiter((i for part in ids for i in part), np.int32, int(lengths.sum())), lengths
-
+        self.tokenizer = Tokenizer.from_buffer(definition)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cache = WordCache(self._words, most=800_000)  # the library is slow on words it meets anew
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # A word is a match of the tokenizer's own split pattern, and by itself is split no further.
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for part in ids for i in part), np.int32, int(lengths.sum())), lengths
+
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+        """(index of the text, ids of it or, if it is long, of its next piece), in order."""
+        whole = {i: t for i, t in enumerate(texts) if t and any(x in t for x in self.added)}
+        done = -1
+        for group in groups([None if i in whole else t for i, t in enumerate(texts)] if whole else texts):
+            ids, upto = self.cache.ids(group)
+            for i, a, b in group.docs:
+                if i in whole and i != done:
+                    yield i, np.array(self.tokenizer.encode(whole[i], add_special_tokens=False).ids, np.int32)
+                else:
+                    yield i, ids[upto[a] : upto[b]]
+                done = i
+
+
+_encoders: dict[bytes, LibraryEncoder] = {}
+
+
+def library_encoder(definition: bytes) -> LibraryEncoder:
+    """This process's encoder for a definition."""
+    key = hashlib.sha256(definition).digest()
+    if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = WordCache(encode, most=800_000)  # the library is slow on words it meets anew
+        _encoders[key] = LibraryEncoder(definition)
     return _encoders[key]
 
 
-def range_number(docs: DataFrame, id_col: str, parts: int) -> tuple[Column, int]:
-    """The number of the range of ids that a row lies in, rising with the id (nulls in the first), and how many ranges.
-
-    The cuts are quantiles of the id column alone: parts numbers on the driver, one for each output file.
-    """
-    cuts = sorted({int(x) for x in docs.select(F.col(id_col).cast("double")).approxQuantile(id_col, [i / parts for i in range(1, parts)], 0.1 / parts)}) if parts > 1 else []
-    if not cuts:
-        return F.lit(0), 1
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    return F.coalesce(F.size(F.filter(bounds, lambda b: b <= F.col(id_col))), F.lit(0)), len(cuts) + 1
-
-
-def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, folder: str | None = None) -> tuple[str, DataFrame]:
+def write(docs: DataFrame, tokenizer_path: str, end_id: int = 0, folder: str | None = None, file_ids: int = FILE_IDS) -> tuple[str, DataFrame]:
     """Encode every text and write the files; (folder, manifest: file, n_docs, n_ids), the manifest staged."""
     spark = docs.sparkSession
     folder = folder or shared_dir(spark, "tokens")
     with open(tokenizer_path, "rb") as f:
         definition = spark.sparkContext.broadcast(f.read())  # a tokenizer's definition: under 2 MB
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    number, files = range_number(slim, "doc_id", max(1, slim.rdd.getNumPartitions()))
+    ranged, parts = by_ranges(slim, max(1, slim.rdd.getNumPartitions()))
 
-    def flush(file: int, doc_ids: list[int], parts: list[np.ndarray], lengths: list[int]) -> pa.RecordBatch:
-        ids = np.concatenate(parts)
-        write_file(f"{folder}/{file:08d}.dac", file_bytes(np.array(doc_ids, np.int64), np.array(lengths, np.int64), ids))
-        return pa.RecordBatch.from_arrays([pa.array([file], pa.int32()), pa.array([len(doc_ids)], pa.int64()), pa.array([len(ids)], pa.int64())], names=["file", "n_docs", "n_ids"])
+    def flush(file: int, doc_ids: list[int], chunks: list[np.ndarray], lengths: list[int]) -> pa.RecordBatch:
+        ids = np.concatenate(chunks)
+        write_file(f"{folder}/{file:016d}.dac", file_bytes(np.array(doc_ids, np.int64), np.array(lengths, np.int64), ids))
+        return pa.RecordBatch.from_arrays([pa.array([file], pa.int64()), pa.array([len(doc_ids)], pa.int64()), pa.array([len(ids)], pa.int64())], names=["file", "n_docs", "n_ids"])
 
     def run(batches):
-        cache = library_encoder(definition.value)
+        encoder = library_encoder(definition.value)
         end = np.array([end_id], np.int32)
-        file, doc_ids, parts, lengths = None, [], [], []
+        file, held, doc_ids, chunks, lengths = None, 0, [], [], []
         for batch in slices(batches):
             numbers, names, texts = (c.to_pylist() for c in batch.columns)
             done = 0
-            for group in groups(texts):
-                ids, upto = cache.ids(group)
-                for k, (i, a, b) in enumerate(group.docs):
-                    if i >= done:  # the first piece of its text
-                        if numbers[i] != file:
-                            if doc_ids:
-                                yield flush(file, doc_ids, parts, lengths)
-                            file, doc_ids, parts, lengths = numbers[i], [], [], []
-                        doc_ids.append(NO_ID if names[i] is None else names[i])
-                        lengths.append(1)
-                        parts.append(end)
-                        done = i + 1
-                    parts.insert(len(parts) - 1, ids[upto[a] : upto[b]])
-                    lengths[-1] += int(upto[b] - upto[a])
+            for i, ids in encoder.encode(texts):
+                if i >= done:  # the first piece of its text
+                    first = numbers[i] * RANGE_FILES
+                    if file is None or first > file or held >= file_ids:
+                        if doc_ids:
+                            yield flush(file, doc_ids, chunks, lengths)
+                        file = first if file is None or first > file else file + 1
+                        held, doc_ids, chunks, lengths = 0, [], [], []
+                    doc_ids.append(NO_ID if names[i] is None else names[i])
+                    lengths.append(1)
+                    chunks.append(end)
+                    held += 1
+                    done = i + 1
+                chunks.insert(len(chunks) - 1, ids)
+                lengths[-1] += len(ids)
+                held += len(ids)
         if doc_ids:
-            yield flush(file, doc_ids, parts, lengths)
+            yield flush(file, doc_ids, chunks, lengths)
 
-    dealt = slim.withColumn("file", number).repartitionById(files, "file").sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), "text")
-    return folder, stage(dealt.select("file", "doc_id", "text").mapInArrow(run, "file int, n_docs long, n_ids long"), "token-manifest")
+    dealt = ranged.repartitionById(parts, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "text")
+    return folder, stage(dealt.select("part", "doc_id", "text").mapInArrow(run, "file long, n_docs long, n_ids long"), "token-manifest")
 
 
 def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
@@ -234,12 +247,12 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
                         crc[i] = zlib.crc32(ids[starts[i] - starts[lo] : starts[i + 1] - starts[lo]])
                 number = int(os.path.basename(path).removesuffix(".dac"))
                 names = pa.array(file.doc_ids, mask=file.doc_ids == NO_ID)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number, np.int32)), names, pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crc)], names=["file", "doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, number, np.int64)), names, pa.array(starts[:-1]), pa.array(np.diff(starts)), pa.array(crc)], names=["file", "doc_id", "start", "n_tokens", "ids_crc32"])
 
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     base = manifest.select(F.col("file").alias("m_file"), F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.dac").load(folder).select("path", "content")
-    docs = files.mapInArrow(run, "file int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    docs = files.mapInArrow(run, "file long, doc_id long, start long, n_tokens long, ids_crc32 long")
     joined = docs.join(small(base, manifest.count()), F.col("file") == F.col("m_file"))
     return joined.select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -9,9 +9,10 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strandframe.llm import bpe, pretokens, tokenstore
+from strandframe.llm import bpe, common, pretokens, tokenstore
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
@@ -80,9 +81,10 @@ def test_store_gives_any_id_and_any_range(high):
 
 def test_store_round_trip(odd, empty, small_docs):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     assert tokenstore.roundtrip(empty, JSON).count() == 0
-    for docs in (odd, small_docs):
+    special = odd.select("doc_id", F.concat(F.lit("a <|endoftext|> b <|endoftext|"), F.coalesce("text", F.lit(">"))).alias("text"))
+    assert len(tokenizer.encode("x<|endoftext|>", add_special_tokens=False).ids) == 2
+    for docs in (odd, small_docs, odd.select("doc_id", "text").unionByName(special)):
         rows = sorted(tokenstore.roundtrip(docs, JSON).collect(), key=lambda r: r["start"])
         texts = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in docs.collect()))
         assert [r["doc_id"] for r in rows] == [i if known else None for known, i, _ in texts]
@@ -91,3 +93,20 @@ def test_store_round_trip(odd, empty, small_docs):
             ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
             assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
             start += len(ids)
+
+
+def test_ranges_follow_ids_and_texts_and_split_a_hot_id(spark):
+    rows = [(7, f"text {i:04} " + "x" * (i % 90)) for i in range(1500)] + [(i, "other words " * 3) for i in range(1500)] + [(None, "n" * i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ranged, parts = common.by_ranges(docs, 8)
+    found = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"]), r["part"], len(r["text"])) for r in ranged.collect())
+    assert [p for _, p, _ in found] == sorted(p for _, p, _ in found) and 6 <= parts <= 10
+    sizes = [sum(n + 64 for _, p, n in found if p == k) for k in range(parts)]
+    assert max(sizes) < 2 * sum(sizes) / parts and len({p for (_, i, _), p, _ in found if i == 7}) > 1
+
+
+def test_a_range_may_be_several_files(spark, small_docs):
+    folder, manifest = tokenstore.write(small_docs, JSON, file_ids=5000)
+    assert manifest.count() > 10 and manifest.agg(F.max("n_ids")).first()[0] < 60_000
+    one, two = (sorted(map(tuple, df.collect())) for df in (tokenstore.read(spark, folder, manifest), tokenstore.roundtrip(small_docs, JSON)))
+    assert one == two
