@@ -3,8 +3,8 @@
 Different words of a batch are put into matrices by length, one row a word, one column a byte. Each round looks up
 the ranks of the pairs that have changed in an open-addressing hash table, every row merges its leftmost pair of
 minimum rank, and the column that has become free is closed up, so the matrix loses a column a round; rows without a
-pair left leave it. Words over ``WIDEST`` bytes, for which a matrix would cost the square of the length, run the same
-merges on a heap.
+pair left leave it. A matrix has at most ``CELLS`` cells, so that wide buckets have few rows. Words over ``WIDEST``
+bytes, for which a matrix would cost the square of the length, run the same merges on a heap.
 
 Defined results: null and empty texts have no ids; ids are those of the ranks given, a word that is itself in the
 ranks being one id; other columns of the input play no part.
@@ -27,9 +27,9 @@ from strandframe.llm.pretokens import WordCache, gather, groups
 
 NONE = np.int32(2**31 - 1)
 #: Longest word, in bytes, that gets a row of a matrix.
-WIDEST = 128
-#: Rows of a matrix at most.
-ROWS = 20_000
+WIDEST = 1024
+#: Cells of a matrix at most.
+CELLS = 2_560_000
 
 
 class PairTable:
@@ -108,8 +108,9 @@ class ByteBPE:
                     buckets.setdefault(max(4, 1 << (len(w) - 1).bit_length()) if len(w) > 1 else 4, []).append(i)
         filled = []
         for width, at in buckets.items():
-            for k in range(0, len(at), ROWS):
-                some = np.array(at[k : k + ROWS])
+            most = max(1, CELLS // width)
+            for k in range(0, len(at), most):
+                some = np.array(at[k : k + most])
                 ids, n = self._merge_matrix([words[i] for i in some.tolist()], width)
                 lengths[some] = n
                 filled.append((some, ids, n))
