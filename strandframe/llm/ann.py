@@ -1,23 +1,28 @@
 """Approximate nearest neighbours: an inverted file of coarse centroids with product-quantised residuals, asymmetric
 distance tables, and exact reranking.
 
-1. Equal vectors are one class, which keeps its smallest ids (``k`` + 1 of them: no answer needs more); so thousands of
-   copies don't crowd a list or a ranking, and ties go to the smaller ids.
+1. Equal vectors are one class, which keeps its smallest ids (``k`` + 1 different ones: no answer needs more); so
+   thousands of copies don't crowd a list or a ranking, and ties go to the smaller ids.
 2. On a bounded sample of classes (``SAMPLE``, first by a hash) the driver fits coarse centroids (about half the root
    of the number of classes, ``LISTS`` at most) and, on the residuals, a codebook of 256 centroids for each subspace.
    On the sample it also measures, against brute force, how many lists must be probed and how many candidates reranked
-   for a recall of ``RECALL``: the data decide, as random directions need nearly all lists and clustered ones few.
+   for a recall of ``RECALL``: the data decide, as random directions need nearly all lists and clustered ones few. Codes
+   are fine (a byte for each of up to ``MOST_SUBSPACES`` subspaces), so that ``RERANK`` candidates, or a few times the
+   sample's rank, do at any size of the table.
 3. Every class is assigned to its list and encoded; a list's codes are packed in blocks of about ``BLOCK`` rows, a
    list of any length being several blocks, with no cap.
-4. Queries are packed in blocks for each list they probe. Blocks meet on the list; a task computes each query's
-   distance table to the list's residuals and adds up the table's entries under the codes. Pairs of a query and a
-   vector are never rows: a batch of blocks gives each query's best candidates only.
+4. Queries are packed in blocks for each list they probe, which go to each block of the list: (list, block) is what
+   they meet on, so a popular list is as many keys as it has blocks. Tasks are as many as these meetings ask for (by
+   size alone the codes would all be one task's). A task computes each query's distance table to the list's residuals
+   and adds up the table's entries under the codes. Pairs of a query and a vector are never rows: a batch of blocks
+   gives each query's best candidates only.
 5. The best candidates of each query are ranked by the exact Euclidean distance in double precision on the original
    vectors.
 
 Defined results: vectors that are null, zero, hold a null or non-finite component, or have another length than the
-commonest, and rows with a null id, take no part, neither as queries nor as candidates; if an id repeats, its rows are
-candidates of their own, and none of them for a query with that id; an empty table gives no rows.
+commonest, and rows with a null id, take no part, neither as queries nor as candidates; if an id repeats with different
+vectors, its rows are candidates (and queries) of their own, and none of them for a query with that id; rows equal in id
+and vector count once; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +38,9 @@ from pyspark.sql import functions as F
 from strandframe.llm.common import small, stage
 
 SAMPLE, LISTS, BLOCK, QUERIES, RECALL = 8192, 1024, 2048, 256, 0.97
-MOST_SUBSPACES = 32
+MOST_SUBSPACES, RERANK = 64, 128
+#: Meetings of a block of codes and a block of queries in a task, about.
+MEETINGS = 16
 
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -111,7 +118,7 @@ def fit_index(x: np.ndarray, classes: int, k: int, recall: float = RECALL) -> In
         approx[:, at] = index.distances(q, number, codes[at])
     ranks = np.sort(np.take_along_axis(approx.argsort(1).argsort(1), exact, 1).ravel())
     rank = int(ranks[min(len(ranks) - 1, math.ceil(0.99 * len(ranks)))]) + 1
-    index.rerank = max(4 * k, math.ceil(2 * rank * max(1.0, classes / len(x))))
+    index.rerank = max(RERANK, 4 * k, 4 * rank)
     return index
 
 
@@ -137,8 +144,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     """(query_id, rank, vec_id, score): the k nearest found of every row for which is_query holds, itself excepted."""
     spark = vectors.sparkSession
     rows = valid(vectors, id_col, vector_col)
+    rows = rows.distinct()
     first = rows.withColumn("n", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))).filter(F.col("n") <= k + 1)
-    classes = stage(first.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("members")).select(F.col("members")[0].alias("cls"), "members", "embedding"), "ann-classes")
+    classes = stage(first.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("members")).select(F.monotonically_increasing_id().alias("cls"), "members", "embedding"), "ann-classes")
     count = classes.count()
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -148,7 +156,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
     queries = stage(classes.join(query_ids, "cls", "left_semi").select(F.col("cls").alias("q"), F.col("embedding").alias("q_vector")), "ann-query-classes")
     n_queries = queries.count()
 
-    sample = _matrix(classes.select("embedding").orderBy(F.xxhash64(F.lit("ann"), "cls"), "cls").limit(SAMPLE).toArrow().column(0).combine_chunks(), len(classes.first()["embedding"]))
+    sample = _matrix(classes.select("embedding").orderBy(F.xxhash64(F.lit("ann"), "embedding"), "cls").limit(SAMPLE).toArrow().column(0).combine_chunks(), len(classes.first()["embedding"]))
     index = fit_index(sample, count, k)
     dims = sample.shape[1]
     shared = spark.sparkContext.broadcast(index)  # LISTS * dims and 256 * dims numbers at most
@@ -192,11 +200,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
 
     codes = stage(classes.select("cls", "embedding").mapInArrow(encode, "list int, cls long, codes binary"), "ann-codes")
     sizes = codes.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = codes.join(small(sizes, len(index.coarse)), "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    sizes = stage(sizes, "ann-lists")  # a row for each list
+    placed = codes.join(small(sizes, len(index.coarse)), "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    q_blocks = max(1, -(-n_queries // QUERIES))
+    n_blocks = sizes.agg(F.sum("blocks")).first()[0]
+    tasks = max(1, math.ceil(n_blocks * q_blocks * index.probes / len(index.coarse) / MEETINGS))
     blocks = placed.groupBy("list", "block").agg(F.collect_list("cls").alias("ids"), F.collect_list("codes").alias("codes"))
     asking = queries.mapInArrow(probe, "list int, q long, q_vector array<double>")
-    asking = asking.groupBy("list", F.pmod(F.xxhash64("q"), F.lit(max(1, -(-n_queries // QUERIES)))).alias("q_block")).agg(F.collect_list("q").alias("qs"), F.collect_list("q_vector").alias("q_vectors"))
-    met = blocks.join(asking.withColumn("q_vectors", F.flatten("q_vectors")), "list").select("list", "ids", "codes", "qs", "q_vectors")
+    asking = asking.groupBy("list", F.pmod(F.xxhash64("q"), F.lit(q_blocks)).alias("q_block")).agg(F.collect_list("q").alias("qs"), F.flatten(F.collect_list("q_vector")).alias("q_vectors"))
+    to_blocks = asking.join(small(sizes, len(index.coarse)), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    at = ("list", "block")
+    met = blocks.repartition(tasks, *at).join(to_blocks.repartition(tasks, *at), list(at)).select("list", "ids", "codes", "qs", "q_vectors")
     near = met.mapInArrow(scan, "q long, cls long, approx float")
     by_approx = Window.partitionBy("q").orderBy("approx", "cls")
     candidates = stage(near.withColumn("n", F.row_number().over(by_approx)).filter(F.col("n") <= index.rerank).select("q", "cls"), "ann-candidates")

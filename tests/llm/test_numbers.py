@@ -42,6 +42,24 @@ def test_odd_vectors(spark):
     assert ann.search(df.limit(0), F.col("vec_id") % 10 == 0).count() == 0 and ann.search(df.filter("vec_id = 4"), F.col("vec_id") % 2 == 0).count() == 0
 
 
+def test_repeated_ids_hide_nobody(spark):
+    rows = [(100, [1.0, 2.0])] * 12 + [(200, [1.0, 2.0]), (300, [1.0, 2.0]), (400, [5.0, 5.0]), (100, [4.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["vec_id"], round(r["score"], 6)) for r in ann.search(df, F.col("vec_id") == 200, 2).collect())
+    assert got == [(200, 100, 0.0), (200, 300, 0.0)]
+    got = [(r["vec_id"], r["rank"]) for r in ann.search(df.filter("vec_id <> 200"), F.col("vec_id") == 400, 5).collect()]
+    assert got == [(100, 1), (100, 2), (300, 3)]
+
+
+def test_lists_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    monkeypatch.setattr(ann, "QUERIES", 8)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 8)).round(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    assert check_search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), rows) >= 0.95
+
+
 def brute_mix(rows, weights=(5, 2, 1), share=1.5, most=2):
     size = {}
     for source, n in rows:
