@@ -14,13 +14,15 @@ are equal or similar (the same digits, or the same letters and digits), wherever
 passes messages over all of them for ``ROUNDS`` rounds at most, so that evidence at one place decides the label at the
 other. Skip edges of a group of k equal tokens form a star with a common variable, so there are k of them.
 
-Learning: the base patterns label the tokens of a bounded sample of documents (``SAMPLE``, first by a hash; none of
-the labels table is used). Token weights are a multinomial logistic regression; features of a token leave out its own
-marks at random (so that shape and surroundings count without each other); chain and skip potentials are log ratios
-of label pairs seen together to chance.
+Learning: the base patterns label the tokens of a bounded sample of documents (``SAMPLE``, first by a hash; ``TOKENS`` of
+each, evenly spread; none of the labels table is used). All potentials are fitted together by pseudo-likelihood: each
+token's label given its features, its neighbours' labels in the chain and the commonest label of the others of its
+groups. Features of a token leave out its own marks for a third of the tokens, its surroundings for another (so that
+shape and surroundings count without each other). The fit runs in one task, which gets numbers, not texts.
 
 Added spans: tokens with a kind's belief of ``LEAST`` or more that no base span touches, and whose shape is that kind's
-(its digits in number, or an at sign with text on both sides). Base spans always stay.
+(its digits in number, or an at sign with text on both sides); neighbouring tokens that have the digits of a base span
+together (a number written with spaces) count as one. Base spans always stay.
 
 Defined results: null is the empty text, without spans; rows stand for themselves; other columns play no part. Texts
 are handled whole; no shuffle.
@@ -29,7 +31,9 @@ are handled whole; no shuffle.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,12 +53,15 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _SOME = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"(?<!\S)\S*?[0-9@]\S*")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_NUMERIC = re.compile(r"[0-9().+,;:-]+")
 _NOT_ALNUM = re.compile(r"[\W_]+")
 
-SAMPLE, SAMPLE_CHARS, LEAST, ROUNDS = 2000, 100_000, 0.9, 10
+SAMPLE, TOKENS, LEAST, ROUNDS = 2000, 500, 0.9, 10
 FEATURES = 1 << 12
 #: Weight, in logs, of a base span for its tokens' labels.
 EVIDENCE = 12.0
+#: Weight, in logs, of equal labels at both ends of a skip edge, before pairs have been seen.
+PRIOR = 6.0
 
 
 def luhn(digits: str) -> bool:
@@ -155,9 +162,31 @@ def features(t: Tokens, i: int, drop: int = -1) -> list[int]:
     return out
 
 
+def written_apart(t: Tokens, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str]]:
+    """(first token, last token, digits) of neighbouring tokens without letters, of which no base span has any, that have
+    together the last ten digits of a base span of ten digits or more."""
+    known = {d[-10:] for a, _, b in base if len(d := _NOT_DIGIT.sub("", text[a:b])) >= 10}
+    out: list[tuple[int, int, str]] = []
+    if not known:
+        return out
+    free = _touched(t, base) == 0
+    for i in range(len(t.texts)):
+        if out and i <= out[-1][1]:
+            continue
+        digits = ""
+        for j in range(i, len(t.texts)):
+            if not free[j] or j > i and not t.adjacent[j] or not _NUMERIC.fullmatch(t.texts[j]) or len(digits) > 19:
+                break
+            digits += _NOT_DIGIT.sub("", t.texts[j])
+            if j > i and digits[-10:] in known and len(digits) <= 19:
+                out.append((i, j, digits))
+                break
+    return out
+
+
 def same_groups(t: Tokens, text: str = "", base: list[tuple[int, int, int]] | None = None) -> list[list[int]]:
     """Groups of tokens that are equal or similar: the same letters and digits, or the same last ten of seven digits or
-    more, where the tokens of one base span have its digits together."""
+    more, where the tokens of one base span, and those written apart, have their digits together."""
     by: dict[tuple[str, str], list[int]] = {}
     whole: dict[int, str] = {}
     starts, ends = _bounds(t)
@@ -165,6 +194,8 @@ def same_groups(t: Tokens, text: str = "", base: list[tuple[int, int, int]] | No
         digits = _NOT_DIGIT.sub("", text[a:b])
         if len(digits) >= 7:
             whole |= dict.fromkeys(range(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))), digits)
+    for i, j, digits in written_apart(t, text, base or []):
+        whole |= dict.fromkeys(range(i, j + 1), digits)
     for i, own in enumerate(t.texts):
         by.setdefault(("text", _NOT_ALNUM.sub("", own).lower()), []).append(i)
         digits = whole.get(i, _NOT_DIGIT.sub("", own))
@@ -224,6 +255,12 @@ class Model:
             return base, base
         belief = self.beliefs(t, text, base)
         added = []
+        for i, j, _ in written_apart(t, text, base):
+            kinds = belief[i : j + 1, 1:].argmax(1)
+            a, b = _core(t.texts[i], t.spans[i][0])[0], _core(t.texts[j], t.spans[j][0])[1]
+            if (kinds == kinds[0]).all() and belief[i : j + 1, 1:].max(1).min() >= LEAST and _fits(int(kinds[0]), text[a:b]):
+                added.append((a, int(kinds[0]), b))
+                covered[i : j + 1] = True
         for i in np.flatnonzero(~covered & (belief[:, 1:].max(1) >= LEAST)):
             kind = int(belief[i, 1:].argmax())
             a, b = _core(t.texts[i], t.spans[i][0])
@@ -275,58 +312,95 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def _log_ratio(pairs: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    """Log of how often label pairs meet, to how often they would by chance."""
-    p = pairs + pairs.T + smooth
-    p = p / p.sum()
-    q = p.sum(1)
-    return np.clip(np.log(p / np.outer(q, q)), -6, 6)
+#: A token to learn from: its features, label, the labels before and after it in its chain (-1: none), and the commonest
+#: label of the others of each of its groups.
+Example = tuple[list[int], int, int, int, list[int]]
 
 
-def fit_texts(texts: list[str | None], epochs: int = 8, rate: float = 0.3, seed: int = 3) -> Model:
-    """Learn from the base spans of whole texts."""
+def examples(text: str | None, most: int = TOKENS) -> list[Example]:
+    """The tokens of a whole text, or so many of them, evenly spread, labelled by the base spans."""
+    if not text or not _SOME.search(text):
+        return []
+    t = tokens(text)
+    base = base_spans(text)
+    labels = _touched(t, base).tolist()
+    of_group: dict[int, list[int]] = {}
+    for g in same_groups(t, text, base):
+        seen = Counter(labels[i] for i in g)
+        for i in g:
+            others = seen - Counter([labels[i]])
+            of_group.setdefault(i, []).append(min(others, key=lambda y: (-others[y], y)))
+    n = len(labels)
+    out = []
+    for i in range(n) if n <= most else [k * n // most for k in range(most)]:
+        before = labels[i - 1] if t.adjacent[i] else -1
+        after = labels[i + 1] if i + 1 < n and t.adjacent[i + 1] else -1
+        out.append((features(t, i, _bucket("drop", i, t.texts[i]) % 3 - 1), labels[i], before, after, of_group.get(i, [])))
+    return out
+
+
+def fit_examples(rows: list[Example], epochs: int = 8, rate: float = 0.3, seed: int = 3) -> Model:
+    """All potentials, by pseudo-likelihood with steps of AdaGrad. To begin with, equal tokens favour equal labels."""
     k = len(KINDS) + 1
     rng = np.random.default_rng(seed)
-    rows: list[tuple[list[int], int]] = []
-    chain, skip = np.zeros((k, k)), np.zeros((k, k))
-    for text in texts:
-        if not text or not _SOME.search(text):
-            continue
-        t = tokens(text)
-        labels = _touched(t, base_spans(text))
-        for i in range(len(labels)):
-            rows.append((features(t, i, int(rng.integers(-1, 2))), int(labels[i])))
-        for i in np.flatnonzero(t.adjacent):
-            chain[labels[i - 1], labels[i]] += 1
-        for g in same_groups(t):
-            for i, j in zip(g, g[1:], strict=False):
-                skip[labels[i], labels[j]] += 1
-    unary, square = np.zeros((FEATURES, k)), np.full((FEATURES, k), 1e-2)
+    unary, chain, skip = np.zeros((FEATURES, k)), np.zeros((k, k)), PRIOR * np.eye(k)
     unary[_bucket("bias"), 0] = 1.0
+    squares = [np.full_like(x, 1e-2) for x in (unary, chain, skip)]
+
+    def step(which: int, table: np.ndarray, at, g: np.ndarray) -> None:
+        np.add.at(squares[which], at, g * g)
+        np.add.at(table, at, -rate * g / np.sqrt(squares[which][at]))
+
     for _ in range(epochs):
         for r in rng.permutation(len(rows)):
-            at, label = rows[r]
-            p = _softmax(unary[at].sum(0)[None])[0]
+            at, label, before, after, groups = rows[r]
+            z = unary[at].sum(0)
+            if before >= 0:
+                z = z + chain[before]
+            if after >= 0:
+                z = z + chain[:, after]
+            for other in groups:
+                z = z + skip[:, other]
+            p = _softmax(z[None])[0]
             p[label] -= 1
-            g = p + 1e-4 * unary[at]
-            np.add.at(square, at, g * g)
-            np.add.at(unary, at, -rate * g / np.sqrt(square[at]))
-    # A pair's evidence must not be weaker for want of pairs: equal tokens favour equal labels to begin with.
-    prior = np.eye(k) * 8
-    return Model(unary, _log_ratio(chain), _log_ratio(skip + prior, 0.02))
+            step(0, unary, at, p + 1e-4 * unary[at])
+            if before >= 0:
+                step(1, chain, before, p + 1e-3 * chain[before])
+            if after >= 0:
+                step(1, chain, (slice(None), after), p + 1e-3 * chain[:, after])
+            for other in groups:
+                step(2, skip, (slice(None), other), p + 1e-3 * (skip[:, other] - PRIOR * np.eye(k)[other]))
+    return Model(unary, chain, (skip + skip.T) / 2)
+
+
+def fit_texts(texts: list[str | None]) -> Model:
+    """Learn from the base spans of whole texts."""
+    return fit_examples([x for text in texts for x in examples(text)])
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from at most ``sample`` documents with digits or at signs, the first by a hash.
+    """Learn from ``sample`` documents with digits or at signs, the first by a hash, equal rows once.
 
     Only hashes are ranked (each task sends at most sample of them); then texts up to the last hash taken are fetched.
     """
-    some = docs.select("text", F.xxhash64(F.lit("pii"), "doc_id", "text").alias("h")).filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= SAMPLE_CHARS))
+    some = docs.select("text", F.xxhash64(F.lit("pii"), "doc_id", "text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
     last = some.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if last is None:
         return fit_texts([])
-    rows = some.filter(F.col("h") <= last).limit(sample).select("text").toArrow()
-    return fit_texts(sorted(rows.column(0).to_pylist()))
+
+    def cut(batches):
+        for batch in slices(batches):
+            found = [pickle.dumps(examples(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["h", "examples"])
+
+    def learn(batches):
+        rows = sorted(row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        model = fit_examples([x for _, part in rows for x in pickle.loads(part)])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    picked = some.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text"))
+    found = picked.mapInArrow(cut, "h long, examples binary").repartition(1).mapInArrow(learn, "model binary").collect()  # one row
+    return pickle.loads(found[0]["model"])
 
 
 _ROW = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"

@@ -132,6 +132,9 @@ def test_skip_chain_adds_repeats():
     text = "call +1 (456) 555-2186 now. Later 14565552186 rang."
     base, spans = m.spans(text)
     assert base == plain_spans(text) and set(base) <= set(spans) and (34, 3, 45) in spans
+    apart = "call +1 (456) 555-2186 now. Later (456) 555-2186 rang, and page 12 300."
+    base_, spans_ = m.spans(apart)
+    assert set(base_) <= set(spans_) and [apart[a:b] for a, k, b in spans_ if k == 3] == ["+1 (456) 555-2186", "456) 555-2186"]
     assert m.spans("page 12 of 300 in 1999, see 4.2")[1] == []
     assert pii.masked(text, spans) == "call <PHONE> now. Later <PHONE> rang."
 
