@@ -26,6 +26,10 @@ class MissingRequirement(MapError):
     """Something that a run needs isn't there."""
 
 
+class ExternalProgramError(MapError):
+    """A program outside Spark that a run relies on failed."""
+
+
 @dataclass(frozen=True)
 class StricterConstraints:
     min_mut_distance: int = 5

@@ -28,6 +28,12 @@ def assign(df: DataFrame, size: int, *order: str) -> DataFrame:
     return numbered(df, *order).withColumn("chunk", F.floor(F.col("row") / size).cast("long")).drop("row")
 
 
+def of_samples(chunks: DataFrame, samples: DataFrame) -> DataFrame:
+    """(sample_id, the columns of samples, n_chunks, first_chunk, last_chunk) of the samples that have chunks."""
+    grouped = chunks.groupBy("sample_id").agg(F.count("*").alias("n_chunks"), F.min("chunk").alias("first_chunk"), F.max("chunk").alias("last_chunk"))
+    return samples.join(grouped, "sample_id")
+
+
 def pair_chunks(chunks: DataFrame, key: str, is_first: Column) -> DataFrame:
     """Files of both mates that belong to one chunk: (key, r1, r2), counted."""
     return chunks.groupBy(F.col(key).alias("chunk")).agg(F.sum(is_first.cast("int")).cast("long").alias("r1"), F.sum((~is_first).cast("int")).cast("long").alias("r2"))

@@ -44,7 +44,8 @@ def with_reason(fragments: DataFrame, config: BitVectorConfig = BitVectorConfig(
 
 
 def rejected(judged: DataFrame) -> DataFrame:
-    """The rejected fragments, with the vector as text."""
+    """The rejected fragments, with their reads (no second one: empty) and the vector as text."""
     from strandframe.operators.render import dense_text
 
-    return judged.filter(F.col("reason").isNotNull()).select("qname", "rname", "reason", dense_text(F.col("bits"), F.lit(1), F.col("ref_length")).alias("bitvector"))
+    reads = [F.coalesce(F.get("seqs", i), F.lit("")).alias(f"read{i + 1}") for i in (0, 1)]
+    return judged.filter(F.col("reason").isNotNull()).select("qname", "rname", "reason", *reads, dense_text(F.col("bits"), F.lit(1), F.col("ref_length")).alias("bitvector"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandframe.functions.columns import half_even, is_base, ratio
-from strandframe.model import AMBIGUOUS, BASES, DELETION, REASONS
+from strandframe.model import AMBIGUOUS, BASES, DELETION, REASONS, InputError
 
 SUMS = ("cov", "info", "mut", "del", "ins", *BASES)
 
@@ -22,13 +22,54 @@ def _count(condition: Column) -> Column:
     return F.sum(condition.cast("int")).cast("long")
 
 
-def positions(judged: DataFrame) -> DataFrame:
-    """Counts at each position that an accepted fragment covers. cov leaves ambiguous symbols out, info takes all."""
-    each = judged.filter(F.col("reason").isNull()).select("rname", "ref_length", F.inline("bits")).filter((F.col("pos") >= 1) & (F.col("pos") <= F.col("ref_length")))
+def _symbol_counts() -> list[Column]:
     bit = F.col("bit")
-    return each.groupBy("rname", "pos").agg(
-        _count(bit != AMBIGUOUS).alias("cov"), F.count("*").alias("info"), _count(is_base(bit)).alias("mut"), _count(bit == DELETION).alias("del"), F.lit(0).cast("long").alias("ins"), *[_count(bit == b).alias(b) for b in BASES]
-    )
+    return [
+        _count(bit != AMBIGUOUS).alias("cov"), F.count("bit").alias("info"), _count(is_base(bit)).alias("mut"), _count(bit == DELETION).alias("del"), F.lit(0).cast("long").alias("ins"), *[_count(bit == b).alias(b) for b in BASES],
+    ]
+
+
+def positions(judged: DataFrame, *by: str) -> DataFrame:
+    """Counts at each position that an accepted fragment covers. cov leaves ambiguous symbols out, info takes all.
+
+    by: columns of judged (such as a part's number) by which the counts are kept apart.
+    """
+    each = judged.filter(F.col("reason").isNull()).select(*by, "rname", "ref_length", F.inline("bits")).filter((F.col("pos") >= 1) & (F.col("pos") <= F.col("ref_length")))
+    return each.groupBy(*by, "rname", "pos").agg(*_symbol_counts())
+
+
+def tallies(judged: DataFrame, *by: str) -> DataFrame:
+    """All counts in one pass: (rname, pos, n_mut, reason, the sums, reads); a row has either a position and its sums,
+    or a number of mutations, a reason and the number of such fragments. of_positions(), of_mutations() and of_reads()
+    read the three tables off it.
+
+    Each fragment becomes a row for itself and, if it counts, one for each symbol; they are added up in one shuffle.
+    """
+    row = "struct<pos:int,bit:string,n_mut:int,reason:string>"
+    own = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("bit"), F.col("n_mut").cast("int").alias("n_mut"), F.col("reason"))).cast(f"array<{row}>")
+    inside = F.filter("bits", lambda b: (b["pos"] >= 1) & (b["pos"] <= F.col("ref_length")))
+    symbols = F.transform(inside, lambda b: F.struct(b["pos"].alias("pos"), b["bit"].alias("bit"), F.lit(None).cast("int").alias("n_mut"), F.lit(None).cast("string").alias("reason"))).cast(f"array<{row}>")
+    each = judged.select(*by, "rname", F.inline(F.when(F.col("reason").isNull(), F.concat(own, symbols)).otherwise(own)))
+    return each.groupBy(*by, "rname", "pos", "n_mut", "reason").agg(*_symbol_counts(), F.count("n_mut").alias("reads"))
+
+
+def of_positions(tallied: DataFrame) -> DataFrame:
+    """positions() of tallies()."""
+    return tallied.filter("pos is not null").drop("n_mut", "reason", "reads")
+
+
+def of_mutations(tallied: DataFrame) -> DataFrame:
+    """mutation_counts() of tallies()."""
+    return tallied.filter("n_mut is not null and reason is null").select("rname", "n_mut", "reads")
+
+
+def of_reads(tallied: DataFrame) -> DataFrame:
+    """read_counts() of tallies()."""
+
+    def reads(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("reads"))), F.lit(0)).cast("long")
+
+    return tallied.filter("n_mut is not null").groupBy("rname").agg(F.sum("reads").cast("long").alias("num_reads"), reads(F.col("reason").isNull()).alias("num_aligned"), *[reads(F.col("reason") == r).alias(r) for r in REASONS])
 
 
 def mutation_counts(judged: DataFrame) -> DataFrame:
@@ -121,6 +162,55 @@ def summary(refs: DataFrame, pos: DataFrame, nmut: DataFrame, counts: DataFrame)
     return out.select(F.col("rname").alias("name"), F.col("num_reads").alias("reads"), _percent(F.col("num_aligned"), F.col("num_reads")).alias("aligned"), "no_mut", "1_mut", "2_mut", "3_mut", "3plus_mut", "sn")
 
 
+#: Columns that report() knows; the second name of a pair is another one for the same.
+REPORT_COLUMNS = (
+    "name", "sequence", "structure", "num_reads", "reads", "num_aligned", "aligned", "num_of_mutations", "no_mut", "1_mut", "2_mut", "3_mut", "3plus_mut", "percent_mutations",
+    "signal_to_noise", "sn", "read_coverage", "pop_avg", "pop_avg_del", "skips", "mod_bases", "mut_bases", "del_bases", "cov_bases", "info_bases",
+)
+
+
+def report(refs: DataFrame, tallied: DataFrame, columns: tuple[str, ...], structures: DataFrame | None = None) -> DataFrame:
+    """The columns asked for, of every reference, from staged tallies(). Series are arrays by position; num_of_mutations
+    counts fragments by number of mutations, from 0 to the reference's length; skips and mod_bases are maps.
+
+    Only what the columns need is joined.
+    """
+    if unknown := [c for c in columns if c not in REPORT_COLUMNS]:
+        raise InputError(f"unknown report columns: {', '.join(unknown)}")
+    want = set(columns)
+    counts, nmut = with_all_references(of_reads(tallied), refs), of_mutations(tallied)
+    out = refs.select("rname", "sequence").join(counts, "rname")
+    shares = ["no_mut", "1_mut", "2_mut", "3_mut", "3plus_mut"]
+    if want & {*shares, "percent_mutations"}:
+        out = out.join(percent_mutations(nmut, counts), "rname")
+    if want & {"signal_to_noise", "sn"}:
+        out = out.join(signal_to_noise(dense_positions(of_positions(tallied), refs)), "rname")
+    if "num_of_mutations" in want:
+        by_n = nmut.groupBy("rname").agg(F.map_from_entries(F.collect_list(F.struct("n_mut", "reads"))).alias("by_n"))  # at most a reference's length
+        filled = F.transform(F.sequence(F.lit(0), F.length("sequence")), lambda i: F.coalesce(F.try_element_at("by_n", i), F.lit(0).cast("long")))
+        out = out.join(by_n, "rname", "left").withColumn("num_of_mutations", filled).drop("by_n")
+    if want & {"read_coverage", "pop_avg", "pop_avg_del", "mod_bases", "mut_bases", "del_bases", "cov_bases", "info_bases"}:
+        dense = dense_positions(of_positions(tallied), refs)
+        series = F.array_sort(F.collect_list(F.struct("pos", *SUMS)))  # one entry for each position of a reference
+        out = out.join(dense.groupBy("rname").agg(series.alias("series")), "rname", "left")
+    if "structure" in want:
+        known = structures.select(F.col("name").alias("rname"), "structure") if structures is not None else refs.select("rname", F.lit(None).cast("string").alias("structure"))
+        out = out.join(known, "rname", "left")
+
+    def along(f) -> Column:
+        return F.transform(F.col("series"), f)
+
+    def counts_of(c: str) -> Column:
+        return along(lambda s: s[c])
+
+    values = {
+        "name": F.col("rname"), "reads": F.col("num_reads"), "aligned": _percent(F.col("num_aligned"), F.col("num_reads")), "signal_to_noise": F.col("sn"), "percent_mutations": F.array(*shares),
+        "read_coverage": along(lambda s: ratio(s["cov"], F.col("num_reads"))), "pop_avg": along(lambda s: half_even(ratio(s["mut"], s["info"]), 5)), "pop_avg_del": along(lambda s: half_even(ratio(s["mut"] + s["del"], s["info"]), 5)),
+        "skips": F.create_map(*[x for r in REASONS for x in (F.lit(r), F.col(r))]), "mod_bases": F.create_map(*[x for b in BASES for x in (F.lit(b), counts_of(b))]), **{f"{c}_bases": counts_of(c) for c in ("mut", "del", "cov", "info")},
+    }
+    return out.select(*[values.get(c, F.col(c)).alias(c) for c in columns])
+
+
 def skip_summary(counts: DataFrame) -> DataFrame:
     """The share of reads rejected for each reason."""
     return counts.select("rname", "num_reads", *[_percent(F.col(r), F.col("num_reads")).alias(r) for r in REASONS])

@@ -25,8 +25,8 @@ def alignment_totals(stats: DataFrame, *by: str) -> DataFrame:
 
 
 def column_stats(df: DataFrame, *columns: str) -> DataFrame:
-    """avg, min, max, and number of the numeric cells of each column."""
-    aggs = [f(number(F.col(c).cast("string"))).alias(f"{n}_{c}" if len(columns) > 1 or n != "n" else "n") for c in columns for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max), ("n", F.count))]
+    """avg, min, max, total and number of the numeric cells of each column."""
+    aggs = [f(number(F.col(c).cast("string"))).alias(f"{n}_{c}" if len(columns) > 1 or n != "n" else "n") for c in columns for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max), ("total", F.sum), ("n", F.count))]
     return df.agg(*aggs)
 
 
@@ -36,6 +36,22 @@ def mutated_share(df: DataFrame, column: str) -> DataFrame:
     return df.agg(n.alias("sequences_with_mutations"), (n / F.nullif(F.count("*"), F.lit(0)) * 100).alias("mutation_rate"))
 
 
+def workflow_report(alignment: DataFrame, rows: DataFrame, *columns: str, mutations: str | None = None) -> DataFrame:
+    """One row for a run: totals and rate of its alignment chunks, number of sequences, statistics of the summary's
+    numeric columns and, if the column is named, the share of sequences with mutations."""
+    totals = alignment_totals(alignment)
+    parts = [totals.withColumn("parallel_mode", F.col("chunks_processed") > 1), rows.agg(F.count("*").alias("sequences_analyzed"))]
+    if columns:
+        stats = [f(number(F.col(c).cast("string"))).alias(f"{n}_{c}") for c in columns for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max), ("total", F.sum))]
+        parts.append(rows.agg(*stats))
+    if mutations:
+        parts.append(mutated_share(rows, mutations))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.join(F.broadcast(part))  # one row each
+    return out
+
+
 def parse_alignment_log(text: Column) -> Column:
     """The figures of an aligner's log as a struct; null where a line is missing."""
     def one(pattern: str, kind: str, group: int = 1) -> Column:

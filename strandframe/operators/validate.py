@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.model import InputError
+from strandframe.model import InputError, MissingRequirement
 from strandframe.sources import files
 
 
@@ -20,10 +20,16 @@ def fasta_violations(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("line", message.alias("message")).filter("message is not null")
 
 
+def fasta_warnings(spark: SparkSession, path: str, most: int = 1000) -> list[str]:
+    """Messages about what is allowed, but unusual: more than so many sequences."""
+    n = files.fasta(spark, path).count()
+    return [f"{n} sequences, which is more than {most}"] if n > most else []
+
+
 def fastq_violations(spark: SparkSession, path: str) -> DataFrame:
     """(file, number, message) of the records of FASTQ files."""
-    reads = files.fastq(spark, path)
-    message = F.when(F.col("qual").isNull(), "record is cut off").when(F.length("seq") != F.length("qual"), "sequence and qualities differ in length")
+    reads = files.fastq_records(spark, path)
+    message = F.when(~F.coalesce(F.col("head").startswith("@"), F.lit(False)), "a record must start with @").when(F.col("qual").isNull(), "record is cut off").when(~F.col("plus").startswith("+"), "the third line of a record must start with +").when(F.length("seq") != F.length("qual"), "sequence and qualities differ in length")
     return reads.select("file", "number", message.alias("message")).filter("message is not null")
 
 
@@ -34,6 +40,31 @@ def structure_violations(refs: DataFrame, structures: DataFrame) -> DataFrame:
     return both.select(F.coalesce("name", "rname").alias("name"), message.alias("message")).filter("message is not null")
 
 
+def table_violations(structures: DataFrame, refs: DataFrame) -> DataFrame:
+    """(name, message) of a table of structures: columns it lacks, another number of rows than references, and
+    structure_violations()."""
+    spark = refs.sparkSession
+    lacking = [c for c in ("name", "sequence", "structure") if c not in structures.columns]
+    if lacking:
+        return spark.createDataFrame([(c, "no such column") for c in lacking], "name string, message string")
+    numbers = structures.agg(F.count("*").alias("s")).join(F.broadcast(refs.agg(F.count("*").alias("r"))))
+    uneven = numbers.filter("s <> r").select(F.lit("").alias("name"), F.concat(F.col("s").cast("string"), F.lit(" rows for "), F.col("r").cast("string"), F.lit(" references")).alias("message"))
+    return uneven.unionByName(structure_violations(refs, structures))
+
+
+def validate_inputs(spark: SparkSession, fasta: str | None, fastq1: str | None, fastq2: str | None = None, structures: str | None = None) -> list[str]:
+    """Check all inputs of a run: MissingRequirement if one that is needed isn't given, InputError for the first rule
+    that is broken; the warnings. All files are read by Spark."""
+    if not fasta or not fastq1:
+        raise MissingRequirement("a run needs references (FASTA) and reads (FASTQ)")
+    require(fasta_violations(spark, fasta), fasta)
+    for path in filter(None, (fastq1, fastq2)):
+        require(fastq_violations(spark, path), path)
+    if structures:
+        require(table_violations(spark.read.csv(structures, header=True), files.fasta(spark, fasta)), structures)
+    return fasta_warnings(spark, fasta)
+
+
 def require(violations: DataFrame, what: str) -> None:
     """InputError with the first violation, if there is one."""
     first = violations.orderBy(violations.columns[0]).limit(1).collect()

@@ -16,7 +16,7 @@ from strandframe.model import AMBIGUOUS, BITS, DELETION, MATCH, MISSING, BitVect
 _MODES = {"basic": ("[A-Z]", ("M",), ("D",), ("I",), ()), "sam": ("[A-Z=]", ("M", "=", "X"), ("D", "N"), ("I",), ("H", "P"))}
 
 
-_FRAGMENT = ("qname", "rname", "sequence", "ref_length", "mapqs", "lengths")
+_FRAGMENT = ("qname", "rname", "sequence", "ref_length", "mapqs", "lengths", "seqs")
 
 
 def placed_ops(cigar: Column, pos: Column, mode: str = "basic") -> Column:
@@ -66,8 +66,11 @@ def read_bits(cigar: Column, pos: Column, seq: Column, qual: Column, sequence: C
 
 
 def with_reference(reads: DataFrame, refs: DataFrame) -> DataFrame:
-    """Reads with their reference's sequence and length; reads of unknown references are left out (see unknown_references)."""
-    return reads.join(refs.select("rname", "sequence", F.length("sequence").alias("ref_length")), "rname")
+    """Reads with their reference's sequence and length; a read of an unknown reference is an error when it is met (leave
+    such reads out first, by an anti-join with unknown_references(), if they may occur)."""
+    known = reads.join(refs.select("rname", "sequence", F.length("sequence").alias("ref_length"), F.lit(True).alias("ref_known")), "rname", "left")
+    met = F.when(F.col("ref_known"), True).otherwise(F.raise_error(F.concat(F.lit("read of an unknown reference: "), F.coalesce("rname", F.lit("(none)")))).cast("boolean"))
+    return known.filter(met).drop("ref_known")
 
 
 def unknown_references(reads: DataFrame, refs: DataFrame) -> DataFrame:
@@ -80,19 +83,49 @@ def _once(df: DataFrame, name: str, value: Column, *columns: str) -> DataFrame:
 
 
 def single_fragments(reads: DataFrame, refs: DataFrame, config: BitVectorConfig = BitVectorConfig()) -> DataFrame:
-    """(qname, rname, sequence, ref_length, mapqs, lengths, bits): one row for each read."""
+    """(qname, rname, sequence, ref_length, mapqs, lengths, seqs, bits): one row for each read."""
     known = with_reference(reads, refs)
     bits = read_bits(*(F.col(c) for c in ("cigar", "pos", "seq", "qual", "sequence")), config)
-    known = known.withColumn("mapqs", F.array("mapq")).withColumn("lengths", F.array(F.length("seq")))
+    known = known.withColumn("mapqs", F.array("mapq")).withColumn("lengths", F.array(F.length("seq"))).withColumn("seqs", F.array("seq"))
     return _once(known, "bits", bits, *_FRAGMENT)
 
 
+def _agree() -> Column:
+    return (F.col("r1.pnext") == F.col("r2.pos")) & (F.col("r1.rname") == F.col("r2.rname")) & (F.col("r1.rnext") == "=") & (F.col("r1.mapq") == F.col("r2.mapq"))
+
+
+def _primary(reads: DataFrame) -> DataFrame:
+    """Without secondary and supplementary lines, if reads have flags."""
+    return reads.filter(F.col("flag").cast("int").bitwiseAND(0x900) == 0) if "flag" in reads.columns else reads
+
+
+def fragments_by_name(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
+    """(qname, r1, r2, n1, n2): the two mates of each query name (null: missing) and how many lines each has. One
+    shuffle, in which each read moves once."""
+    read = F.struct(*[c for c in reads.columns if c != mate_col])
+    sides = [F.first(F.when(F.col(mate_col) == m, read), ignorenulls=True).alias(f"r{m}") for m in (1, 2)]
+    return _primary(reads).groupBy("qname").agg(*sides, *[F.count_if(F.col(mate_col) == m).alias(f"n{m}") for m in (1, 2)])
+
+
 def consistent_pairs(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
-    """Mates joined on the query name: (qname, rname, r1, r2) of the pairs that agree on each other's place, the
-    reference and the mapping quality. One shuffle, on the query name."""
-    r1, r2 = (reads.filter(F.col(mate_col) == m).select("qname", F.struct(*[c for c in reads.columns if c != mate_col]).alias(f"r{m}")) for m in (1, 2))
-    agree = (F.col("r1.pnext") == F.col("r2.pos")) & (F.col("r1.rname") == F.col("r2.rname")) & (F.col("r1.rnext") == "=") & (F.col("r1.mapq") == F.col("r2.mapq"))
-    return r1.join(r2, "qname").filter(agree).select("qname", F.col("r1.rname").alias("rname"), "r1", "r2")
+    """(qname, rname, r1, r2) of the pairs, by query name, that agree on each other's place, the reference and the
+    mapping quality. A name with more than one line for a mate is no pair."""
+    return fragments_by_name(reads, mate_col).filter((F.col("n1") == 1) & (F.col("n2") == 1) & _agree()).select("qname", F.col("r1.rname").alias("rname"), "r1", "r2")
+
+
+def orphans(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
+    """The reads whose mate is missing, as single reads."""
+    one = fragments_by_name(reads, mate_col).filter((F.col("n1") + F.col("n2")) == 1)
+    return one.select(F.coalesce("r1", "r2").alias("r")).select("r.*")
+
+
+def positional_pairs(reads: DataFrame) -> DataFrame:
+    """(qname, rname, r1, r2) of reads (file, number, and an aligned read's columns) paired by their place: numbers 2k
+    and 2k + 1 of a file, kept if they agree, also on the query name. One shuffle."""
+    read = F.struct(*[c for c in reads.columns if c not in ("file", "number")])
+    sides = [F.first(F.when(F.col("number") % 2 == m, read), ignorenulls=True).alias(f"r{m + 1}") for m in (0, 1)]
+    pairs = reads.groupBy("file", F.floor(F.col("number") / 2).alias("pair")).agg(*sides)
+    return pairs.filter(_agree() & (F.col("r1.qname") == F.col("r2.qname"))).select(F.col("r1.qname").alias("qname"), F.col("r1.rname").alias("rname"), "r1", "r2")
 
 
 def merge_bits(a: Column, b: Column) -> Column:
@@ -105,5 +138,5 @@ def paired_fragments(pairs: DataFrame, refs: DataFrame, config: BitVectorConfig
     """As single_fragments, one row for each pair of consistent_pairs()."""
     known = with_reference(pairs, refs)
     one, two = (read_bits(*(F.col(f"r{m}.{c}") for c in ("cigar", "pos", "seq", "qual")), F.col("sequence"), config) for m in (1, 2))
-    known = known.withColumn("mapqs", F.array("r1.mapq", "r2.mapq")).withColumn("lengths", F.array(F.length("r1.seq"), F.length("r2.seq")))
+    known = known.withColumn("mapqs", F.array("r1.mapq", "r2.mapq")).withColumn("lengths", F.array(F.length("r1.seq"), F.length("r2.seq"))).withColumn("seqs", F.array("r1.seq", "r2.seq"))
     return _once(known, "bits", merge_bits(one, two), *_FRAGMENT)

@@ -12,7 +12,9 @@ from strandframe.functions.columns import deletion_is_ambiguous
 from strandframe.model import BitVectorConfig, StricterConstraints
 from strandframe.operators import chunks, filters, histogram, reads, render, reports, trials, vectors
 from strandframe.plans import synth
-from strandframe.session import shared_dir
+from strandframe.session import shared_dir, stage
+from strandframe.sinks import files as sinks
+from strandframe.sources import files
 from strandframe.streaming import merge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,14 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return vectors.consistent_pairs(synth.mates(spark, d).select(*columns))
 
 
+def _tallied(spark: SparkSession, d: str, config: BitVectorConfig = BitVectorConfig(), *by: str) -> DataFrame:
+    """All counts, made in one pass over the reads and staged: a row for each position and number of mutations."""
+    judged = _judged(spark, d, config)
+    if by:
+        judged = judged.withColumn("part", F.pmod(F.split("qname", ":")[0].cast("long"), F.lit(4)))
+    return stage(histogram.tallies(judged, *by), "tallies")
+
+
 def _dense(spark: SparkSession, d: str) -> DataFrame:
     return histogram.dense_positions(histogram.positions(_judged(spark, d)), synth.references(spark, d))
 
@@ -183,19 +193,33 @@ def hist_dense(spark, d):
 
 
 def _parts(spark: SparkSession, d: str) -> list[DataFrame]:
-    key = F.pmod(F.split("qname", ":")[0].cast("long"), F.lit(4))
-    judged = _judged(spark, d)
-    return [histogram.positions(judged.filter(key == i)) for i in range(4)]
+    """The tallies of four parts of the reads, by a hash of their names."""
+    tallied = _tallied(spark, d, BitVectorConfig(), "part")
+    return [tallied.filter(F.col("part") == i).drop("part") for i in range(4)]
+
+
+def _position_parts(spark: SparkSession, d: str) -> list[DataFrame]:
+    return [histogram.of_positions(p) for p in _parts(spark, d)]
 
 
 @query
 def merge_chunks(spark, d):
-    return histogram.merge_positions(_parts(spark, d))
+    return histogram.merge_positions(_position_parts(spark, d))
+
+
+@query
+def merge_mutation_counts(spark, d):
+    return histogram.merge_mutation_counts([histogram.of_mutations(p) for p in _parts(spark, d)])
+
+
+@query
+def merge_read_counts(spark, d):
+    return histogram.merge_read_counts([histogram.of_reads(p) for p in _parts(spark, d)])
 
 
 @query
 def merge_chunks_strict(spark, d):
-    return histogram.merge_positions(_parts(spark, d), strict=True).select("rname", "pos", "cov", "info", "mut", "del")
+    return histogram.merge_positions(_position_parts(spark, d), strict=True).select("rname", "pos", "cov", "info", "mut", "del")
 
 
 @query
@@ -216,12 +240,15 @@ def mutation_rate(spark, d):
 
 @query
 def read_coverage(spark, d):
-    return histogram.read_coverage(_dense(spark, d), _counts(spark, d))
+    tallied, refs = _tallied(spark, d), synth.references(spark, d)
+    dense = histogram.dense_positions(histogram.of_positions(tallied), refs)
+    return histogram.read_coverage(dense, histogram.with_all_references(histogram.of_reads(tallied), refs))
 
 
 @query
 def percent_mutations(spark, d):
-    return histogram.percent_mutations(histogram.mutation_counts(_judged(spark, d)), _counts(spark, d))
+    tallied = _tallied(spark, d)
+    return histogram.percent_mutations(histogram.of_mutations(tallied), histogram.with_all_references(histogram.of_reads(tallied), synth.references(spark, d)))
 
 
 @query
@@ -231,8 +258,28 @@ def signal_to_noise(spark, d):
 
 @query
 def summary(spark, d):
-    judged = _judged(spark, d)
-    return histogram.summary(synth.references(spark, d), histogram.positions(judged), histogram.mutation_counts(judged), histogram.read_counts(judged))
+    tallied = _tallied(spark, d)
+    return histogram.summary(synth.references(spark, d), histogram.of_positions(tallied), histogram.of_mutations(tallied), histogram.of_reads(tallied))
+
+
+@query
+def report_columns(spark, d):
+    columns = ("name", "structure", "reads", "num_aligned", "aligned", "no_mut", "1_mut", "2_mut", "3_mut", "3plus_mut", "sn")
+    return histogram.report(synth.references(spark, d), _tallied(spark, d), columns, synth.structures(spark, d))
+
+
+@query
+def report_series(spark, d):
+    columns = ("name", "cov_bases", "info_bases", "mut_bases", "del_bases", "read_coverage", "pop_avg", "pop_avg_del")
+    wide = histogram.report(synth.references(spark, d), _tallied(spark, d), columns)
+    each = wide.select("name", F.posexplode(F.arrays_zip(*columns[1:])).alias("at", "x"))
+    return each.select("name", (F.col("at") + 1).alias("pos"), "x.*")
+
+
+@query
+def report_mutations(spark, d):
+    wide = histogram.report(synth.references(spark, d), _tallied(spark, d), ("name", "num_of_mutations"))
+    return wide.select("name", F.posexplode("num_of_mutations").alias("n_mut", "reads")).filter("reads > 0")
 
 
 @query
@@ -248,7 +295,7 @@ def nonempty_distribution(spark, d):
 @query
 def impl_diff(spark, d):
     """Position counts of whole-table and of merged counting, compared."""
-    return reports.differences(histogram.positions(_judged(spark, d)), histogram.merge_positions(_parts(spark, d)), ["rname", "pos"])
+    return reports.differences(histogram.positions(_judged(spark, d)), histogram.merge_positions(_position_parts(spark, d)), ["rname", "pos"])
 
 
 @query
@@ -335,11 +382,23 @@ def fastq_qc(spark, d):
 
 @query
 def demultiplex(spark, d):
+    """Barcodes of two letters for the first sixteen nations; reads by the one they begin with."""
+    letter = [F.substr(F.lit("ACGT"), x.cast("int") + 1, F.lit(1)) for x in (F.floor(F.col("n_nationkey") / 4), F.col("n_nationkey") % 4)]
+    barcodes = spark.read.parquet(f"{d}/nation.parquet").filter("n_nationkey < 16").select(F.col("n_name").alias("sample_id"), F.concat(*letter).alias("barcode"))
+    return reads.demultiplex(synth.mates(spark, d).select("qname", "mate", "seq", "qual"), barcodes)
+
+
+@query
+def barcode_counts(spark, d):
     return reads.barcode_counts(synth.mates(spark, d), 2)
 
 
 @query
-def stream_merge(spark, d):
+def quality_trim(spark, d):
+    return reads.quality_trim(synth.mates(spark, d).select("qname", "mate", "seq", "qual"), 25, 20)
+
+
+def _streamed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The reads, written as files, counted as a stream of micro-batches and merged."""
     folder = shared_dir(spark, "stream")
     source = synth.reads(spark, d).drop("key")
@@ -347,3 +406,119 @@ def stream_merge(spark, d):
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/in")
     merge.count_stream(stream, synth.references(spark, d), f"{folder}/out", f"{folder}/state").awaitTermination()
     return merge.merged(spark, f"{folder}/out")
+
+
+@query
+def stream_merge(spark, d):
+    return _streamed(spark, d)[0]
+
+
+@query
+def stream_summary(spark, d):
+    """The summary of a stream's counts."""
+    pos, nmut, counts = _streamed(spark, d)
+    return histogram.summary(synth.references(spark, d), pos, nmut, counts)
+
+
+@query
+def positional_pairs(spark, d):
+    """The mates, written as SAM lines that follow each other, paired by their places."""
+    folder = shared_dir(spark, "sam")
+    sinks.sam(synth.mates(spark, d), synth.references(spark, d), folder, "key", "mate")
+    return vectors.positional_pairs(files.numbered_sam(spark, folder)).select("qname", "rname", F.col("r1.mapq").alias("mapq"))
+
+
+@query
+def orphans(spark, d):
+    """Reads without the second mates of every seventh order."""
+    gone = (F.col("mate") == 2) & (F.split("key", ":")[0].cast("long") % 7 == 0)
+    return vectors.orphans(synth.mates(spark, d).filter(~gone)).select("qname", "rname", "pos", "cigar")
+
+
+@query
+def sam_scan(spark, d):
+    folder = shared_dir(spark, "sam")
+    sinks.sam(synth.mates(spark, d), synth.references(spark, d), folder)
+    return files.with_mate(files.sam(spark, folder)).select("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "seq", "qual", "mate")
+
+
+@query
+def joined_sam(spark, d):
+    """The mates, written as two chunks and joined."""
+    folder = shared_dir(spark, "sam")
+    for m in (1, 2):
+        sinks.sam(synth.mates(spark, d).filter(F.col("mate") == m), synth.references(spark, d), f"{folder}/{m}")
+    sinks.joined_sam(spark, [f"{folder}/1", f"{folder}/2"], f"{folder}/all")
+    return files.sam(spark, f"{folder}/all/*").select("qname", "rname", "pos", "flag")
+
+
+@query
+def fasta_scan(spark, d):
+    folder = shared_dir(spark, "fasta")
+    synth.references(spark, d).select(F.concat(F.lit(">"), F.col("rname"), F.lit("\n"), F.col("sequence")).alias("value")).write.text(folder)
+    return files.fasta(spark, folder)
+
+
+@query
+def fastq_scan(spark, d):
+    """The first mates in chunks of a thousand reads by key, written as FASTQ and read back."""
+    folder = shared_dir(spark, "fastq")
+    sinks.fastq_chunks(chunks.numbered(synth.reads(spark, d).select("qname", "seq", "qual"), "qname").withColumn("chunk", F.floor(F.col("row") / 1000)), folder)
+    return files.fastq(spark, f"{folder}/*").select("qname", "seq", "qual")
+
+
+@query
+def json_roundtrip(spark, d):
+    """Accepted vectors as JSON lines and back: their mutations, deletions and ambiguous symbols, counted."""
+    folder = shared_dir(spark, "json")
+    sinks.bit_vectors_json(_judged(spark, d), folder)
+    each = files.bit_vectors_json(spark, folder).select("rname", F.inline("bits"))
+    return each.groupBy("rname", "pos", "bit").agg(F.count("*").alias("n"))
+
+
+@query
+def text_roundtrip(spark, d):
+    """Accepted vectors as text, a file for each reference, and back."""
+    folder = shared_dir(spark, "text")
+    sinks.bit_vectors_text(_judged(spark, d), folder, pieces=1)
+    return files.bit_vector_text(spark, f"{folder}/*/*").select("qname", "rname", F.inline("bits"))
+
+
+@query
+def histogram_roundtrip(spark, d):
+    """Histograms as JSON and back: the counts of positions."""
+    folder, tallied = shared_dir(spark, "histograms"), _tallied(spark, d)
+    sinks.histogram_json(synth.references(spark, d), histogram.of_positions(tallied), histogram.of_mutations(tallied), histogram.of_reads(tallied), folder, structures=synth.structures(spark, d))
+    return files.histogram_json(spark, folder)[0]
+
+
+@query
+def grouped_chunks(spark, d):
+    """Chunks of orders by customer, with the customer's name."""
+    cut = _orders(spark, d, "o_orderkey", "o_custkey").select(F.col("o_custkey").alias("sample_id"), F.floor(F.col("o_orderkey") / 1000).alias("chunk")).distinct()
+    samples = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("sample_id"), "c_name")
+    return chunks.of_samples(cut, samples)
+
+
+@query
+def workflow_report(spark, d):
+    """Orders as chunks of an alignment, customers as rows of a summary."""
+    stats = _orders(spark, d, "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("total_reads"), F.lit(None).cast("long").alias("aligned_count"), (F.col("o_custkey") % 10).alias("unaligned_count"))
+    cell = F.when(F.col("c_custkey") % 5 == 0, "NA").otherwise((F.col("c_custkey") % 3).cast("string"))
+    rows = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").cast("string").alias("num_reads"), cell.alias("num_mutations"))
+    return reports.workflow_report(stats, rows, "num_reads", "num_mutations", mutations="num_mutations")
+
+
+@query
+def alignment_log(spark, d):
+    """Logs of an aligner made of orders, and parsed."""
+    n, once, more = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_custkey") % 7
+    text = F.concat(n.cast("string"), F.lit(" reads; of these:\n    "), more.cast("string"), F.lit(" (1.50%) aligned 0 times\n    "), once.cast("string"), F.lit(" (97.25%) aligned exactly 1 time\n98.50% overall alignment rate\n"))
+    parsed = _orders(spark, d, "o_orderkey", "o_custkey").select("o_orderkey", reports.parse_alignment_log(text).alias("log"))
+    return parsed.select("o_orderkey", "log.total_reads", "log.unaligned_count", "log.unique_count", "log.unique_percent", "log.multiple_count", "log.overall_alignment_rate")
+
+
+@query
+def quality_score(spark, d):
+    parts = [(F.col("o_custkey") % 100) / 100.0, (F.col("o_orderkey") % 100) / 100.0, (F.col("o_orderkey") % 80).cast("double"), (F.col("o_custkey") % 10) / 10.0]
+    return _orders(spark, d, "o_orderkey", "o_custkey").select("o_orderkey", reports.quality_score(*parts).alias("score"))

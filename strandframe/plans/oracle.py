@@ -47,7 +47,7 @@ paired_bits AS (SELECT p.key, p.qname, p.rname, pos,
   FROM both_bits JOIN pairs p USING (key)),
 muts AS (SELECT key, pos, pos - lag(pos) OVER (PARTITION BY key ORDER BY pos) AS gap FROM bits1 WHERE bit IN {BASE}),
 frag_muts AS (SELECT key, count(*) FILTER (pos BETWEEN 1 AND 64) AS n_mut, min(gap) AS gap FROM muts GROUP BY key),
-frags AS (SELECT m.key, m.qname, m.rname, m.mapq, length(m.seq) AS n, coalesce(f.n_mut, 0) AS n_mut,
+frags AS (SELECT m.key, m.qname, m.rname, m.mapq, m.seq, length(m.seq) AS n, coalesce(f.n_mut, 0) AS n_mut,
   CASE WHEN m.mapq < 15 THEN 'low_mapq' END AS reason,
   CASE WHEN m.mapq < 15 THEN 'low_mapq' WHEN length(m.seq) / 64.0 < 0.4 THEN 'short_read' WHEN coalesce(f.n_mut, 0) > 2 THEN 'too_many_muts' WHEN f.gap <= 5 THEN 'muts_too_close' END AS strict
   FROM mates m LEFT JOIN frag_muts f ON m.key = f.key WHERE m.mate = 1),
@@ -95,6 +95,8 @@ _TOP = f"(SELECT * FROM {_ORDERS} ORDER BY quality_score DESC, trial LIMIT 100)"
 _LONG = f"(SELECT trial, quality_score, unnest(['p_status', 'p_priority', 'p_cust']) AS param, unnest([p_status, p_priority, p_cust]) AS value FROM {_TOP})"
 _COUNTED = f"(SELECT param, value, count(*) AS n, arg_min(trial, (-quality_score, trial)) AS t0, min((-quality_score, trial)) AS first_seen FROM {_LONG} WHERE value IS NOT NULL GROUP BY param, value)"
 
+_ALIGNED = "CASE WHEN num_reads = 0 THEN 0.0 ELSE round_even(num_aligned::DOUBLE / num_reads * 100, 2) END"
+
 ORACLE: dict[str, str] = {
     "synth_refs": sql("SELECT rname, sequence FROM refs"),
     "synth_reads": sql("SELECT qname, flag, rname, pos, mapq, cigar, rnext, pnext, seq, qual, mate FROM mates"),
@@ -113,7 +115,7 @@ ORACLE: dict[str, str] = {
     "pair_hist": sql(f"SELECT rname, pos, count(*) FILTER (bit <> '?') AS cov, count(*) AS info, count(*) FILTER (bit IN {BASE}) AS mut, count(*) FILTER (bit = '1') AS del FROM paired_bits b JOIN pairs p USING (key, qname, rname) WHERE q1 >= 15 AND q2 >= 15 AND pos BETWEEN 1 AND 64 GROUP BY rname, pos"),
     "filter_reason": sql("SELECT qname, rname, n_mut::INT AS n_mut, strict AS reason FROM frags"),
     **{f"filter_{r}": sql(f"SELECT qname FROM frags WHERE strict = '{r}'") for r in ("low_mapq", "short_read", "too_many_muts", "muts_too_close")},
-    "rejected": sql(f"SELECT f.qname, f.rname, f.strict AS reason, {TEXT} AS bitvector FROM frags f JOIN every e ON f.rname = e.rname LEFT JOIN bits1 b ON b.key = f.key AND b.pos = e.pos WHERE f.strict IS NOT NULL GROUP BY f.key, f.qname, f.rname, f.strict"),
+    "rejected": sql(f"SELECT f.qname, f.rname, f.strict AS reason, f.seq AS read1, '' AS read2, {TEXT} AS bitvector FROM frags f JOIN every e ON f.rname = e.rname LEFT JOIN bits1 b ON b.key = f.key AND b.pos = e.pos WHERE f.strict IS NOT NULL GROUP BY f.key, f.qname, f.rname, f.seq, f.strict"),
     "unknown_reference": sql("SELECT m.qname, m.rname FROM mates m WHERE m.mate = 1 AND m.rname NOT IN (SELECT name FROM structures)"),
     "csv_fasta_check": sql("SELECT r.rname FROM refs r LEFT JOIN structures s ON r.rname = s.name WHERE s.name IS NULL"),
     "hist_pos": sql("SELECT * FROM pos_counts"),
@@ -137,7 +139,7 @@ ORACLE: dict[str, str] = {
     "chunk_cross_index": "SELECT o_orderkey, n_name FROM orders, (SELECT n_name FROM nation ORDER BY n_nationkey LIMIT 1)",
     "sample_names": "SELECT o_orderkey, concat('s', o_custkey % 50) AS sample_id, (o_orderkey % 9)::INT AS chunk FROM orders",
     "alignment_totals": "SELECT o_custkey % 50 AS sample_id, sum(o_orderkey)::BIGINT AS total_reads, sum(o_orderkey - o_custkey % 10)::BIGINT AS aligned_count, sum(o_custkey % 10)::BIGINT AS unaligned_count, sum(o_orderkey - o_custkey % 10)::DOUBLE / sum(o_orderkey) * 100 AS overall_alignment_rate, count(*) AS chunks_processed FROM orders GROUP BY o_custkey % 50",
-    "column_stats": "SELECT avg(v) AS avg_v, min(v) AS min_v, max(v) AS max_v, count(v) AS n FROM (SELECT TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'NA' WHEN o_orderkey % 7 = 0 THEN '' ELSE (o_custkey)::VARCHAR END AS DOUBLE) AS v FROM orders)",
+    "column_stats": "SELECT avg(v) AS avg_v, min(v) AS min_v, max(v) AS max_v, sum(v) AS total_v, count(v) AS n FROM (SELECT TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'NA' WHEN o_orderkey % 7 = 0 THEN '' ELSE (o_custkey)::VARCHAR END AS DOUBLE) AS v FROM orders)",
     "mutated_share": "SELECT count(*) FILTER (v > 0) AS sequences_with_mutations, count(*) FILTER (v > 0)::DOUBLE / count(*) * 100 AS mutation_rate FROM (SELECT TRY_CAST(CASE WHEN o_orderkey % 5 = 0 THEN 'NA' ELSE (o_custkey % 3)::VARCHAR END AS DOUBLE) AS v FROM orders)",
     "top_params": f"SELECT trial, quality_score, p_status, p_priority, p_cust FROM {_TOP}",
     "param_frequency": f"SELECT param, value, n, n::DOUBLE / sum(n) OVER (PARTITION BY param) AS frequency FROM {_COUNTED}",
@@ -147,5 +149,26 @@ ORACLE: dict[str, str] = {
     "union_sam": sql("SELECT qname, rname, pos, mate FROM mates"),
     "stream_merge": sql("SELECT * FROM pos_counts"),
     "fastq_qc": sql("SELECT (cycle + 1)::INT AS cycle, count(*) AS reads, avg(ascii(substr(qual, (cycle + 1)::INT, 1)) - 33) AS mean_quality, count(*) FILTER (substr(seq, (cycle + 1)::INT, 1) IN ('G', 'C'))::DOUBLE / count(*) AS gc FROM (SELECT seq, qual, unnest(range(0, length(seq))) AS cycle FROM mates) GROUP BY cycle"),
-    "demultiplex": sql("SELECT substr(seq, 1, 2) AS barcode, count(*) AS reads FROM mates GROUP BY 1"),
+    "barcode_counts": sql("SELECT substr(seq, 1, 2) AS barcode, count(*) AS reads FROM mates GROUP BY 1"),
+    "demultiplex": sql("SELECT n_name AS sample_id, qname, mate::INT AS mate, substr(seq, 3) AS seq, substr(qual, 3) AS qual, substr(seq, 1, 2) AS barcode FROM mates JOIN nation ON n_nationkey < 16 AND substr(seq, 1, 2) = concat(substr('ACGT', (n_nationkey // 4 + 1)::INT, 1), substr('ACGT', (n_nationkey % 4 + 1)::INT, 1))"),
+    "quality_trim": sql("SELECT qname, mate::INT AS mate, substr(seq, 1, len - cut) AS seq, substr(qual, 1, len - cut) AS qual FROM (SELECT qname, mate, any_value(seq) AS seq, any_value(qual) AS qual, any_value(len) AS len, coalesce(arg_max(n, (s, -n)) FILTER (s > 0 AND n < coalesce(over, 1000000)), 0)::BIGINT AS cut FROM (SELECT *, min(n) FILTER (s < 0) OVER (PARTITION BY qname, mate) AS over FROM (SELECT *, sum(25 - (ascii(substr(qual, (len - n + 1)::INT, 1)) - 33)) OVER (PARTITION BY qname, mate ORDER BY n) AS s FROM (SELECT qname, mate, seq, qual, length(qual) AS len, unnest(range(1, length(qual) + 1)) AS n FROM mates))) GROUP BY qname, mate) WHERE len - cut >= 20"),
+    "merge_mutation_counts": sql("SELECT * FROM nmut_counts"),
+    "merge_read_counts": sql("SELECT rname, count(*) AS num_reads, count(*) FILTER (reason IS NULL) AS num_aligned, count(*) FILTER (reason = 'low_mapq') AS low_mapq, 0::BIGINT AS short_read, 0::BIGINT AS too_many_muts, 0::BIGINT AS muts_too_close FROM frags GROUP BY rname"),
+    "report_columns": sql(f'SELECT c.rname AS name, s.structure, num_reads AS reads, num_aligned, {_ALIGNED} AS aligned, m0 AS no_mut, m1 AS "1_mut", m2 AS "2_mut", m3 AS "3_mut", m5 AS "3plus_mut", sn FROM plain_counts c JOIN pct ON c.rname = pct.rname JOIN sn ON c.rname = sn.rname LEFT JOIN structures s ON s.name = c.rname'),
+    "report_series": sql(f"SELECT d.rname AS name, d.pos, cov AS cov_bases, info AS info_bases, mut AS mut_bases, del AS del_bases, CASE WHEN c.num_reads = 0 THEN 'NaN'::DOUBLE ELSE cov::DOUBLE / c.num_reads END AS read_coverage, {_RATE.format('mut')} AS pop_avg, {_RATE.format('mut + del')} AS pop_avg_del FROM dense d JOIN plain_counts c ON d.rname = c.rname"),
+    "report_mutations": sql("SELECT rname AS name, n_mut, reads FROM nmut_counts"),
+    "stream_summary": sql(f'SELECT c.rname AS name, num_reads AS reads, {_ALIGNED} AS aligned, m0 AS no_mut, m1 AS "1_mut", m2 AS "2_mut", m3 AS "3_mut", m5 AS "3plus_mut", sn FROM plain_counts c JOIN pct ON c.rname = pct.rname JOIN sn ON c.rname = sn.rname'),
+    "positional_pairs": sql("SELECT qname, rname, q1 AS mapq FROM pairs"),
+    "orphans": sql("SELECT qname, rname, pos, cigar FROM mates WHERE mate = 1 AND split_part(key, ':', 1)::BIGINT % 7 = 0"),
+    "sam_scan": sql("SELECT qname, flag, rname, pos, mapq, cigar, rnext, pnext, seq, qual, mate::INT AS mate FROM mates"),
+    "joined_sam": sql("SELECT qname, rname, pos, flag FROM mates"),
+    "fasta_scan": sql("SELECT rname, sequence FROM refs"),
+    "fastq_scan": sql("SELECT qname, seq, qual FROM mates WHERE mate = 1"),
+    "json_roundtrip": sql(f"SELECT b.rname, pos, bit, count(*) AS n FROM bits1 b JOIN frags f ON b.key = f.key AND f.reason IS NULL WHERE bit IN {BASE} OR bit IN ('1', '?') GROUP BY b.rname, pos, bit"),
+    "text_roundtrip": sql("SELECT b.qname, b.rname, pos, bit FROM bits1 b JOIN frags f ON b.key = f.key AND f.reason IS NULL WHERE pos BETWEEN 1 AND 64"),
+    "histogram_roundtrip": sql("SELECT * FROM pos_counts WHERE info > 0"),
+    "grouped_chunks": "SELECT o_custkey AS sample_id, c_name, count(DISTINCT o_orderkey // 1000) AS n_chunks, min(o_orderkey // 1000)::BIGINT AS first_chunk, max(o_orderkey // 1000)::BIGINT AS last_chunk FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_custkey, c_name",
+    "workflow_report": "SELECT total_reads, aligned_count, unaligned_count, chunks_processed, aligned_count::DOUBLE / total_reads * 100 AS overall_alignment_rate, chunks_processed > 1 AS parallel_mode, sequences_analyzed, avg_num_reads, min_num_reads, max_num_reads, total_num_reads, avg_num_mutations, min_num_mutations, max_num_mutations, total_num_mutations, sequences_with_mutations, sequences_with_mutations::DOUBLE / sequences_analyzed * 100 AS mutation_rate FROM (SELECT sum(o_orderkey)::BIGINT AS total_reads, sum(o_orderkey - o_custkey % 10)::BIGINT AS aligned_count, sum(o_custkey % 10)::BIGINT AS unaligned_count, count(*) AS chunks_processed FROM orders), (SELECT count(*) AS sequences_analyzed, avg(r) AS avg_num_reads, min(r) AS min_num_reads, max(r) AS max_num_reads, sum(r) AS total_num_reads, avg(m) AS avg_num_mutations, min(m) AS min_num_mutations, max(m) AS max_num_mutations, sum(m) AS total_num_mutations, count(*) FILTER (m > 0) AS sequences_with_mutations FROM (SELECT c_custkey::DOUBLE AS r, CASE WHEN c_custkey % 5 <> 0 THEN (c_custkey % 3)::DOUBLE END AS m FROM customer))",
+    "alignment_log": "SELECT o_orderkey, o_orderkey::BIGINT AS total_reads, (o_custkey % 7)::BIGINT AS unaligned_count, o_custkey::BIGINT AS unique_count, 97.25::DOUBLE AS unique_percent, NULL::BIGINT AS multiple_count, 98.5::DOUBLE AS overall_alignment_rate FROM orders",
+    "quality_score": "SELECT o_orderkey, round_even((0.4::DOUBLE * ((o_custkey % 100) / 100.0::DOUBLE) + 0.3::DOUBLE * ((o_orderkey % 100) / 100.0::DOUBLE) + 0.2::DOUBLE * least((o_orderkey % 80) / 60.0::DOUBLE, 1) + 0.1::DOUBLE * ((o_custkey % 10) / 10.0::DOUBLE)) * 1000000, 0) / 1000000 AS score FROM orders",
 }

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.model import BASES, REASONS, BitVectorConfig, InputError
 from strandframe.operators import histogram
 from strandframe.operators.render import dense_text, letter_count, sparse_map
+from strandframe.sources import files
 
 
-def bit_vectors_text(judged: DataFrame, path: str, data_type: str = "DMS") -> None:
+def bit_vectors_text(judged: DataFrame, path: str, data_type: str = "DMS", pieces: int = 64) -> None:
     """Accepted vectors, below one folder for each reference: two header lines, the column line and a line a fragment.
 
-    Files are split by a hash of the query name, so a reference with all reads is many files; each has the header.
+    A reference is up to ``pieces`` files, split by a hash of the query name, since it may have all reads; each has the
+    header.
     """
     ok = judged.filter(F.col("reason").isNull())
     one, end = F.lit(1), F.col("ref_length")
-    lines = ok.select("rname", F.lit(1).alias("n"), F.concat_ws("\t", "qname", dense_text(F.col("bits"), one, end), letter_count(F.col("bits"), one, end).cast("string")).alias("value"), "sequence", "ref_length", F.pmod(F.xxhash64("qname"), F.lit(64)).alias("salt"))
+    lines = ok.select("rname", F.lit(1).alias("n"), F.concat_ws("\t", "qname", dense_text(F.col("bits"), one, end), letter_count(F.col("bits"), one, end).cast("string")).alias("value"), "sequence", "ref_length", F.pmod(F.xxhash64("qname"), F.lit(pieces)).alias("salt"))
     keys = lines.groupBy("rname", "salt").agg(F.first("sequence").alias("sequence"), F.first("ref_length").alias("ref_length"))
     header = keys.select("rname", "salt", F.posexplode(F.array(
         F.concat_ws("\t", F.lit("@ref"), "rname", "sequence", F.lit(data_type)), F.concat(F.lit("@coordinates:\t1,"), F.col("ref_length").cast("string"), F.lit(":"), F.col("ref_length").cast("string")), F.lit("Query_name\tBit_vector\tN_Mutations"),
@@ -46,8 +48,9 @@ def bit_vectors(judged: DataFrame, path: str, config: BitVectorConfig) -> None:
         writers[config.storage_format](judged, path)
 
 
-def histogram_json(refs: DataFrame, positions: DataFrame, nmut: DataFrame, reads: DataFrame, path: str, data_type: str = "DMS") -> None:
-    """One JSON object a line for each reference: arrays with a slot 0 that isn't used."""
+def histogram_json(refs: DataFrame, positions: DataFrame, nmut: DataFrame, reads: DataFrame, path: str, data_type: str = "DMS", structures: DataFrame | None = None) -> None:
+    """One JSON object a line for each reference: arrays with a slot 0 that isn't used; structure, if it has one."""
+    known = structures.select(F.col("name").alias("rname"), "structure") if structures is not None else refs.select("rname", F.lit(None).cast("string").alias("structure"))
     dense = histogram.dense_positions(positions, refs)
 
     def series(c: str):
@@ -56,15 +59,50 @@ def histogram_json(refs: DataFrame, positions: DataFrame, nmut: DataFrame, reads
 
     arrays = dense.groupBy("rname").agg(*[series(c).alias(f"{c}_bases") for c in ("mut", "info", "del", "ins", "cov")], F.create_map(*[x for b in BASES for x in (F.lit(b), series(b))]).alias("mod_bases"))
     counts = nmut.groupBy("rname").agg(F.map_from_entries(F.collect_list(F.struct("n_mut", "reads"))).alias("by_n"))
-    every = histogram.with_all_references(reads, refs).join(refs, "rname").join(arrays, "rname").join(counts, "rname", "left")
+    every = histogram.with_all_references(reads, refs).join(refs, "rname").join(arrays, "rname").join(counts, "rname", "left").join(known, "rname", "left")
     filled = F.transform(F.sequence(F.lit(0), F.length("sequence")), lambda i: F.coalesce(F.try_element_at("by_n", i), F.lit(0).cast("long")))
     out = every.select(
-        F.col("rname").alias("name"), "sequence", F.lit(data_type).alias("data_type"), F.lit(1).alias("start"), F.length("sequence").alias("end"), "num_reads", "num_aligned",
+        F.col("rname").alias("name"), "sequence", "structure", F.lit(data_type).alias("data_type"), F.lit(1).alias("start"), F.length("sequence").alias("end"), "num_reads", "num_aligned",
         F.create_map(*[x for r in REASONS for x in (F.lit(r), F.col(r))]).alias("skips"), filled.alias("num_of_mutations"), *[f"{c}_bases" for c in ("mut", "info", "del", "ins", "cov")], "mod_bases",
     )
     out.write.json(path)
 
 
+def histogram_json_object(spark: SparkSession, lines: str, path: str) -> None:
+    """The histograms that histogram_json() wrote as one object by reference, in one file: all of them pass one task, so
+    this is for a library of references, not for any number."""
+    rows = spark.read.text(lines).select(F.get_json_object("value", "$.name").alias("name"), "value")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "value"))), lambda h: F.concat(F.lit('"'), F.replace(F.replace(h["name"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('": '), h["value"])), ",\n")
+    rows.agg(F.concat(F.lit("{"), body, F.lit("}")).alias("value")).write.text(path)
+
+
+def sam(reads: DataFrame, refs: DataFrame, path: str, *order: str) -> None:
+    """Aligned reads as SAM text: each file has the header lines of all references, then its reads (in the order of the
+    columns named, if any; rows equal in the first of them stay in one file)."""
+    header = refs.agg(F.array_sort(F.collect_list(F.concat(F.lit("@SQ\tSN:"), F.col("rname"), F.lit("\tLN:"), F.length("sequence").cast("string")))).alias("lines"))  # a library of references
+    first = F.concat(F.array(F.lit("@HD\tVN:1.0")), F.col("lines"))
+    cells = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in cells], F.when(F.col("md_string") != "", F.concat(F.lit("MD:Z:"), F.col("md_string"))))
+    out = reads.withColumn("value", line)
+    out = (out.repartitionByRange(order[0]).sortWithinPartitions(*order) if order else out).withColumn("at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    out.join(F.broadcast(header)).select(F.explode(F.when(F.col("at") == 0, F.concat(first, F.array("value"))).otherwise(F.array("value"))).alias("value")).write.text(path)
+
+
+def joined_sam(spark: SparkSession, paths: list[str], path: str) -> None:
+    """SAM files of chunks as one set of files: the header once, in a file of its own that comes first by name, and all
+    reads."""
+    lines = spark.read.text(paths).select("value", F.col("value").startswith("@").alias("header"))
+    lines.filter("header").select("value").distinct().sortWithinPartitions("value").coalesce(1).write.text(f"{path}/header")  # a line for each reference
+    lines.filter("not header").select("value").write.text(f"{path}/reads")
+
+
+def joined_bit_vectors(spark: SparkSession, paths: list[str], path: str) -> None:
+    """Bit-vector text of chunks, written again below one folder for each reference, with one header a file."""
+    vectors = files.bit_vector_text(spark, paths)
+    lengths = vectors.withColumn("ref_length", F.col("end"))
+    bit_vectors_text(lengths.withColumn("reason", F.lit(None).cast("string")), path)
+
+
 def csv(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True)
 

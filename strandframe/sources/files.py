@@ -25,14 +25,14 @@ def fasta(spark: SparkSession, path: str, first_token: bool = False) -> DataFram
     return records.select("at", name.alias("rname"), body.alias("sequence")).groupBy("rname").agg(F.max_by("sequence", "at").alias("sequence"))
 
 
-def aligned_reads(lines: DataFrame, strict: bool = True) -> DataFrame:
-    """Aligned reads of lines (column value); header and blank lines are left out.
+def aligned_reads(lines: DataFrame, strict: bool = True, *keep: str) -> DataFrame:
+    """Aligned reads of lines (column value), with the columns to keep; header and blank lines are left out.
 
     md_string is the value of the MD tag, if there is one. strict: a line of fewer than 11 fields, or with a place or
     quality that is no number, is an error; else it is left out.
     """
     fields = F.split(F.trim("value"), r"\s+")
-    body = lines.filter(~F.col("value").startswith("@") & (F.length(F.trim("value")) > 0)).select("value", fields.alias("f"))
+    body = lines.filter(~F.col("value").startswith("@") & (F.length(F.trim("value")) > 0)).select("value", fields.alias("f"), *keep)
     number = [F.get("f", i).try_cast("int").isNotNull() for i in (3, 4, 7, 8)]
     ok = (F.size("f") >= _FIRST_TAG - 1) & number[0] & number[1] & number[2] & number[3]
     body = body.filter(F.when(ok, True).otherwise(F.raise_error(F.concat(F.lit("not an aligned read: "), F.col("value"))).cast("boolean"))) if strict else body.filter(ok)
@@ -41,7 +41,7 @@ def aligned_reads(lines: DataFrame, strict: bool = True) -> DataFrame:
         return F.get("f", i).cast(kind)
 
     return body.select(
-        cell(0).alias("qname"), cell(1).alias("flag"), cell(2).alias("rname"), cell(3, "int").alias("pos"), cell(4, "int").alias("mapq"), cell(5).alias("cigar"), cell(6).alias("rnext"),
+        *keep, cell(0).alias("qname"), cell(1).alias("flag"), cell(2).alias("rname"), cell(3, "int").alias("pos"), cell(4, "int").alias("mapq"), cell(5).alias("cigar"), cell(6).alias("rnext"),
         cell(7, "int").alias("pnext"), cell(8, "int").alias("tlen"), cell(9).alias("seq"), cell(10).alias("qual"), F.regexp_extract("value", r"\sMD:Z:(\S+)", 1).alias("md_string"),
     )
 
@@ -64,20 +64,41 @@ def is_paired(reads: DataFrame) -> bool:
     return bool(first) and int(first[0]["flag"]) & 1 == 1
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(file, number, qname, seq, qual) of FASTQ files, plain or compressed.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): the lines of text files, plain or compressed, numbered from 0 within their file.
 
-    Records need not lie in one split: lines are numbered within their split and moved on by the lines of the file's
-    splits before, then put together four by four.
+    Lines are numbered within their split and moved on by the lines of the file's splits before.
     """
     rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
     before = Window.partitionBy("b_file").orderBy("b_block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
     splits = rows.groupBy(F.col("file").alias("b_file"), F.col("block").alias("b_block")).agg(F.count("*").alias("n"), F.min("id").alias("first"))
     base = splits.select("b_file", "b_block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    lines = rows.join(base, (F.col("file") == F.col("b_file")) & (F.col("block") == F.col("b_block"))).select("value", "file", (F.col("base") + F.col("id") - F.col("first")).alias("line"))
-    cells = {0: "qname", 1: "seq", 2: "plus", 3: "qual"}
-    out = lines.groupBy("file", F.floor(F.col("line") / 4).alias("number")).agg(*[F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(n) for k, n in cells.items()])
-    return out.filter("seq is not null").select("file", "number", F.regexp_replace("qname", "^@", "").alias("qname"), "seq", "qual")
+    return rows.join(base, (F.col("file") == F.col("b_file")) & (F.col("block") == F.col("b_block"))).select("file", (F.col("base") + F.col("id") - F.col("first")).alias("line"), "value")
+
+
+def fastq_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, head, seq, plus, qual): four lines of FASTQ files each, as they are; records need not lie in one
+    split."""
+    cells = {0: "head", 1: "seq", 2: "plus", 3: "qual"}
+    lines = numbered_lines(spark, path)
+    return lines.groupBy("file", F.floor(F.col("line") / 4).alias("number")).agg(*[F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(n) for k, n in cells.items()])
+
+
+def fastq(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, qname, seq, qual) of FASTQ files, plain or compressed."""
+    return fastq_records(spark, path).filter("seq is not null").select("file", "number", F.regexp_replace("head", "^@", "").alias("qname"), "seq", "qual")
+
+
+def numbered_sam(spark: SparkSession, path: str, stop_at_blank: bool = True, strict: bool = True) -> DataFrame:
+    """Aligned reads of SAM text files with file and number, their place behind the header. stop_at_blank: a file ends
+    at its first blank line (else blank lines are left out, but count)."""
+    lines = numbered_lines(spark, path)
+    blank = F.min(F.when(F.length(F.trim("value")) == 0, F.col("line")))
+    ends = lines.groupBy(F.col("file").alias("e_file")).agg(F.count_if(F.col("value").startswith("@")).alias("header"), blank.alias("blank"))
+    body = lines.join(ends, F.col("file") == F.col("e_file"))
+    if stop_at_blank:
+        body = body.filter("blank is null or line < blank")
+    return aligned_reads(body.withColumn("number", F.col("line") - F.col("header")), strict, "file", "number")
 
 
 def structures(spark: SparkSession, path: str) -> DataFrame:
@@ -97,24 +118,29 @@ def samples(spark: SparkSession, path: str) -> DataFrame:
     return sheet.select(F.coalesce(cell("sample_id"), F.concat(F.lit("sample_"), stem)).alias("sample_id"), *[cell(c).alias(c) for c in ("fasta", "fastq1", "fastq2", "dot_bracket")])
 
 
-def bit_vector_text(spark: SparkSession, path: str) -> DataFrame:
-    """(rname, qname, bits, n_letters) of bit-vector text files, by their own header lines."""
+def bit_vector_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(rname, sequence, end, qname, bits, n_letters) of bit-vector text files, by their own header lines."""
     rows = spark.read.text(path).select("value", F.input_file_name().alias("file"))
     cells = rows.select("file", F.split("value", "\t").alias("c"))
-    names = cells.filter(F.get("c", 0) == "@ref").select(F.col("file").alias("h_file"), F.get("c", 1).alias("rname"))
-    starts = cells.filter(F.get("c", 0) == "@coordinates:").select(F.col("file").alias("s_file"), F.split(F.get("c", 1), ",")[0].cast("int").alias("start"))
+    names = cells.filter(F.get("c", 0) == "@ref").select(F.col("file").alias("h_file"), F.get("c", 1).alias("rname"), F.get("c", 2).alias("sequence"))
+    starts = cells.filter(F.get("c", 0) == "@coordinates:").select(F.col("file").alias("s_file"), F.split(F.get("c", 1), ",")[0].cast("int").alias("start"), F.regexp_extract(F.get("c", 1), r"^\d+,(\d+)", 1).cast("int").alias("end"))
     body = cells.filter(~F.get("c", 0).isin("@ref", "@coordinates:", "Query_name") & (F.size("c") == 3))
     joined = body.join(names, F.col("file") == F.col("h_file")).join(starts, F.col("file") == F.col("s_file"))
-    return joined.select("rname", F.get("c", 0).alias("qname"), render.from_dense(F.get("c", 1), F.col("start")).alias("bits"), F.get("c", 2).cast("int").alias("n_letters"))
+    return joined.select("rname", "sequence", "end", F.get("c", 0).alias("qname"), render.from_dense(F.get("c", 1), F.col("start")).alias("bits"), F.get("c", 2).cast("int").alias("n_letters"))
 
 
 _HISTOGRAM = "name string, sequence string, structure string, data_type string, start int, end int, num_reads bigint, num_aligned bigint, skips map<string,bigint>, num_of_mutations array<bigint>, mut_bases array<double>, info_bases array<double>, del_bases array<double>, ins_bases array<double>, cov_bases array<double>, mod_bases map<string,array<double>>"
 
 
-def histogram_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """positions, mutation_counts and read_counts of histogram JSON (an object of histograms by reference)."""
-    text = spark.read.text(path, wholetext=True)
-    one = text.select(F.explode(F.from_json("value", f"map<string,struct<{', '.join(f'{a}:{b}' for a, b in (x.strip().split(' ') for x in _HISTOGRAM.split(', ')))}>>")).alias("rname", "h")).select("rname", "h.*")
+def histogram_json(spark: SparkSession, path: str, form: str = "lines") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """positions, mutation_counts and read_counts of histogram JSON. form: "lines", a histogram a line, or "object", one
+    object of all histograms by reference, which is read whole."""
+    kind = f"struct<{', '.join(f'{a}:{b}' for a, b in (x.strip().split(' ') for x in _HISTOGRAM.split(', ')))}>"
+    text = spark.read.text(path, wholetext=form == "object")
+    if form == "object":
+        one = text.select(F.explode(F.from_json("value", f"map<string,{kind}>")).alias("rname", "h")).select("rname", "h.*")
+    else:
+        one = text.select(F.from_json("value", kind).alias("h")).select(F.col("h.name").alias("rname"), "h.*")
     at = one.select("*", F.explode(F.sequence(F.col("start"), F.col("end"))).alias("pos"))
 
     def value(array: Column) -> Column:
@@ -127,5 +153,20 @@ def histogram_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return positions, counts, reads
 
 
+def bit_vectors_json(spark: SparkSession, path: str) -> DataFrame:
+    """(rname, mapqs, lengths, bits) of bit-vector JSON lines; bits has mutations, deletions and ambiguous symbols, which
+    are all that the format keeps."""
+    c = spark.read.text(path).select(F.from_json("value", "array<string>").alias("c"))
+
+    def pair(i: int) -> Column:
+        return F.array(F.get("c", i).cast("int"), F.get("c", i + 1).cast("int"))
+
+    def symbols(i: int) -> Column:
+        entries = F.map_entries(F.coalesce(F.from_json(F.get("c", i), "map<string,string>"), F.create_map().cast("map<string,string>")))
+        return F.transform(entries, lambda e: F.struct(e["key"].cast("int").alias("pos"), e["value"].alias("bit")))
+
+    return c.select(F.get("c", 0).alias("rname"), pair(1).alias("mapqs"), pair(3).alias("lengths"), F.array_sort(F.concat(symbols(5), symbols(6), symbols(7))).alias("bits"))
+
+
 def trials(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True)

@@ -15,16 +15,17 @@ from strandframe.operators import filters, histogram, vectors
 
 
 def count_stream(reads: DataFrame, refs: DataFrame, folder: str, checkpoint: str, config: BitVectorConfig = BitVectorConfig(), available_now: bool = True) -> StreamingQuery:
-    """Write each micro-batch's position counts below folder; reads: a streaming DataFrame of aligned reads."""
+    """Write each micro-batch's tallies below folder; reads: a streaming DataFrame of aligned reads."""
 
     def count(batch: DataFrame, number: int) -> None:
         judged = filters.with_reason(vectors.single_fragments(batch, refs, config), config)
-        histogram.positions(judged).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        histogram.tallies(judged).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     writer = reads.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def merged(spark: SparkSession, folder: str) -> DataFrame:
-    """The counts of all batches so far."""
-    return histogram.merge_positions([spark.read.parquet(folder).drop("batch")])
+def merged(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """positions, mutation_counts and read_counts of all batches so far."""
+    parts = spark.read.parquet(folder).drop("batch")
+    return histogram.merge_positions([histogram.of_positions(parts)]), histogram.merge_mutation_counts([histogram.of_mutations(parts)]), histogram.of_reads(parts)
