@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.model import BitVectorConfig, InputError
+from strandframe.model import BitVectorConfig, InputError, MissingRequirement
 from strandframe.operators import chunks, filters, histogram, reads, validate, vectors
 from strandframe.sinks import files as sinks
 from strandframe.sources import files
@@ -77,13 +77,57 @@ def test_whole_run_and_sinks(spark, sam, tmp_path):
     sinks.bit_vectors(judged, str(tmp_path / "none"), BitVectorConfig(summary_output_only=True))
     assert not (tmp_path / "none").exists()
     pos, nmut, counts = histogram.positions(judged), histogram.mutation_counts(judged), histogram.read_counts(judged)
-    sinks.histogram_json(refs, pos, nmut, counts, str(tmp_path / "histo"))
+    shapes = spark.createDataFrame([("r1", "ACGT", "....")], "name string, sequence string, structure string")
+    sinks.histogram_json(refs, pos, nmut, counts, str(tmp_path / "histo"), structures=shapes)
     record = {json.loads(r["value"])["name"]: json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "histo")).collect()}
     assert len(record["r1"]["mut_bases"]) == 41 and sum(record["r1"]["num_of_mutations"]) == 2 and record["r2"]["num_reads"] == 0
-    (tmp_path / "one.json").write_text(json.dumps({k: v | {"structure": None} for k, v in record.items()}))
-    pos2, nmut2, counts2 = files.histogram_json(spark, str(tmp_path / "one.json"))
-    assert sorted(map(tuple, pos2.collect())) == sorted(map(tuple, pos.select(*pos2.columns).collect()))
-    assert sorted(map(tuple, nmut2.collect())) == sorted(map(tuple, nmut.collect())) and counts2.count() == 2
+    assert record["r1"]["structure"] == "...." and "structure" not in record["r2"]
+    sinks.histogram_json_object(spark, str(tmp_path / "histo"), str(tmp_path / "object"))
+    assert set(json.loads("\n".join(r["value"] for r in spark.read.text(str(tmp_path / "object"), wholetext=True).collect()))) == {"r1", "r2"}
+    for path, form in (("histo", "lines"), ("object", "object")):
+        pos2, nmut2, counts2 = files.histogram_json(spark, str(tmp_path / path), form)
+        assert sorted(map(tuple, pos2.collect())) == sorted(map(tuple, pos.select(*pos2.columns).collect()))
+        assert sorted(map(tuple, nmut2.collect())) == sorted(map(tuple, nmut.collect())) and counts2.count() == 2
+    vectors_ = {r["rname"]: r for r in files.bit_vectors_json(spark, str(tmp_path / "json")).collect()}
+    assert vectors_["r1"]["mapqs"] == [44, 0] and all(b["bit"] in "ACGT1?" for b in vectors_["r1"]["bits"])
+    sinks.joined_bit_vectors(spark, [str(tmp_path / "text" / "*" / "*")], str(tmp_path / "joined"))
+    again = {r["qname"]: r for r in files.bit_vector_text(spark, str(tmp_path / "joined" / "*" / "*")).collect()}
+    assert {q: (r["rname"], r["bits"]) for q, r in again.items()} == {q: (r["rname"], r["bits"]) for q, r in back.items()}
+
+
+def test_pairs_by_place_and_by_name(spark, tmp_path):
+    def line(q, flag, pos, pnext, mapq=44, rname="r1"):
+        return f"{q}\t{flag}\t{rname}\t{pos}\t{mapq}\t4M\t=\t{pnext}\t0\tACGT\tIIII"
+
+    rows = [line("a", 67, 1, 5), line("a", 131, 5, 1), line("b", 67, 1, 9), line("b", 131, 5, 1), line("c", 67, 2, 6), line("c", 131, 6, 2, 30), line("d", 67, 2, 6), line("d", 131, 6, 2), line("a", 2115, 7, 5), line("e", 67, 3, 4)]
+    (tmp_path / "p.sam").write_text("@HD\tVN:1.0\n@SQ\tSN:r1\tLN:40\n" + "\n".join(rows) + "\n\n" + line("f", 67, 1, 5) + "\n" + line("f", 131, 5, 1) + "\n")
+    reads_ = files.numbered_sam(spark, str(tmp_path / "p.sam"))
+    assert reads_.count() == 10 and files.numbered_sam(spark, str(tmp_path / "p.sam"), stop_at_blank=False).count() == 12
+    assert {r["qname"] for r in vectors.positional_pairs(reads_).collect()} == {"a", "d"}
+    named = files.with_mate(files.sam(spark, str(tmp_path / "p.sam")))
+    assert {r["qname"] for r in vectors.consistent_pairs(named).collect()} == {"a", "d", "f"} and [r["qname"] for r in vectors.orphans(named).collect()] == ["e"]
+
+
+def test_unknown_references_are_errors(spark):
+    reads_ = spark.createDataFrame([("q", "zz", 1, 44, "4M", "ACGT", "IIII")], "qname string, rname string, pos int, mapq int, cigar string, seq string, qual string")
+    refs = spark.createDataFrame([("r1", "ACGTACGT")], "rname string, sequence string")
+    with pytest.raises(Exception, match="unknown reference: zz"):
+        vectors.single_fragments(reads_, refs).collect()
+
+
+def test_inputs_are_validated_by_one_call(spark, tmp_path):
+    (tmp_path / "r.fasta").write_text(">a\nACGT\n>b\nACGG\n")
+    (tmp_path / "q.fastq").write_text("@q\nACGT\n+\nIIII\n")
+    (tmp_path / "s.csv").write_text("name,sequence,structure\na,ACGT,....\nb,ACGG,....\n")
+    good = [str(tmp_path / n) for n in ("r.fasta", "q.fastq")]
+    assert validate.validate_inputs(spark, *good, structures=str(tmp_path / "s.csv")) == [] and validate.fasta_warnings(spark, good[0], 1)
+    with pytest.raises(MissingRequirement):
+        validate.validate_inputs(spark, good[0], None)
+    for name, text, message in (("q.fastq", "q\nACGT\n+\nIIII\n", "start with @"), ("q.fastq", "@q\nACGT\nx\nIIII\n", "third line"), ("s.csv", "name,sequence,structure\na,ACGT,....\n", "1 rows for 2"), ("s.csv", "name,sequence\na,ACGT\n", "no such column")):
+        (tmp_path / "bad").mkdir(exist_ok=True)
+        (tmp_path / "bad" / name).write_text(text)
+        with pytest.raises(InputError, match=message):
+            validate.validate_inputs(spark, good[0], str(tmp_path / "bad" / name) if name == "q.fastq" else good[1], structures=str(tmp_path / "bad" / name) if name == "s.csv" else None)
 
 
 @pytest.mark.parametrize("text,message", [(">a\n\nACGT", "blank"), ("ACGT\n>a", "name line"), ("> a\nACGT", "space"), (">a\nACGU", "only A, C, G and T"), (">a\n>b", "may not start")])
@@ -109,5 +153,6 @@ def test_stream_equals_batch(spark, sam, tmp_path):
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     merge.count_stream(stream, refs, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     want = histogram.positions(filters.with_reason(vectors.single_fragments(source, refs)))
-    got = merge.merged(spark, str(tmp_path / "out")).select(*want.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    judged = filters.with_reason(vectors.single_fragments(source, refs))
+    for got, right in zip(merge.merged(spark, str(tmp_path / "out")), (want, histogram.mutation_counts(judged), histogram.read_counts(judged)), strict=True):
+        assert sorted(map(tuple, got.select(*right.columns).collect())) == sorted(map(tuple, right.collect()))
