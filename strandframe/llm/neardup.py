@@ -130,7 +130,7 @@ def _in_pieces(pairs: DataFrame, sides: DataFrame, value: str) -> DataFrame:
     piece of its pairs, so that no task gets all pairs of an a that has many."""
     # Pieces are made of the b's, so that how many there are is known before they are dealt.
     most = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
-    many = most.filter("pieces > 1").select(F.col("a").alias("m_a"), "pieces")
+    many = small(stage(most.filter("pieces > 1").select(F.col("a").alias("m_a"), "pieces"), "dup-many"))
     piece = F.coalesce(F.pmod(F.xxhash64("b"), F.col("pieces")), F.lit(0)).cast("int")
     dealt = pairs.join(many, F.col("a") == F.col("m_a"), "left").withColumn("piece", piece).select("a", "b", "piece")
     left = sides.join(many, F.col("rep") == F.col("m_a"), "left").select(F.col("rep").alias("p_a"), F.col(value).alias("x"), F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)).alias("p_piece"))
@@ -185,6 +185,7 @@ def by_differences(tested: DataFrame, percent: int) -> DataFrame:
     100 + percent, or more; and one is linked with the hub if u <= (100 - percent) * n_hub.
     """
     mixed = tested.groupBy("hub").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("hub")
+    mixed = small(stage(mixed, "dup-mixed"))  # else all of a hub's rows would be shuffled to one task
     u, slack, whole = 100 * F.col("missing") + percent * F.col("added"), (100 - percent) * F.col("n_hub"), 100 + percent
     # At least so many common differences with any partner: one that is linked needs a partner that isn't.
     least = F.greatest(F.lit(1), F.ceil(F.when(F.col("linked"), u + 1).otherwise(u - slack) / F.lit(float(whole))))
