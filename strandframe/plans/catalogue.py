@@ -40,12 +40,15 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
     return vectors.consistent_pairs(synth.mates(spark, d).select(*columns))
 
 
+def _with_part(judged: DataFrame) -> DataFrame:
+    """judged with part, one of four, by the order that a read's name begins with."""
+    return judged.withColumn("part", F.pmod(F.split("qname", ":")[0].cast("long"), F.lit(4)))
+
+
 def _tallied(spark: SparkSession, d: str, config: BitVectorConfig = BitVectorConfig(), *by: str) -> DataFrame:
     """All counts, made in one pass over the reads and staged: a row for each position and number of mutations."""
     judged = _judged(spark, d, config)
-    if by:
-        judged = judged.withColumn("part", F.pmod(F.split("qname", ":")[0].cast("long"), F.lit(4)))
-    return stage(histogram.tallies(judged, *by), "tallies")
+    return stage(histogram.tallies(_with_part(judged) if by else judged, *by), "tallies")
 
 
 def _dense(spark: SparkSession, d: str) -> DataFrame:
@@ -199,7 +202,8 @@ def _parts(spark: SparkSession, d: str) -> list[DataFrame]:
 
 
 def _position_parts(spark: SparkSession, d: str) -> list[DataFrame]:
-    return [histogram.of_positions(p) for p in _parts(spark, d)]
+    counted = stage(histogram.positions(_with_part(_judged(spark, d)), "part"), "positions")
+    return [counted.filter(F.col("part") == i).drop("part") for i in range(4)]
 
 
 @query
