@@ -39,7 +39,8 @@ all_bits AS (SELECT s.key, s.mate, s.qname, s.rname, (s.i + s.k)::INT AS pos,
 mate_bits AS (SELECT * FROM all_bits WHERE bit IS NOT NULL),
 bits1 AS (SELECT key, qname, rname, pos, bit FROM mate_bits WHERE mate = 1),
 pairs AS (SELECT a.key, a.qname, a.rname, a.mapq AS q1, b.mapq AS q2, length(a.seq) AS n1, length(b.seq) AS n2 FROM mates a JOIN mates b ON a.key = b.key AND a.mate = 1 AND b.mate = 2
-  WHERE a.pnext = b.pos AND a.rname = b.rname AND a.rnext = '=' AND a.mapq = b.mapq),
+  WHERE a.pnext = b.pos AND a.rname = b.rname AND a.rnext = '=' AND a.mapq = b.mapq
+  AND a.qname NOT IN (SELECT qname FROM mates WHERE mate = 1 GROUP BY qname HAVING count(*) > 1)),
 both_bits AS (SELECT key, pos, max(bit) FILTER (mate = 1) AS a, max(bit) FILTER (mate = 2) AS b FROM mate_bits GROUP BY key, pos),
 paired_bits AS (SELECT p.key, p.qname, p.rname, pos,
   CASE WHEN a IS NULL THEN b WHEN b IS NULL OR a = b THEN a WHEN a = '0' OR b = '0' THEN '0' WHEN a = '?' THEN b WHEN b = '?' THEN a WHEN a = '*' THEN b WHEN b = '*' THEN a

@@ -125,11 +125,12 @@ def _sql_changed(seq: str, at: str, when: str) -> str:
     return f"CASE WHEN {when} THEN concat(substr({seq}, 1, {place}), translate(substr({seq}, {place} + 1, 1), 'ACGT', 'CGTA'), substr({seq}, {place} + 2)) ELSE {seq} END"
 
 
-#: DuckDB SQL (common table expressions) of the same tables: refs, structures and mates.
+#: DuckDB SQL (common table expressions) of the same tables: refs, structures and mates. Here key tells repeated lines apart.
 SQL = f"""
 refs AS (SELECT concat('ref_', p_partkey) AS rname, translate(concat(md5(concat('a', p_partkey)), md5(concat('b', p_partkey))), '{HEX}', '{DNA}') AS sequence FROM part),
 structures AS (SELECT concat('ref_', p_partkey) AS name, translate(concat(md5(concat('c', p_partkey)), md5(concat('d', p_partkey))), '{HEX}', '....((((....))))') AS structure FROM part WHERE p_partkey % 2 = 0),
-lines AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, concat(l_orderkey, ':', l_linenumber, ':', l_partkey, ':', l_suppkey) AS key, rname, sequence, (l_suppkey + l_linenumber) % 12 + 1 AS p1 FROM lineitem JOIN refs ON rname = concat('ref_', l_partkey)),
+lines AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, concat(l_orderkey, ':', l_linenumber, ':', l_partkey, ':', l_suppkey) AS key,
+  row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS copy, rname, sequence, (l_suppkey + l_linenumber) % 12 + 1 AS p1 FROM lineitem JOIN refs ON rname = concat('ref_', l_partkey)),
 sides AS (SELECT *, (l_orderkey + l_linenumber + (mate - 1) * 3) % 8 AS shape, CASE mate WHEN 1 THEN p1 ELSE (p1 + 5) % 12 + 1 END AS pos, CASE mate WHEN 2 THEN p1 ELSE (p1 + 5) % 12 + 1 END AS other,
   (l_orderkey // 8 + l_linenumber + mate) % 4 AS changes FROM lines, (SELECT unnest([1, 2]) AS mate)),
 raw0 AS (SELECT *, {_sql_by_shape(lambda s: "concat(" + ", ".join(f"'{FILLER[:n]}'" if at is None else f"substr(sequence, pos + {at}, {n})" for at, n in s.parts) + ")")} AS s0 FROM sides),
@@ -139,6 +140,6 @@ raw3 AS (SELECT *, {_sql_changed("s2", "l_suppkey + mate", "changes >= 3")} AS s
 mates AS (SELECT key AS qname, CASE mate WHEN 1 THEN '67' ELSE '131' END AS flag, rname, pos::INT AS pos,
   (l_orderkey % 45 - CASE WHEN mate = 2 AND l_linenumber % 5 = 0 THEN 1 ELSE 0 END)::INT AS mapq, {_sql_by_shape(lambda s: f"'{s.cigar}'")} AS cigar, '=' AS rnext,
   (other + CASE WHEN mate = 1 AND l_orderkey % 11 = 0 THEN 1 ELSE 0 END)::INT AS pnext, seq,
-  substr(translate(CASE mate WHEN 1 THEN concat(md5(concat('q', key)), md5(concat('r', key))) ELSE concat(md5(concat('s', key)), md5(concat('t', key))) END, '{HEX}', '{QUALITIES}'), 1, length(seq)) AS qual, mate, key, sequence
+  substr(translate(CASE mate WHEN 1 THEN concat(md5(concat('q', key)), md5(concat('r', key))) ELSE concat(md5(concat('s', key)), md5(concat('t', key))) END, '{HEX}', '{QUALITIES}'), 1, length(seq)) AS qual, mate, concat(key, '#', copy) AS key, sequence
   FROM raw3)
 """
