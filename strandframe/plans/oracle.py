@@ -152,7 +152,7 @@ ORACLE: dict[str, str] = {
     "fastq_qc": sql("SELECT (cycle + 1)::INT AS cycle, count(*) AS reads, avg(ascii(substr(qual, (cycle + 1)::INT, 1)) - 33) AS mean_quality, count(*) FILTER (substr(seq, (cycle + 1)::INT, 1) IN ('G', 'C'))::DOUBLE / count(*) AS gc FROM (SELECT seq, qual, unnest(range(0, length(seq))) AS cycle FROM mates) GROUP BY cycle"),
     "barcode_counts": sql("SELECT substr(seq, 1, 2) AS barcode, count(*) AS reads FROM mates GROUP BY 1"),
     "demultiplex": sql("SELECT n_name AS sample_id, qname, mate::INT AS mate, substr(seq, 3) AS seq, substr(qual, 3) AS qual, substr(seq, 1, 2) AS barcode FROM mates JOIN nation ON n_nationkey < 16 AND substr(seq, 1, 2) = concat(substr('ACGT', (n_nationkey // 4 + 1)::INT, 1), substr('ACGT', (n_nationkey % 4 + 1)::INT, 1))"),
-    "quality_trim": sql("SELECT qname, mate::INT AS mate, substr(seq, 1, len - cut) AS seq, substr(qual, 1, len - cut) AS qual FROM (SELECT qname, mate, any_value(seq) AS seq, any_value(qual) AS qual, any_value(len) AS len, coalesce(arg_max(n, (s, -n)) FILTER (s > 0 AND n < coalesce(over, 1000000)), 0)::BIGINT AS cut FROM (SELECT *, min(n) FILTER (s < 0) OVER (PARTITION BY qname, mate) AS over FROM (SELECT *, sum(25 - (ascii(substr(qual, (len - n + 1)::INT, 1)) - 33)) OVER (PARTITION BY qname, mate ORDER BY n) AS s FROM (SELECT qname, mate, seq, qual, length(qual) AS len, unnest(range(1, length(qual) + 1)) AS n FROM mates))) GROUP BY qname, mate) WHERE len - cut >= 20"),
+    "quality_trim": sql("SELECT qname, mate::INT AS mate, substr(seq, 1, len - cut) AS seq, substr(qual, 1, len - cut) AS qual FROM (SELECT any_value(qname) AS qname, mate, any_value(seq) AS seq, any_value(qual) AS qual, any_value(len) AS len, coalesce(arg_max(n, (s, -n)) FILTER (s > 0 AND n < coalesce(over, 1000000)), 0)::BIGINT AS cut FROM (SELECT *, min(n) FILTER (s < 0) OVER (PARTITION BY key, mate) AS over FROM (SELECT *, sum(25 - (ascii(substr(qual, (len - n + 1)::INT, 1)) - 33)) OVER (PARTITION BY key, mate ORDER BY n) AS s FROM (SELECT key, qname, mate, seq, qual, length(qual) AS len, unnest(range(1, length(qual) + 1)) AS n FROM mates))) GROUP BY key, mate) WHERE len - cut >= 20"),
     "merge_mutation_counts": sql("SELECT * FROM nmut_counts"),
     "merge_read_counts": sql("SELECT rname, count(*) AS num_reads, count(*) FILTER (reason IS NULL) AS num_aligned, count(*) FILTER (reason = 'low_mapq') AS low_mapq, 0::BIGINT AS short_read, 0::BIGINT AS too_many_muts, 0::BIGINT AS muts_too_close FROM frags GROUP BY rname"),
     "report_columns": sql(f'SELECT c.rname AS name, s.structure, num_reads AS reads, num_aligned, {_ALIGNED} AS aligned, m0 AS no_mut, m1 AS "1_mut", m2 AS "2_mut", m3 AS "3_mut", m5 AS "3plus_mut", sn FROM plain_counts c JOIN pct ON c.rname = pct.rname JOIN sn ON c.rname = sn.rname LEFT JOIN structures s ON s.name = c.rname'),
