@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandframe.functions.columns import char_at, cigar_ops, deletion_is_ambiguous, phred, resolve_bits
+from strandframe.functions.columns import cigar_ops, deletion_is_ambiguous, phred, resolve_bits
 from strandframe.model import AMBIGUOUS, BITS, DELETION, MATCH, MISSING, BitVectorConfig
 
 #: Per cigar_mode: letters that are parsed; ops like M, like D, like I, without effect; others empty the vector.
@@ -47,10 +47,16 @@ def read_bits(cigar: Column, pos: Column, seq: Column, qual: Column, sequence: C
         n, i, j = op["len"], op["i"], op["j"]
         each = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
 
-        def matched(k: Column) -> Column:
-            base, own = char_at(seq, j + k + 1), char_at(sequence, i + k)
+        def letters(s: Column, start: Column) -> Column:
+            return F.split(F.substr(s, start.cast("int"), n.cast("int")), "")
+
+        def matched(x: Column, k: Column) -> Column:
+            base, score, own = F.coalesce(x["base"], F.lit("")), F.coalesce(x["score"], F.lit("")), F.coalesce(x["own"], F.lit(""))
             called = F.when(base != own, base).otherwise(F.lit(MATCH))
-            return bit(i + k, F.when(own == "", None).when(phred(char_at(qual, j + k + 1)) > config.qscore_cutoff, called).otherwise(F.lit(AMBIGUOUS)))
+            return bit(i + k, F.when(own == "", None).when(phred(score) > config.qscore_cutoff, called).otherwise(F.lit(AMBIGUOUS)))
+
+        # each string is cut into letters once: a letter's place in a long string costs a walk from its start
+        aligned = F.arrays_zip(letters(seq, j + 1).alias("base"), letters(qual, j + 1).alias("score"), letters(sequence, i).alias("own"))
 
         def deleted(k: Column) -> Column:
             sure = (k == n - 1) & ~deletion_is_ambiguous(sequence, i + n - 1, n, config.num_of_surbases)
@@ -58,7 +64,7 @@ def read_bits(cigar: Column, pos: Column, seq: Column, qual: Column, sequence: C
 
         clipped = F.transform(each, lambda k: bit(i + k, F.lit(MISSING)))
         letter = op["op"]
-        return F.when(n == 0, F.array().cast(BITS)).when(letter.isin(*match), F.transform(each, matched)).when(letter.isin(*gap), F.transform(each, deleted)).when((letter == "S") & op["last"], clipped).otherwise(F.array().cast(BITS))
+        return F.when(n == 0, F.array().cast(BITS)).when(letter.isin(*match), F.transform(aligned, matched)).when(letter.isin(*gap), F.transform(each, deleted)).when((letter == "S") & op["last"], clipped).otherwise(F.array().cast(BITS))
 
     ops = placed_ops(cigar, pos, config.cigar_mode)
     strange = F.exists(ops, lambda op: ~op["op"].isin(*match, *gap, *extra, *silent, "S"))
