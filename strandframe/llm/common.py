@@ -4,6 +4,7 @@ broadcasts, keys of rows, and bounded batches."""
 from __future__ import annotations
 
 import bisect
+import contextlib
 import ctypes
 import gc
 from collections.abc import Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from strandframe.session import shared_dir, stage
 
-__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "PLACE", "by_ranges", "give_back", "held_out", "placed", "shared_dir", "slices", "small", "small_batches", "stage"]
+__all__ = ["BATCH_ROWS", "BROADCAST_BYTES", "HOT_SHARE", "PLACE", "attach", "by_ranges", "give_back", "held_out", "placed", "shared_dir", "slices", "small", "small_batches", "stage"]
 
 #: Size in a hash table up to which a key table may be broadcast; past that Spark chooses the join by its own threshold.
 BROADCAST_BYTES = 16_000_000
@@ -50,21 +51,56 @@ def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_BYTES)
     return F.broadcast(df) if rows * (32 + 8 * len(df.columns)) <= limit else df
 
 
+def _is_scan(docs: DataFrame) -> bool:
+    """Whether docs are rows of one set of files, each once: columns chosen and rows left out, but nothing joined,
+    repeated or put together."""
+    plan, nodes = docs._jdf.queryExecution().analyzed(), []
+    while True:
+        nodes.append(plan.nodeName())
+        children = plan.children()
+        if children.size() != 1:
+            return children.size() == 0 and nodes[-1].startswith("LogicalRelation") and set(nodes[:-1]) <= {"Project", "Filter", "SubqueryAlias"}
+        plan = children.apply(0)
+
+
 def placed(docs: DataFrame, name: str) -> DataFrame:
     """docs with the columns ``PLACE``: a hash of the file and the number of the row in it, which tell each row from all
     others, whatever ids are null or shared, and are the same each time the files are read.
 
-    Rows that don't come straight from files, or don't each have a place of their own (after a join, say), are staged
-    first. The test reads no column of docs but places.
+    Rows that don't come straight from files (after a join, say, or a path named twice) are staged first.
     """
-    try:
-        own = docs.metadataColumn("_metadata")
-        rows = docs.select("*", F.xxhash64(own["file_path"]).alias(PLACE[0]), own["row_index"].alias(PLACE[1]))
-        if not rows.groupBy(*PLACE).count().filter("count > 1").limit(1).count():
-            return rows
-    except AnalysisException:
-        pass
-    return placed(stage(docs, name, "zstd"), name)
+    if _is_scan(docs) and len(set(docs.inputFiles())) == len(docs.inputFiles()):
+        with contextlib.suppress(AnalysisException):  # files without row numbers, such as CSV
+            own = docs.metadataColumn("_metadata")
+            return docs.select("*", F.xxhash64(own["file_path"]).alias(PLACE[0]), own["row_index"].alias(PLACE[1]))
+    staged = stage(docs, name, "zstd")
+    own = staged.metadataColumn("_metadata")
+    return staged.select("*", F.xxhash64(own["file_path"]).alias(PLACE[0]), own["row_index"].alias(PLACE[1]))
+
+
+#: A key is hot if more than one of so many rows has it; there are fewer hot keys than that.
+HOT_SHARE = 4000
+
+
+def attach(rows: DataFrame, table: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """rows with the other columns of table, null where it lacks the key. table: staged, columns of fixed width, one row for
+    each key, with ``count``, the number of rows that have it. Equal nulls meet.
+
+    A key may have any share of the rows. A small table is broadcast; else its hot keys are, of which there are fewer than
+    ``HOT_SHARE``, and rows that have met one go through the shuffle dealt out by all their columns.
+    """
+    renamed = table.select(*[F.col(k).alias(f"key_{k}") for k in keys], *[c for c in table.columns if c not in keys])
+    own = [c for c in table.columns if c not in keys]
+    on = [F.col(k).eqNullSafe(F.col(f"key_{k}")) for k in keys]
+    known, total = table.agg(F.count("*"), F.sum(count)).first()
+    near = small(renamed, known)
+    if near is not renamed or not known:
+        return rows.join(near, on, "left").drop(*[f"key_{k}" for k in keys])
+    hot, cold = renamed.filter(F.col(count) * HOT_SHARE > total), renamed.filter(F.col(count) * HOT_SHARE <= total)
+    met = rows.join(F.broadcast(hot.select(*[c for c in hot.columns if c.startswith("key_")], F.struct(*own).alias("hot_own"))), on, "left").drop(*[f"key_{k}" for k in keys])
+    met = met.withColumn("deal", F.when(F.col("hot_own").isNull(), 0).otherwise(F.pmod(F.xxhash64(*rows.columns), F.lit(99991)) + 1))
+    both = met.join(cold.select(*[c for c in cold.columns if c.startswith("key_")], F.struct(*own).alias("cold_own"), F.lit(0).cast("long").alias("cold_deal")), [*on, F.col("deal") == F.col("cold_deal")], "left")
+    return both.select(*rows.columns, F.coalesce("hot_own", "cold_own").alias("own")).select(*rows.columns, "own.*")
 
 
 def by_ranges(docs: DataFrame, parts: int) -> tuple[DataFrame, int]:
