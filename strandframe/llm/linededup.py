@@ -263,7 +263,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 1, min_docs: int = 10, keep: s
 
         clean = found.filter(F.size("lines") == 0).select("doc", *PLACE, "keys", F.array().cast("array<boolean>").alias("lost"))
         rest = found.filter(F.size("lines") > 0).drop("lines").join(by_row, list(PLACE), "left").withColumn("own", F.coalesce("own", F.array().cast("array<struct<h1:bigint,h2:bigint,spared:int>>")))
-        judged = clean.unionByName(rest.withColumn("lost", lost_of_row(first_hash, second_hash, *[F.transform("own", lambda o, c=c: o[c].cast("long")) for c in ("h1", "h2", "spared")])).drop("own"))
+        judged = clean.unionByName(rest.withColumn("lost", lost_of_row(first_hash, second_hash, F.col("own.h1"), F.col("own.h2"), F.col("own.spared").cast("array<bigint>"))).drop("own"))
     n_lost = F.size(F.filter("lost", lambda x: x))
     left = F.when(n_lost == 0, F.coalesce("doc.text", F.lit(""))).otherwise(F.array_join(F.filter(lines, lambda _, i: ~F.get("lost", i)), "\n"))
     text = [(left if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns]
