@@ -280,10 +280,10 @@ def oracle_sql(min_chars: int = 1, min_docs: int = 10) -> str:
     space = " || ".join(f"chr({ord(c)})" for c in SPACE)
     return f"""
 WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-each AS (SELECT row, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS at FROM numbered),
+each AS (SELECT row, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS line_no FROM numbered),
 keyed AS (SELECT *, translate(trim(line, {space}), '{UPPER}', '{LOWER}') AS key FROM each),
 repeated AS (SELECT key FROM keyed WHERE length(key) >= {min_chars} GROUP BY key HAVING count(DISTINCT row) >= {min_docs}),
 judged AS (SELECT k.*, r.key IS NOT NULL AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
-SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY row
 """

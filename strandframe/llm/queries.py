@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.llm import ann, bpe, fingerprint, langid, licenses, linededup, mixing, neardup, pii, tokenstore, toxicity
+from strandframe.llm import ann, bpe, convrepair, fingerprint, langid, licenses, linededup, mixing, neardup, pii, tokenstore, toxicity
 from strandframe.llm.common import small_batches
 
 
@@ -56,6 +56,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.digests(convrepair.damage(_table(spark, sf_dir, "conversations")))
+
+
 def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digests(_table(spark, sf_dir, "documents"), min_chars=1, min_docs=10)
 
@@ -71,10 +75,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_licenses": op9_licenses,
     "op10_mixing": op10_mixing,
+    "op11_repair": op11_repair,
     "op12_linededup": op12_linededup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_mixing": mixing.oracle_sql(),
+    "op11_repair": convrepair.oracle_sql(),
     "op12_linededup": linededup.oracle_sql(),
 }
