@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.llm import ann, bpe, convrepair, fingerprint, langid, licenses, linededup, mixing, neardup, pii, tokenstore, toxicity
+from strandframe.llm import ann, bpe, convrepair, fingerprint, langid, licenses, linededup, mixing, neardup, pii, tokenstore, toxicity, vectorcodes
 from strandframe.llm.common import small_batches
 
 
@@ -64,6 +64,10 @@ def op12_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digests(_table(spark, sf_dir, "documents"), min_chars=1, min_docs=10)
 
 
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.digests(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_bpe": op2_bpe,
@@ -77,10 +81,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_repair": op11_repair,
     "op12_linededup": op12_linededup,
+    "op13_codes": op13_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op10_mixing": mixing.oracle_sql(),
     "op11_repair": convrepair.oracle_sql(),
     "op12_linededup": linededup.oracle_sql(),
+    "op13_codes": vectorcodes.oracle_sql(),
 }
