@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from strandframe.llm.common import PLACE, attach, placed, stage
 
 #: Turns of a conversation that is searched whole, at most; turns of a piece of a longer one.
-LONG, PIECE = 64, 32
+LONG, PIECE = 128, 64
 #: The states' next role, the state behind it, and what it costs to end there.
 ROLE, NEXT, END = ("user", "user", "assistant", "user"), (2, 2, 3, 2), (0, 4, 2, 0)
 COST = {"D": 3, "I": 2, "K": 0, "R": 2}
@@ -49,12 +49,47 @@ def kept_state(state: int, initial: str) -> int | None:
     return NEXT[state] if initial == ROLE[state][0] else None
 
 
-def rest_of(turns: list[tuple[str, bool, bool]]) -> list[int]:
-    """A lower bound of the cost from each turn (initial, must go, truncated) on."""
-    rest = [0]
+def lower_bounds(turns: list[tuple[str, bool, bool]], goal: int | None) -> list[tuple[int, int, int, int]]:
+    """For each place among the turns (initial, must go, truncated), and each state there, a lower bound of the cost of the
+    rest.
+
+    A turn that must go costs 3; one that stays costs 1 if it is truncated, and 2 more if its role has to change. Two turns
+    that could stay, one behind the other, with roles that may not follow each other cost 2 more: one is deleted or
+    changed, or something is inserted between them. So does the first with what its state allows, and the last with the
+    goal. Pairs that share no turn add up; the best choice of pairs counts.
+    """
+    if goal in (0, 1):  # nothing, or one system turn, is left: all others go
+        out, most, s_turn = [tuple(0 if s == goal else NEVER for s in range(4))], 0, NEVER
+        for initial, must_go, truncated in reversed(turns):
+            most, s_turn = most + 3, min(s_turn, int(truncated) - 3 if initial == "s" and not must_go else NEVER)
+            out.append((most if goal == 0 else min(NEVER, most + s_turn), most if goal == 1 else NEVER, NEVER, NEVER))
+        return out[::-1]
+    ends = ("a",) if goal is None else ("", "s", "u", "a")[goal]
+    nothing = END if goal is None else tuple(0 if s == goal else NEVER for s in range(4))
+    out = [nothing]
+    system = False  # whether one of them is system's: one at most stays what it is, and only from state 0
+    gone = 0  # of the turns from here on that must go
+    alone, follow, ahead = 0, None, 0  # best from the next turn that could stay; that turn; best from the one behind it
     for initial, must_go, truncated in reversed(turns):
-        rest.append(rest[-1] + (3 if must_go else int(truncated) if initial in ("s", "u", "a") else min(3, 2 + truncated)))
-    return rest[::-1]
+        if must_go:
+            gone += 3
+        else:
+            odd, system = initial not in ("u", "a"), system or initial == "s"
+            own = min(3, 2 + truncated) if odd else int(truncated)
+            if follow is None:
+                clash = 0 if odd or initial in ends else 2
+                best = own + clash
+            else:
+                before, odd_before, own_before = follow
+                clash = 0 if odd or odd_before or initial + before in ("su", "ua", "au") else 2
+                best = max(own + alone, own + own_before + clash + ahead)
+            alone, ahead, follow = best, (alone if follow is not None else 0), (initial, odd, own)
+        if follow is None:
+            out.append(tuple(min(NEVER, gone + x) for x in nothing) if goal is None else tuple(gone for _ in range(4)))
+        else:
+            initial_, odd_, own_ = follow
+            out.append(tuple(gone + max(alone, own_ + ahead + (0 if odd_ or kept_state(state, initial_) is not None else 2)) - 2 * (system and state == 0) for state in range(4)))
+    return out[::-1]
 
 
 def search(turns: list[tuple[str, bool, bool]], start: int = 0, goal: int | None = None) -> tuple[int, str] | None:
@@ -66,14 +101,8 @@ def search(turns: list[tuple[str, bool, bool]], start: int = 0, goal: int | None
     if goal is not None:
         if not n:
             return (0, "") if goal == start else None
-        if goal == 0 and start != 0 or goal == 1 and start != 1 and not (start == 0 and any(t[0] == "s" and not t[1] for t in turns)):
-            return None
-    rest = rest_of(turns)
-
-    def left(i: int, state: int) -> int:
-        return rest[i] if i < n else END[state] if goal is None else 0 if state == goal else NEVER
-
-    bound = left(0, start)
+    rest = lower_bounds(turns, goal)
+    bound = rest[0][start]
     while bound < NEVER:
         failed: dict[tuple[int, int], int] = {}
         beyond = NEVER
@@ -83,7 +112,7 @@ def search(turns: list[tuple[str, bool, bool]], start: int = 0, goal: int | None
             frame = frames[-1]
             i, state, cost, edit = frame
             if not edit:
-                least = cost + left(i, state)
+                least = cost + rest[i][state]
                 if least > bound or failed.get((i, state), -1) >= bound - cost:
                     beyond = min(beyond, least) if least > bound else beyond
                     frames.pop()

@@ -14,14 +14,14 @@ from strandframe.llm import convrepair
 LEGAL = {"su", "ua", "au"}
 
 
-def dijkstra(turns, role=lambda state: {0: "u", 1: "u", 2: "a", 3: "u"}[state]):
-    """The cheapest and least edits, by Dijkstra's search over (cost, edits)."""
-    heap, done = [(0, "", 0, 0)], set()
+def dijkstra(turns, start=0, goal=None, role=lambda state: {0: "u", 1: "u", 2: "a", 3: "u"}[state]):
+    """The cheapest and least edits, by Dijkstra's search over (cost, edits); to a goal, none behind the last turn."""
+    heap, done = [(0, "", 0, start)], set()
     while heap:
         cost, audit, i, state = heapq.heappop(heap)
-        if i == len(turns) and state in (0, 3):
+        if i == len(turns) and (state in (0, 3) if goal is None else state == goal):
             return cost, audit
-        if (i, state) in done:
+        if (i, state) in done or goal is not None and i == len(turns):
             continue
         done.add((i, state))
         after = {"u": 2, "a": 3}[role(state)]
@@ -92,7 +92,7 @@ SCHEMA = "conv_id long, turn long, role string, text string, extra int"
 
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_brute_force(spark, seed):
-    rows = made(seed, [(i, i % 9) for i in range(150)] + [(None, 7), (1000, 64), (1001, 90), (1002, 300), (1003, 65)])
+    rows = made(seed, [(i, i % 9) for i in range(150)] + [(None, 7), (1000, 128), (1001, 190), (1002, 300), (1003, 129)])
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA).repartition(5)
     assert got(df) == brute(rows)
 
@@ -117,6 +117,11 @@ def test_search_equals_dijkstra():
         turns = [("suat "[rng.integers(0, 5)], bool(rng.random() < 0.2), False) for _ in range(rng.integers(0, 12))]
         turns = [(i, m, not m and bool(rng.random() < 0.3)) for i, m, _ in turns]
         assert convrepair.search(turns) == dijkstra(turns)
+        for start in range(4):
+            for goal in (None, 0, 1, 2, 3):
+                want = dijkstra(turns, start, goal)
+                assert convrepair.search(turns, start, goal) == want
+                assert want is None or convrepair.lower_bounds(turns, goal)[0][start] <= want[0]
 
 
 def test_table_equals_brute_force_and_sql(spark):
