@@ -12,12 +12,12 @@ from strandframe.sources import files
 
 
 def fasta_violations(spark: SparkSession, path: str) -> DataFrame:
-    """(line, message) of a FASTA file that must have a name line and a line of A, C, G, T by turns."""
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"\r?\n$", "").alias("value"))
-    lines = whole.select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
-    v, even = F.col("value"), F.col("line") % 2 == 0
-    message = F.when(F.length(F.trim(v)) == 0, "blank line").when(even & ~v.startswith(">"), "a name line must start with >").when(even & v.startswith("> "), "no space may follow >").when(~even & v.startswith(">"), "a sequence line may not start with >").when(~even & ~v.rlike("^[ACGT]+$"), "a sequence may have only A, C, G and T")
-    return lines.select("line", message.alias("message")).filter("message is not null")
+    """(file, line, message) of FASTA files that must have a name line and a line of A, C, G, T by turns. Lines are numbered
+    across splits, so a file of any size is checked by many tasks."""
+    lines = files.numbered_lines(spark, path)
+    v, even = F.regexp_replace("value", r"\s+$", ""), F.col("line") % 2 == 0
+    message = F.when(F.length(v) == 0, "blank line").when(even & ~v.startswith(">"), "a name line must start with >").when(even & v.startswith("> "), "no space may follow >").when(~even & v.startswith(">"), "a sequence line may not start with >").when(~even & ~v.rlike("^[ACGT]+$"), "a sequence may have only A, C, G and T")
+    return lines.select("file", "line", message.alias("message")).filter("message is not null")
 
 
 def fasta_warnings(spark: SparkSession, path: str, most: int = 1000) -> list[str]:
@@ -66,10 +66,11 @@ def validate_inputs(spark: SparkSession, fasta: str | None, fastq1: str | None,
 
 
 def require(violations: DataFrame, what: str) -> None:
-    """InputError with the first violation, if there is one."""
-    first = violations.orderBy(violations.columns[0]).limit(1).collect()
+    """InputError with the first violation, by all columns but the message, if there is one."""
+    where = [c for c in violations.columns if c != "message"]
+    first = violations.orderBy(*where, "message").limit(1).collect()
     if first:
-        raise InputError(f"{what}: {first[0]['message']} ({violations.columns[0]} {first[0][0]})")
+        raise InputError(f"{what}: {first[0]['message']} ({', '.join(f'{c} {first[0][c]}' for c in where if c != 'file')})")
 
 
 def check_params(values: dict[str, Any], schema: dict[str, Any], path: str = "") -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandframe.functions.columns import deletion_is_ambiguous
 from strandframe.model import BitVectorConfig, StricterConstraints
-from strandframe.operators import chunks, filters, histogram, reads, render, reports, trials, vectors
+from strandframe.operators import chunks, filters, histogram, quality, reads, render, reports, trials, vectors
 from strandframe.plans import synth
 from strandframe.session import shared_dir, stage
 from strandframe.sinks import files as sinks
@@ -381,7 +381,7 @@ def union_sam(spark, d):
 
 @query
 def fastq_qc(spark, d):
-    return reads.cycle_quality(synth.mates(spark, d))
+    return quality.cycle_quality(synth.mates(spark, d))
 
 
 @query

@@ -114,5 +114,13 @@ def fastq_chunks(reads: DataFrame, path: str, compressed: bool = False) -> None:
     sorted_.write.partitionBy("chunk").text(path, compression="gzip" if compressed else "none")
 
 
+def fastq_samples(reads: DataFrame, path: str, rows: int = 1_000_000, compressed: bool = False) -> None:
+    """Reads (sample_id, qname, seq, qual) as FASTQ, below one folder for each sample (those of none: Spark's folder for
+    null), in files of ``rows`` reads at most. Reads aren't shuffled: each task writes its own files."""
+    record = F.concat(F.lit("@"), F.col("qname"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
+    writer = reads.select(record.alias("value"), "sample_id").write.partitionBy("sample_id").option("maxRecordsPerFile", rows)
+    writer.text(path, compression="gzip" if compressed else "none")
+
+
 def report_json(report: DataFrame, path: str) -> None:
     report.write.json(path)

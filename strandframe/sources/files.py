@@ -13,16 +13,17 @@ _FIRST_TAG = 12
 
 
 def fasta(spark: SparkSession, path: str, first_token: bool = False) -> DataFrame:
-    """(rname, sequence) of FASTA files; wrapped lines are joined, and of equal names the last counts.
+    """(rname, sequence) of FASTA files; wrapped lines are joined, and of equal names the last counts (files by their path).
 
-    first_token: the name is what stands before the first white space. A reference file is small, and read whole.
+    first_token: the name is what stands before the first white space. Files are split between records, so a task has its
+    share of a file, and a row one reference. What stands before a file's first name is left out.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "\r", "").alias("value"))
-    records = whole.select(F.posexplode(F.split(F.concat(F.lit("\n"), F.col("value")), "\n>")).alias("at", "record")).filter("at > 0")
+    records = numbered_lines(spark, path, "\n>").withColumn("value", F.replace(F.col("value"), F.lit("\r"), F.lit("")))
+    records = records.filter((F.col("line") > 0) | F.col("value").startswith(">")).withColumn("record", F.when(F.col("line") > 0, F.col("value")).otherwise(F.expr("substr(value, 2)")))
     name = F.substring_index("record", "\n", 1)
     name = F.regexp_extract(name, r"^\s*(\S+)", 1) if first_token else F.trim(name)
     body = F.regexp_replace(F.when(F.instr("record", "\n") > 0, F.expr("substr(record, instr(record, '\n') + 1)")).otherwise(""), r"\s", "")
-    return records.select("at", name.alias("rname"), body.alias("sequence")).groupBy("rname").agg(F.max_by("sequence", "at").alias("sequence"))
+    return records.select("file", "line", name.alias("rname"), body.alias("sequence")).groupBy("rname").agg(F.max_by("sequence", F.struct("file", "line")).alias("sequence"))
 
 
 def aligned_reads(lines: DataFrame, strict: bool = True, *keep: str) -> DataFrame:
@@ -64,12 +65,13 @@ def is_paired(reads: DataFrame) -> bool:
     return bool(first) and int(first[0]["flag"]) & 1 == 1
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, value): the lines of text files, plain or compressed, numbered from 0 within their file.
+def numbered_lines(spark: SparkSession, path: str, end: str | None = None) -> DataFrame:
+    """(file, line, value): the lines of text files, plain or compressed, numbered from 0 within their file. end: what ends
+    a line, if it isn't a line break.
 
     Lines are numbered within their split and moved on by the lines of the file's splits before.
     """
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    rows = spark.read.text(path, lineSep=end).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
     before = Window.partitionBy("b_file").orderBy("b_block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
     splits = rows.groupBy(F.col("file").alias("b_file"), F.col("block").alias("b_block")).agg(F.count("*").alias("n"), F.min("id").alias("first"))
     base = splits.select("b_file", "b_block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -89,6 +91,15 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
     return fastq_records(spark, path).filter("seq is not null").select("file", "number", F.regexp_replace("head", "^@", "").alias("qname"), "seq", "qual")
 
 
+def fastq_samples(spark: SparkSession, path: str) -> DataFrame:
+    """(sample_id, file, number, qname, seq, qual) of FASTQ files below one folder for each sample."""
+    sample = F.regexp_extract("file", r"/sample_id=([^/]*)/[^/]*$", 1)
+    for _ in range(2):  # the path is an address, of a folder whose name is escaped
+        sample = F.try_url_decode(F.replace(sample, F.lit("+"), F.lit("%2B")))
+    known = F.when(sample != "__HIVE_DEFAULT_PARTITION__", sample)
+    return fastq(spark, f"{path}/*").select(known.alias("sample_id"), "*")
+
+
 def numbered_sam(spark: SparkSession, path: str, stop_at_blank: bool = True, strict: bool = True) -> DataFrame:
     """Aligned reads of SAM text files with file and number, their place behind the header. stop_at_blank: a file ends
     at its first blank line (else blank lines are left out, but count)."""
