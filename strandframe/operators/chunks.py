@@ -39,6 +39,30 @@ def pair_chunks(chunks: DataFrame, key: str, is_first: Column) -> DataFrame:
     return chunks.groupBy(F.col(key).alias("chunk")).agg(F.sum(is_first.cast("int")).cast("long").alias("r1"), F.sum((~is_first).cast("int")).cast("long").alias("r2"))
 
 
+def named_files(files: DataFrame, name: str) -> DataFrame:
+    """(sample_id, chunk, mate, the columns of files) of chunks' files by their names, ``<sample>_chunk<number>_<mate>.fastq``
+    (or .fq, with .gz): a name without a mate is of mate 1; one without a chunk is left out."""
+    base = F.regexp_extract(F.col(name), r"([^/]*)$", 1)
+    parts = [F.regexp_extract(base, r"^(.*?)_?chunk_?([0-9]+)(?:_R?([12]))?\.f(?:ast)?q(?:\.gz)?$", i) for i in (1, 2, 3)]
+    return files.select(parts[0].alias("sample_id"), F.nullif(parts[1], F.lit("")).cast("long").alias("chunk"), F.coalesce(F.nullif(parts[2], F.lit("")).cast("int"), F.lit(1)).alias("mate"), *files.columns).filter("chunk is not null")
+
+
+def paired_files(named: DataFrame, name: str) -> DataFrame:
+    """(sample_id, chunk, r1, r2, kind) of named_files(): the files of both mates of each chunk, the first by name if there are
+    several. kind: paired, single (no second mate: r2 null), no first mate, or repeated (more than one file of a mate)."""
+    n = [F.count_if(F.col("mate") == m) for m in (1, 2)]
+    files_ = [F.min(F.when(F.col("mate") == m, F.col(name))).alias(f"r{m}") for m in (1, 2)]
+    kind = F.when((n[0] > 1) | (n[1] > 1), "repeated").when(n[0] == 0, "no first mate").when(n[1] == 0, "single").otherwise("paired")
+    return named.groupBy("sample_id", "chunk").agg(*files_, kind.alias("kind"))
+
+
+def file_lists(named: DataFrame, name: str, size: int = 1000) -> DataFrame:
+    """(sample_id, mate, piece, files): a sample's files in the order of chunk, then name, in pieces of ``size`` chunk numbers,
+    so a list is bounded whatever a sample has."""
+    ordered = F.transform(F.array_sort(F.collect_set(F.struct("chunk", name))), lambda x: x[name])
+    return named.groupBy("sample_id", "mate", F.floor(F.col("chunk") / size).alias("piece")).agg(ordered.alias("files"))
+
+
 def sample_of(name: Column) -> Column:
     """The sample of a chunk's name (``s_chunk12`` -> ``s``)."""
     return F.regexp_replace(name, "_chunk[0-9]+$", "")

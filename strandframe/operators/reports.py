@@ -87,6 +87,29 @@ def differences(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float =
     return found.union(none)
 
 
+def difference_rows(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float = 0.0) -> DataFrame:
+    """(keys, difference, column, left_value, right_value) of two results: a row for each cell that differs (``values``; by
+    more than the tolerance, for numbers of floating point), and one for each key that only one side has. One shuffle of each
+    side; equal keys of one side are compared with each of the other's."""
+    values = [c for c in a.columns if c not in keys]
+    kinds = dict(a.dtypes)
+    left = a.select(*keys, F.struct(*values).alias("va"))
+    right = b.select(*[F.col(k).alias(f"k_{k}") for k in keys], F.struct(*values).alias("vb"))
+    met = left.join(right, [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys], "full")
+    cells = []
+    for c in values:
+        x, y = F.col(f"va.{c}"), F.col(f"vb.{c}")
+        near = F.coalesce(F.abs(x - y) <= tolerance, F.lit(False)) if tolerance and kinds[c] in ("double", "float") else F.lit(False)
+        cells.append(F.when(~(x.eqNullSafe(y) | near), F.struct(F.lit("values").alias("difference"), F.lit(c).alias("column"), x.cast("string").alias("left_value"), y.cast("string").alias("right_value"))))
+
+    def alone(side: str) -> Column:
+        return F.array(F.struct(F.lit(f"only {side}").alias("difference"), F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("left_value"), F.lit(None).cast("string").alias("right_value")))
+
+    every = F.when(F.col("vb").isNull(), alone("left")).when(F.col("va").isNull(), alone("right")).otherwise(F.filter(F.array(*cells), lambda x: x.isNotNull()))
+    known = [F.when(F.col("va").isNull(), F.col(f"k_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
+    return met.select(*known, F.inline(every))
+
+
 def quality_score(signal: Column, aligned: Column, mapq: Column, accepted: Column) -> Column:
     """Weighted score of a parameter set; all parts between 0 and 1, but the mapping quality between 0 and 60."""
     return half_even(0.4 * signal + 0.3 * aligned + 0.2 * F.least(mapq / 60.0, F.lit(1.0)) + 0.1 * accepted, 6)

@@ -100,9 +100,9 @@ def _agree() -> Column:
     return (F.col("r1.pnext") == F.col("r2.pos")) & (F.col("r1.rname") == F.col("r2.rname")) & (F.col("r1.rnext") == "=") & (F.col("r1.mapq") == F.col("r2.mapq"))
 
 
-def _primary(reads: DataFrame) -> DataFrame:
-    """Without secondary and supplementary lines, if reads have flags."""
-    return reads.filter(F.col("flag").cast("int").bitwiseAND(0x900) == 0) if "flag" in reads.columns else reads
+def is_primary(reads: DataFrame) -> Column:
+    """Whether a line is neither secondary nor supplementary; true for all, if reads have no flags."""
+    return F.col("flag").cast("int").bitwiseAND(0x900) == 0 if "flag" in reads.columns else F.lit(True)
 
 
 def fragments_by_name(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
@@ -110,19 +110,29 @@ def fragments_by_name(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
     shuffle, in which each read moves once."""
     read = F.struct(*[c for c in reads.columns if c != mate_col])
     sides = [F.first(F.when(F.col(mate_col) == m, read), ignorenulls=True).alias(f"r{m}") for m in (1, 2)]
-    return _primary(reads).groupBy("qname").agg(*sides, *[F.count_if(F.col(mate_col) == m).alias(f"n{m}") for m in (1, 2)])
+    return reads.filter(is_primary(reads)).groupBy("qname").agg(*sides, *[F.count_if(F.col(mate_col) == m).alias(f"n{m}") for m in (1, 2)])
+
+
+def pairs_of(fragments: DataFrame) -> DataFrame:
+    """(qname, rname, r1, r2) of fragments_by_name()'s names with one line for each mate, which agree on each other's place,
+    the reference and the mapping quality."""
+    return fragments.filter((F.col("n1") == 1) & (F.col("n2") == 1) & _agree()).select("qname", F.col("r1.rname").alias("rname"), "r1", "r2")
+
+
+def orphans_of(fragments: DataFrame) -> DataFrame:
+    """The only lines of fragments_by_name()'s names, as single reads."""
+    return fragments.filter((F.col("n1") + F.col("n2")) == 1).select(F.coalesce("r1", "r2").alias("r")).select("r.*")
 
 
 def consistent_pairs(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
     """(qname, rname, r1, r2) of the pairs, by query name, that agree on each other's place, the reference and the
     mapping quality. A name with more than one line for a mate is no pair."""
-    return fragments_by_name(reads, mate_col).filter((F.col("n1") == 1) & (F.col("n2") == 1) & _agree()).select("qname", F.col("r1.rname").alias("rname"), "r1", "r2")
+    return pairs_of(fragments_by_name(reads, mate_col))
 
 
 def orphans(reads: DataFrame, mate_col: str = "mate") -> DataFrame:
     """The reads whose mate is missing, as single reads."""
-    one = fragments_by_name(reads, mate_col).filter((F.col("n1") + F.col("n2")) == 1)
-    return one.select(F.coalesce("r1", "r2").alias("r")).select("r.*")
+    return orphans_of(fragments_by_name(reads, mate_col))
 
 
 def positional_pairs(reads: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.model import BASES, REASONS, BitVectorConfig, InputError
-from strandframe.operators import histogram
+from strandframe.operators import histogram, merge
 from strandframe.operators.render import dense_text, letter_count, sparse_map
 from strandframe.sources import files
 
@@ -31,12 +33,23 @@ def bit_vectors_text(judged: DataFrame, path: str, data_type: str = "DMS", piece
 def bit_vectors_json(judged: DataFrame, path: str) -> None:
     """Accepted vectors as JSON lines: [reference, mapq 1, mapq 2, length 1, length 2, mutations, deletions, ambiguous]."""
     ok = judged.filter(F.col("reason").isNull())
+    ok.select(_vector_json().alias("value")).write.text(path)
+
 
-    def second(c: str):
+def _vector_json() -> Column:
+    def second(c: str) -> Column:
         return F.coalesce(F.get(c, 1), F.lit(0)).cast("string")
 
     cells = [F.expr("substr(to_json(array(rname)), 2, length(to_json(array(rname))) - 2)"), F.get("mapqs", 0).cast("string"), second("mapqs"), F.get("lengths", 0).cast("string"), second("lengths"), *[F.to_json(sparse_map(F.col("bits"), k)) for k in ("muts", "dels", "ambigs")]]
-    ok.select(F.concat(F.lit("["), F.concat_ws(", ", *cells), F.lit("]")).alias("value")).write.text(path)
+    return F.concat(F.lit("["), F.concat_ws(", ", *cells), F.lit("]"))
+
+
+def bit_vectors_json_array(judged: DataFrame, path: str, vectors: int = 10_000) -> None:
+    """As bit_vectors_json(), but files that are one JSON array each, of about so many vectors."""
+    ok = judged.filter(F.col("reason").isNull())
+    pieces = max(1, math.ceil(ok.count() / vectors))
+    dealt = ok.select(F.pmod(F.xxhash64("qname"), F.lit(pieces)).alias("piece"), _vector_json().alias("vector")).groupBy("piece").agg(F.array_join(F.collect_list("vector"), ",").alias("all"))
+    dealt.select(F.concat(F.lit("["), "all", F.lit("]")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
 def bit_vectors(judged: DataFrame, path: str, config: BitVectorConfig) -> None:
@@ -49,7 +62,8 @@ def bit_vectors(judged: DataFrame, path: str, config: BitVectorConfig) -> None:
 
 
 def histogram_json(refs: DataFrame, positions: DataFrame, nmut: DataFrame, reads: DataFrame, path: str, data_type: str = "DMS", structures: DataFrame | None = None) -> None:
-    """One JSON object a line for each reference: arrays with a slot 0 that isn't used; structure, if it has one."""
+    """One JSON object a line for each reference: arrays with a slot 0 that isn't used; structure, if it has one; its own
+    data_type, if refs has that column."""
     known = structures.select(F.col("name").alias("rname"), "structure") if structures is not None else refs.select("rname", F.lit(None).cast("string").alias("structure"))
     dense = histogram.dense_positions(positions, refs)
 
@@ -62,12 +76,20 @@ def histogram_json(refs: DataFrame, positions: DataFrame, nmut: DataFrame, reads
     every = histogram.with_all_references(reads, refs).join(refs, "rname").join(arrays, "rname").join(counts, "rname", "left").join(known, "rname", "left")
     filled = F.transform(F.sequence(F.lit(0), F.length("sequence")), lambda i: F.coalesce(F.try_element_at("by_n", i), F.lit(0).cast("long")))
     out = every.select(
-        F.col("rname").alias("name"), "sequence", "structure", F.lit(data_type).alias("data_type"), F.lit(1).alias("start"), F.length("sequence").alias("end"), "num_reads", "num_aligned",
+        F.col("rname").alias("name"), "sequence", "structure", (F.col("data_type") if "data_type" in refs.columns else F.lit(data_type)).alias("data_type"), F.lit(1).alias("start"), F.length("sequence").alias("end"), "num_reads", "num_aligned",
         F.create_map(*[x for r in REASONS for x in (F.lit(r), F.col(r))]).alias("skips"), filled.alias("num_of_mutations"), *[f"{c}_bases" for c in ("mut", "info", "del", "ins", "cov")], "mod_bases",
     )
     out.write.json(path)
 
 
+def merged_histograms(spark: SparkSession, paths: list[str], path: str, form: str = "lines", strict: bool = False) -> None:
+    """Histogram JSON files of parts, merged, as histogram_json() writes it; parts that disagree are refused, and then nothing
+    is written. Without histograms the result has no line."""
+    merged = merge.merge_files(spark, paths, form, strict)
+    refs = merged.refs.select("rname", "sequence", "data_type")
+    histogram_json(refs, merged.positions, merged.mutation_counts, merged.reads, path, structures=merged.refs.select(F.col("rname").alias("name"), "structure"))
+
+
 def histogram_json_object(spark: SparkSession, lines: str, path: str) -> None:
     """The histograms that histogram_json() wrote as one object by reference, in one file: all of them pass one task, so
     this is for a library of references, not for any number."""

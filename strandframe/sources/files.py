@@ -143,15 +143,23 @@ def bit_vector_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
 _HISTOGRAM = "name string, sequence string, structure string, data_type string, start int, end int, num_reads bigint, num_aligned bigint, skips map<string,bigint>, num_of_mutations array<bigint>, mut_bases array<double>, info_bases array<double>, del_bases array<double>, ins_bases array<double>, cov_bases array<double>, mod_bases map<string,array<double>>"
 
 
-def histogram_json(spark: SparkSession, path: str, form: str = "lines") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """positions, mutation_counts and read_counts of histogram JSON. form: "lines", a histogram a line, or "object", one
-    object of all histograms by reference, which is read whole."""
+def histogram_records(spark: SparkSession, path: str | list[str], form: str = "lines") -> DataFrame:
+    """(rname, the fields of a histogram, file) of histogram JSON. form: "lines", a histogram a line, or "object", one object
+    of all histograms by reference, which is read whole."""
     kind = f"struct<{', '.join(f'{a}:{b}' for a, b in (x.strip().split(' ') for x in _HISTOGRAM.split(', ')))}>"
-    text = spark.read.text(path, wholetext=form == "object")
+    if not path:
+        return spark.createDataFrame([], f"rname string, {_HISTOGRAM}, file string").drop("name")
+    text = spark.read.text(path, wholetext=form == "object").select("value", F.col("_metadata.file_path").alias("file"))
     if form == "object":
-        one = text.select(F.explode(F.from_json("value", f"map<string,{kind}>")).alias("rname", "h")).select("rname", "h.*")
+        one = text.select("file", F.explode(F.from_json("value", f"map<string,{kind}>")).alias("rname", "h")).select("rname", "h.*", "file")
     else:
-        one = text.select(F.from_json("value", kind).alias("h")).select(F.col("h.name").alias("rname"), "h.*")
+        one = text.select("file", F.from_json("value", kind).alias("h")).select(F.col("h.name").alias("rname"), "h.*", "file")
+    return one.drop("name")
+
+
+def histogram_json(spark: SparkSession, path: str | list[str], form: str = "lines") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """positions, mutation_counts and read_counts of histogram_records()."""
+    one = histogram_records(spark, path, form)
     at = one.select("*", F.explode(F.sequence(F.col("start"), F.col("end"))).alias("pos"))
 
     def value(array: Column) -> Column:
@@ -164,10 +172,44 @@ def histogram_json(spark: SparkSession, path: str, form: str = "lines") -> tuple
     return positions, counts, reads
 
 
+_STATS = "sample_id string, reference string, is_paired_end boolean, bowtie2_args string, alignment struct<total_reads:bigint, aligned_count:bigint, unaligned_count:bigint, unique_alignments:bigint, multiple_alignments:bigint, overall_alignment_rate:double>"
+
+
+def alignment_stats(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(sample_id, chunk, file, reference, is_paired_end, aligner_args, total_reads, aligned_count, unaligned_count,
+    unique_alignments, multiple_alignments, overall_alignment_rate, error) of alignment-statistics JSON, one object a file,
+    of one run or of many chunks.
+
+    A field that a file lacks is null, one that isn't known is passed over. sample_id and chunk come from the folder
+    ``<sample>_chunk<number>`` in the path (no such folder: the file's own sample_id, or that of the folder that holds
+    Mapping_Files; chunk null). A file that can't be read as such an object has its text in error and nothing else.
+    """
+    found = spark.read.schema(f"{_STATS}, error string").json(path, multiLine=True, columnNameOfCorruptRecord="error").select("*", F.col("_metadata.file_path").alias("file"))
+    chunk = r"([^/=]+)_chunk_?([0-9]+)/"
+    plain = F.nullif(F.regexp_extract("file", r"([^/=]+)/Mapping_Files/", 1), F.lit(""))
+    of_chunk = F.nullif(F.regexp_extract("file", chunk, 1), F.lit(""))
+    return found.select(
+        F.coalesce(of_chunk, "sample_id", plain).alias("sample_id"), F.nullif(F.regexp_extract("file", chunk, 2), F.lit("")).cast("int").alias("chunk"), "file", "reference", "is_paired_end",
+        F.col("bowtie2_args").alias("aligner_args"), "alignment.*", "error",
+    )
+
+
+def summaries(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The rows of summary CSV files with these columns among others, cells as they are, and sample_id, from the folder that
+    holds the file (or BitVector_Files), and file."""
+    table = spark.read.csv(path, header=True)
+    sample = F.regexp_extract("file", r"([^/=]+)/(?:BitVector_Files/)?[^/]+$", 1)
+    return table.select("*", F.col("_metadata.file_path").alias("file")).withColumn("sample_id", sample)
+
+
 def bit_vectors_json(spark: SparkSession, path: str) -> DataFrame:
     """(rname, mapqs, lengths, bits) of bit-vector JSON lines; bits has mutations, deletions and ambiguous symbols, which
     are all that the format keeps."""
-    c = spark.read.text(path).select(F.from_json("value", "array<string>").alias("c"))
+    return _vectors_of(spark.read.text(path))
+
+
+def _vectors_of(lines: DataFrame) -> DataFrame:
+    c = lines.select(F.from_json("value", "array<string>").alias("c"))
 
     def pair(i: int) -> Column:
         return F.array(F.get("c", i).cast("int"), F.get("c", i + 1).cast("int"))
@@ -179,5 +221,18 @@ def bit_vectors_json(spark: SparkSession, path: str) -> DataFrame:
     return c.select(F.get("c", 0).alias("rname"), pair(1).alias("mapqs"), pair(3).alias("lengths"), F.array_sort(F.concat(symbols(5), symbols(6), symbols(7))).alias("bits"))
 
 
-def trials(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, inferSchema=True)
+def bit_vectors_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """bit_vectors_json() of files that hold one JSON array of all vectors each. Files are split between vectors."""
+    piece = F.regexp_replace(F.regexp_replace(F.trim("value"), r"^\[\s*(?=\[)", ""), r"\]\s*\]$", "]")
+    # A cut takes the end of the vector before it and the beginning of the one behind it.
+    begun = F.when(piece.startswith("["), piece).otherwise(F.concat(F.lit('["'), piece))
+    whole = F.when(begun.endswith("]"), begun).otherwise(F.concat(begun, F.lit("]")))
+    lines = spark.read.text(path, lineSep='],["').filter(~F.trim("value").isin("", "[]"))
+    return _vectors_of(lines.select(whole.alias("value")))
+
+
+def trials(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The trials of a search: trial a number, metrics doubles, parameters text (or null); the files are read once."""
+    table = spark.read.csv(path, header=True)
+    kinds = {"trial": "long", **dict.fromkeys(("quality_score", "signal_to_noise", "alignment_rate", "avg_mapq", "bv_accepted"), "double")}
+    return table.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in table.columns])
