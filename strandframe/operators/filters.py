@@ -9,10 +9,6 @@ from strandframe.functions.columns import is_base
 from strandframe.model import BitVectorConfig
 
 
-def in_range(bits: Column, ref_length: Column) -> Column:
-    return F.filter(bits, lambda b: (b["pos"] >= 1) & (b["pos"] <= ref_length))
-
-
 def mutation_positions(bits: Column) -> Column:
     return F.transform(F.filter(bits, lambda b: is_base(b["bit"])), lambda b: b["pos"])
 
@@ -28,19 +24,28 @@ def closer_than(positions: Column, distance: int) -> Column:
     return F.exists(gaps, lambda d: d <= distance)
 
 
-def reason(config: BitVectorConfig) -> Column:
-    """Null for a fragment that counts."""
+def reason(config: BitVectorConfig, mutated: Column) -> Column:
+    """Null for a fragment that counts. mutated: its mutations' positions."""
     out = F.when(F.exists("mapqs", lambda q: q < config.map_score_cutoff), F.lit("low_mapq"))
     if s := config.stricter:
         out = out.when(F.exists("lengths", lambda n: n / F.col("ref_length") < s.percent_length_cutoff), F.lit("short_read"))
         out = out.when(F.col("n_mut") > s.mutation_count_cutoff, F.lit("too_many_muts"))
-        out = out.when(closer_than(mutation_positions(F.col("bits")), s.min_mut_distance), F.lit("muts_too_close"))
+        out = out.when(closer_than(mutated, s.min_mut_distance), F.lit("muts_too_close"))
     return out
 
 
 def with_reason(fragments: DataFrame, config: BitVectorConfig = BitVectorConfig()) -> DataFrame:
-    """Fragments with n_mut and reason."""
-    return fragments.withColumn("n_mut", mutation_count(F.col("bits"), F.col("ref_length"))).withColumn("reason", reason(config))
+    """Fragments with n_mut and reason.
+
+    Without stricter filters the reason doesn't look at the vector, so a fragment of low quality is left out before its
+    vector is made, where only accepted ones are asked for. With them the vector is gone through once, for the positions
+    that both the number and the distances need.
+    """
+    if config.stricter is None:
+        return fragments.withColumn("n_mut", mutation_count(F.col("bits"), F.col("ref_length"))).withColumn("reason", reason(config, mutation_positions(F.col("bits"))))
+    known = fragments.select("*", F.inline(F.array(F.struct(mutation_positions(F.col("bits")).alias("mutated")))))
+    inside = F.size(F.filter("mutated", lambda p: (p >= 1) & (p <= F.col("ref_length"))))
+    return known.withColumn("n_mut", inside).withColumn("reason", reason(config, F.col("mutated"))).drop("mutated")
 
 
 def rejected(judged: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandframe.functions.columns import half_even, is_base, ratio
-from strandframe.model import AMBIGUOUS, BASES, DELETION, REASONS, InputError
+from strandframe.model import AMBIGUOUS, BASES, BITS, DELETION, REASONS, InputError
 
 SUMS = ("cov", "info", "mut", "del", "ins", *BASES)
 
@@ -38,19 +38,26 @@ def positions(judged: DataFrame, *by: str) -> DataFrame:
     return each.groupBy(*by, "rname", "pos").agg(*_symbol_counts())
 
 
+#: The place of the entry that stands for the fragment itself.
+_SELF = -(1 << 31)
+
+
 def tallies(judged: DataFrame, *by: str) -> DataFrame:
     """All counts in one pass: (rname, pos, n_mut, reason, the sums, reads); a row has either a position and its sums,
     or a number of mutations, a reason and the number of such fragments. of_positions(), of_mutations() and of_reads()
     read the three tables off it.
 
-    Each fragment becomes a row for itself and, if it counts, one for each symbol; they are added up in one shuffle.
+    A fragment's vector gets one more entry, which stands for itself: its symbol is the number of mutations and the
+    reason. A rejected fragment has that entry only. So vectors go to the one shuffle as they are.
     """
-    row = "struct<pos:int,bit:string,n_mut:int,reason:string>"
-    own = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("bit"), F.col("n_mut").cast("int").alias("n_mut"), F.col("reason"))).cast(f"array<{row}>")
-    inside = F.filter("bits", lambda b: (b["pos"] >= 1) & (b["pos"] <= F.col("ref_length")))
-    symbols = F.transform(inside, lambda b: F.struct(b["pos"].alias("pos"), b["bit"].alias("bit"), F.lit(None).cast("int").alias("n_mut"), F.lit(None).cast("string").alias("reason"))).cast(f"array<{row}>")
-    each = judged.select(*by, "rname", F.inline(F.when(F.col("reason").isNull(), F.concat(own, symbols)).otherwise(own)))
-    return each.groupBy(*by, "rname", "pos", "n_mut", "reason").agg(*_symbol_counts(), F.count("n_mut").alias("reads"))
+    tag = F.concat_ws(" ", F.col("n_mut").cast("string"), "reason")
+    own = F.array(F.struct(F.lit(_SELF).alias("pos"), tag.alias("bit"))).cast(BITS)
+    each = judged.select(*by, "rname", "ref_length", F.inline(F.when(F.col("reason").isNull(), F.concat(own, "bits")).otherwise(own)))
+    inside = each.filter((F.col("pos") == _SELF) | ((F.col("pos") >= 1) & (F.col("pos") <= F.col("ref_length"))))
+    split = inside.select(*by, "rname", "pos", F.when(F.col("pos") == _SELF, F.col("bit")).alias("tag"), F.when(F.col("pos") != _SELF, F.col("bit")).alias("bit"))
+    counted = split.groupBy(*by, "rname", "pos", "tag").agg(*_symbol_counts(), F.count("tag").alias("reads"))
+    parts = F.split("tag", " ")
+    return counted.select(*by, "rname", F.nullif("pos", F.lit(_SELF)).alias("pos"), F.get(parts, 0).cast("int").alias("n_mut"), F.get(parts, 1).alias("reason"), *SUMS, "reads")
 
 
 def of_positions(tallied: DataFrame) -> DataFrame:
@@ -99,6 +106,13 @@ def merge_positions(parts: list[DataFrame], strict: bool = False) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy("rname", "pos").agg(*[F.sum(c).cast("long").alias(c) for c in SUMS])
 
 
+def merge_parts(counted: DataFrame, part: str, strict_first: int | None = None) -> DataFrame:
+    """merge_positions() of one table of all parts, told apart by a column. strict_first: the part whose deletions alone
+    count, as by a merge that forgets the others'."""
+    known = counted if strict_first is None else counted.withColumn("del", F.when(F.col(part) == strict_first, F.col("del")).otherwise(0))
+    return known.groupBy("rname", "pos").agg(*[F.sum(c).cast("long").alias(c) for c in SUMS])
+
+
 def merge_mutation_counts(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy("rname", "n_mut").agg(F.sum("reads").cast("long").alias("reads"))
 

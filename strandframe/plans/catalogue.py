@@ -208,7 +208,7 @@ def _position_parts(spark: SparkSession, d: str) -> list[DataFrame]:
 
 @query
 def merge_chunks(spark, d):
-    return histogram.merge_positions(_position_parts(spark, d))
+    return histogram.merge_parts(histogram.positions(_with_part(_judged(spark, d)), "part"), "part")
 
 
 @query
@@ -223,7 +223,8 @@ def merge_read_counts(spark, d):
 
 @query
 def merge_chunks_strict(spark, d):
-    return histogram.merge_positions(_position_parts(spark, d), strict=True).select("rname", "pos", "cov", "info", "mut", "del")
+    counted = histogram.positions(_with_part(_judged(spark, d)), "part")
+    return histogram.merge_parts(counted, "part", strict_first=0).select("rname", "pos", "cov", "info", "mut", "del")
 
 
 @query
