@@ -19,8 +19,8 @@
 Scale: texts are read once, to count words; all else is on rows of a few numbers. Sources are rows, numbered by sorted
 ranges; no row or task holds them all (an array has one entry for each source of a group, or for each group). The order
 of a source is a prefix sum in two levels over hash ranges of about ``RANGE_DOCS`` documents, so no task holds a source.
-The mix itself shuffles texts twice: to join a row with its copies, and to the partitions of its shards, of which there
-are as many as the words drawn ask for.
+The mix itself shuffles texts twice, at any size: to join a row with its copies, and to the partitions of its shards, of
+which there are as many as the words drawn ask for.
 
 Defined results: null and empty texts have size 0 and take 0; a null source is a source of its own, last; repeated
 rows count as documents of their own (those equal in id and text stand side by side); with no words at all, all targets
@@ -216,7 +216,7 @@ def mixed_documents(docs: DataFrame, seed: int = 1, shards: int = 16, part_words
     words = picked.agg(F.sum(F.col("size") * F.size("shards"))).first()[0] or 0
     parts = max(1, math.ceil(words / (shards * part_words)))
     packed = rows.select(*PLACE, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    each = packed.join(picked.drop("size"), list(PLACE)).select("doc", F.explode("shards").alias("shard"))
+    each = packed.join(picked.drop("size").hint("shuffle_hash"), list(PLACE)).select("doc", F.explode("shards").alias("shard"))
     each = each.withColumn("order", F.xxhash64(F.lit(seed), "doc", "shard"))  # rows of one id are dealt apart
     dealt = each.repartitionById(shards * parts, (F.col("shard") * parts + F.pmod("order", F.lit(parts))).cast("int"))
     name = "shard"
