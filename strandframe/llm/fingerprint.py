@@ -1,7 +1,7 @@
 """Homomorphic multiset hash of a document's paragraphs.
 
 A paragraph (a run of characters without line ends that holds a word) is hashed to a wide vector: ``STRONG`` lanes
-modulo 2^64, drawn by BLAKE2b from its bytes, and ``WIDE`` lanes modulo 2^16, into each of which fall the signed
+modulo 2^64, drawn by BLAKE2b from its bytes, and ``WIDE`` lanes modulo 2^32, into each of which fall the signed
 hashes of its runs of three words. A document's fingerprint is the lane-wise sum of its paragraphs' vectors. So
 
 * it doesn't depend on the order of the paragraphs;
@@ -45,7 +45,7 @@ class Fingerprint:
 
     def __init__(self, strong: np.ndarray | None = None, wide: np.ndarray | None = None):
         self.strong = np.zeros(STRONG, np.uint64) if strong is None else strong
-        self.wide = np.zeros(WIDE, np.uint16) if wide is None else wide
+        self.wide = np.zeros(WIDE, np.uint32) if wide is None else wide
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
         return Fingerprint(self.strong + other.strong, self.wide + other.wide)
@@ -60,16 +60,16 @@ class Fingerprint:
         return self - of_text(text)
 
     def hex(self) -> str:
-        return (self.strong.astype("<u8").tobytes() + self.wide.astype("<u2").tobytes()).hex()
+        return (self.strong.astype("<u8").tobytes() + self.wide.astype("<u4").tobytes()).hex()
 
     @classmethod
     def from_hex(cls, text: str) -> Fingerprint:
         raw = bytes.fromhex(text)
-        return cls(np.frombuffer(raw[: 8 * STRONG], "<u8").copy(), np.frombuffer(raw[8 * STRONG :], "<u2").copy())
+        return cls(np.frombuffer(raw[: 8 * STRONG], "<u8").copy(), np.frombuffer(raw[8 * STRONG :], "<u4").copy())
 
     def likeness(self, other: Fingerprint) -> float:
         """Between 0 and 1; 1 for equal fingerprints."""
-        a, b = self.wide.view(np.int16).astype(np.float64), other.wide.view(np.int16).astype(np.float64)
+        a, b = self.wide.view(np.int32).astype(np.float64), other.wide.view(np.int32).astype(np.float64)
         if np.array_equal(a, b) and np.array_equal(self.strong, other.strong):
             return 1.0
         norm = float(np.sqrt((a @ a) * (b @ b)))
@@ -99,7 +99,7 @@ def of_text(text: str | None) -> Fingerprint:
     lanes = (runs_ >> np.uint64(32)).astype(np.int64) % WIDE
     odd = runs_ & np.uint64(1) == 1
     sums = np.bincount(lanes[odd], minlength=WIDE) - np.bincount(lanes[~odd], minlength=WIDE)
-    return Fingerprint(strong, (sums & 0xFFFF).astype(np.uint16))
+    return Fingerprint(strong, (sums & 0xFFFFFFFF).astype(np.uint32))
 
 
 def _some(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:

@@ -141,14 +141,15 @@ def fuzzy(text: bytes, spaces: np.ndarray) -> list[Match]:
             if not notice.core_errors and text.find(core, a, b) < 0:
                 continue
             piece = text[a:b].decode("utf-8", "surrogatepass")
-            upto, at = 0, a  # characters passed, and where they end
-            for m in want.finditer(piece):
-                edits = sum(m.fuzzy_counts)
-                if edits <= notice.errors and m.end() > m.start():
-                    start = at + len(piece[upto : m.start()].encode("utf-8", "surrogatepass"))
-                    at = start + len(m.group().encode("utf-8", "surrogatepass"))
-                    upto = m.end()
-                    seen.append((start, at, edits))
+            open_ = [(0, len(piece))]  # where matches are still looked for: the best comes first, then both sides of it
+            while open_:
+                lo, hi = open_.pop()
+                m = want.search(piece, lo, hi) if hi - lo >= len(notice.phrase) - notice.errors else None
+                if m and m.end() > m.start():
+                    open_ += [(lo, m.start()), (m.end(), hi)]
+                    if (edits := sum(m.fuzzy_counts)) <= notice.errors:
+                        start = a + len(piece[: m.start()].encode("utf-8", "surrogatepass"))
+                        seen.append((start, start + len(m.group().encode("utf-8", "surrogatepass")), edits))
         best: list[tuple[int, int, int]] = []
         for m in sorted(seen):
             if best and m[0] < best[-1][1]:

@@ -49,7 +49,7 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_documents(_table(spark, sf_dir, "documents")).drop("matches")
+    return licenses.scan_documents(_table(spark, sf_dir, "documents"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

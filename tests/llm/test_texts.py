@@ -170,6 +170,29 @@ def test_fingerprint_sums_its_paragraphs():
         assert total.hex() == fingerprint.of_text(text).hex()
 
 
+def plain_likeness(a, b):
+    """The cosine of the lanes of two texts of one paragraph a line, counted run by run without a bound."""
+    from strandframe.llm.words import shingles, words_at
+
+    lanes = []
+    for text in (a, b):
+        own = [0] * fingerprint.WIDE
+        for line in filter(str.strip, text.split("\n")):
+            hashes, _ = words_at(line.encode())
+            for h in shingles(hashes, min(fingerprint.RUN, len(hashes))).tolist():
+                own[(h >> 32) % fingerprint.WIDE] += 1 if h & 1 else -1
+        lanes.append(own)
+    dot = [sum(x * y for x, y in zip(p, q, strict=True)) for p, q in ((lanes[0], lanes[1]), (lanes[0], lanes[0]), (lanes[1], lanes[1]))]
+    return max(0.0, dot[0] / (dot[1] * dot[2]) ** 0.5)
+
+
+@pytest.mark.parametrize("a,b", [(40_000, 40_001), (65_536, 65_537), (131_072, 70_000), (3, 4)])
+def test_likeness_of_long_repetition(a, b):
+    x, y = "foo bar baz\n" * a + "one more line of words", "foo bar baz\n" * b
+    got = fingerprint.of_text(x).likeness(fingerprint.of_text(y))
+    assert abs(got - plain_likeness(x, y)) < 1e-9 and (got > 0.99 or a < 9)
+
+
 def test_edits_of_all_rows(odd, empty, small_docs):
     assert fingerprint.compare_with_edits(empty).count() == 0
     for docs in (odd, small_docs):
@@ -205,6 +228,40 @@ def test_licences_with_errors(text, labels):
     assert licenses.scan(text)[5] == labels
 
 
+@pytest.mark.parametrize("text,label,places", [
+    ("x apache licnse versin 2 y apache license version 2 z", "apache-2", [1, 6]), ("apache license version 2 y apache licnse versin 2", "apache-2", [0, 5]),
+    ("a gnu genral public licence b gnu general public license c gnu generl public license", "gpl", [1, 6, 11]), ("gnu generl public license " * 7, "gpl", [4 * i for i in range(7)]),
+])
+def test_every_place_is_found(text, label, places):
+    assert [m.first_word for m in licenses.scan(text)[7] if m.label == label] == places
+
+
+def test_places_against_edit_distances():
+    notice = next(n for n in licenses.NOTICES if n.label == "gpl")
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = random.Random(6)
+    for _ in range(40):
+        words, planted = [], []
+        for _ in range(rng.randint(1, 6)):
+            words += [rng.choice(["zebra", "quartz", "violin"]) for _ in range(rng.randint(1, 3))]
+            copy = list(notice.phrase)
+            for _ in range(rng.randint(0, notice.errors)):
+                at = rng.choice([i for i, c in enumerate(copy) if c.isalpha() and i > len(notice.core)])
+                copy[at] = rng.choice("jkw")
+            planted.append((len(words), distance("".join(copy), notice.phrase)))
+            words += "".join(copy).split()
+        found = [(m.first_word, m.edits) for m in licenses.scan(" ".join(words))[7] if m.label == "gpl"]
+        assert found == [p for p in planted if p[1] <= notice.errors]
+
+
 def test_wide_characters_are_single_edits():
     assert licenses.scan("apache l\uff49cense v\uff45rs\uff49on 2")[5] == "apache-2" and licenses.scan("x" * 40 + " \U0001f600under the m\U0001f600it license")[5] in ("", "mit")
 
