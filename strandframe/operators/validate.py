@@ -65,6 +65,13 @@ def validate_inputs(spark: SparkSession, fasta: str | None, fastq1: str | None,
     return fasta_warnings(spark, fasta)
 
 
+def first_violations(violations: DataFrame, *by: str) -> DataFrame:
+    """The first violation of each group (of a file, say), by the other columns; partial minima before the shuffle."""
+    order = [c for c in violations.columns if c not in by and c != "message"]
+    first = violations.groupBy(*by).agg(F.min(F.struct(*order, "message")).alias("first"))
+    return first.select(*by, *[f"first.{c}" for c in (*order, "message")])
+
+
 def require(violations: DataFrame, what: str) -> None:
     """InputError with the first violation, by all columns but the message, if there is one."""
     where = [c for c in violations.columns if c != "message"]

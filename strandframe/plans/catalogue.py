@@ -485,7 +485,7 @@ def json_roundtrip(spark, d):
 def text_roundtrip(spark, d):
     """Accepted vectors as text, a file for each reference, and back."""
     folder = shared_dir(spark, "text")
-    sinks.bit_vectors_text(_judged(spark, d), folder, pieces=1)
+    sinks.bit_vectors_text(_judged(spark, d), folder)
     return files.bit_vector_text(spark, f"{folder}/*/*").select("qname", "rname", F.inline("bits"))
 
 

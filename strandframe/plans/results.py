@@ -264,6 +264,73 @@ def stream_pairs(spark, d):
     return both.groupBy("rname", "kind").agg(F.count("*").alias("n"))
 
 
+@query
+def joined_vectors(spark, d):
+    """Accepted vectors of two chunks as text files, joined into files by reference, and read back."""
+    folder = shared_dir(spark, "vectors")
+    judged = _judged(spark, d)
+    for i in range(2):
+        sinks.bit_vectors_text(judged.filter(F.pmod(_part(), F.lit(2)) == i), f"{folder}/{i}")
+    sinks.joined_bit_vectors(spark, [f"{folder}/{i}/*/*" for i in range(2)], f"{folder}/all")
+    return files.bit_vector_text(spark, f"{folder}/all/*/*").select("qname", "rname", F.inline("bits"))
+
+
+@query
+def storage_formats(spark, d):
+    """Accepted vectors in each configured format: how many each has, and their mutations."""
+    folder, judged = shared_dir(spark, "formats"), _judged(spark, d)
+    for kind in ("text", "json"):
+        sinks.bit_vectors(judged, f"{folder}/{kind}", BitVectorConfig(storage_format=kind))
+    found = {"text": files.bit_vector_text(spark, f"{folder}/text/*/*"), "json": files.bit_vectors_json(spark, f"{folder}/json")}
+    mutations = F.size(filters.mutation_positions(F.col("bits")))
+    text, json_ = (df.agg(F.count("*").alias("vectors"), F.sum(mutations).alias("mutations")).select(F.lit(kind).alias("format"), "*") for kind, df in found.items())
+    return text.unionByName(json_)
+
+
+@query
+def blank_line_stop(spark, d):
+    """SAM files of which each has a blank line in the middle: what stands before it."""
+    cells = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
+    reads = synth.reads(spark, d).select(F.concat_ws("\t", *[F.col(c).cast("string") for c in cells]).alias("value"), _part().alias("part"), F.when(F.col("mapq") % 3 == 0, 0).otherwise(2).alias("rank"))
+    blank = reads.select("part").distinct().select(F.lit(" ").alias("value"), "part", F.lit(1).alias("rank"))
+    header = reads.select("part").distinct().select(F.lit("@HD\tVN:1.0").alias("value"), "part", F.lit(-1).alias("rank"))
+    folder = shared_dir(spark, "sam")
+    reads.unionByName(blank).unionByName(header).repartition("part").sortWithinPartitions("part", "rank").select("value", "part").write.partitionBy("part").text(folder)
+    return files.numbered_sam(spark, f"{folder}/*").select("qname", "rname", "mapq")
+
+
+@query
+def first_violations(spark, d):
+    """FASTQ files of reads by name, some faulty: the first fault of each file."""
+    n = F.split("qname", ":")[0].cast("long")
+    text = F.concat_ws("\n", F.concat(F.when(n % 101 == 0, "#").otherwise("@"), F.col("qname")), "seq", F.when(n % 103 == 0, "-").otherwise("+"), "qual")
+    folder = shared_dir(spark, "fastq")
+    reads = synth.reads(spark, d).select("qname", text.alias("value"), _part().alias("part"))
+    reads.repartition("part").sortWithinPartitions("part", "qname").select("value", "part").write.partitionBy("part").text(folder)
+    found = validate.first_violations(validate.fastq_violations(spark, f"{folder}/*"), "file")
+    return found.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "number", "message")
+
+
+@query
+def totals_files(spark, d):
+    """Totals of alignment by sample, written as JSON and read back."""
+    folder = shared_dir(spark, "totals")
+    stats = spark.read.parquet(f"{d}/orders.parquet").select((F.col("o_custkey") % 50).alias("sample_id"), F.col("o_orderkey").alias("total_reads"), F.lit(None).cast("long").alias("aligned_count"), (F.col("o_custkey") % 10).alias("unaligned_count"))
+    sinks.report_json(reports.alignment_totals(stats, "sample_id"), folder)
+    return spark.read.json(folder).select("sample_id", "total_reads", "aligned_count", "unaligned_count", "overall_alignment_rate", "chunks_processed")
+
+
+@query
+def summaries_scan(spark, d):
+    """Summary CSV files of four samples, read back by one glob: rows and reads of each."""
+    folder = shared_dir(spark, "summaries")
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("name"), F.when(F.col("o_orderkey") % 7 == 0, "NA").otherwise(F.col("o_custkey").cast("string")).alias("num_reads"))
+    for i in range(4):
+        sinks.csv(orders.filter(F.col("name") % 4 == i), f"{folder}/s{i}/BitVector_Files")
+    found = files.summaries(spark, f"{folder}/*/BitVector_Files")
+    return found.groupBy("sample_id").agg(F.count("*").alias("rows"), F.sum(reports.number(F.col("num_reads"))).alias("reads"))
+
+
 def _sam_mode(text: str) -> str:
     """The tables' SQL with all letters of CIGARs."""
     for old, new in (("([A-Z])'", "([A-Z=])'"), ("op IN ('M', 'D')", "op IN ('M', '=', 'X', 'D', 'N')"), ("op IN ('M', 'I', 'S')", "op IN ('M', '=', 'X', 'I', 'S')"), ("op NOT IN ('M', 'D', 'I', 'S')", "op NOT IN ('M', '=', 'X', 'D', 'N', 'I', 'S', 'H', 'P')"), ("op = 'D'", "op IN ('D', 'N')"), ("op = 'M'", "op IN ('M', '=', 'X')")):
@@ -297,5 +364,11 @@ ORACLE: dict[str, str] = {
     "mapped_reads": sql("SELECT qname, '0' AS flag, pos, CASE WHEN pos % 2 = 0 THEN cigar ELSE '' END AS md_string, false AS paired FROM mates WHERE mate = 1 AND split_part(key, ':', 1)::BIGINT % 5 <> 0"),
     "sam_mode_bits": _sam_mode(sql("SELECT qname, count(*) AS symbols, coalesce(sum(pos) FILTER (bit = '0'), 0)::BIGINT AS matched, coalesce(sum(pos) FILTER (bit IN ('1', '?')), 0)::BIGINT AS gone FROM bits1 GROUP BY qname")),
     "json_array_roundtrip": KNOWN["json_roundtrip"],
+    "joined_vectors": KNOWN["text_roundtrip"],
+    "storage_formats": sql(f"SELECT f AS format, count(*) AS vectors, sum(m)::BIGINT AS mutations FROM (SELECT key, coalesce((SELECT count(*) FROM bits1 b WHERE b.key = f.key AND b.bit IN {BASE} AND b.pos BETWEEN 1 AND 64), 0) AS m FROM frags f WHERE reason IS NULL), (SELECT unnest(['text', 'json']) AS f) GROUP BY f"),
+    "blank_line_stop": sql("SELECT qname, rname, mapq FROM mates WHERE mate = 1 AND mapq % 3 = 0"),
+    "first_violations": sql(f"SELECT part, min(i) AS number, arg_min(message, i) AS message FROM (SELECT *, CASE WHEN n % 101 = 0 THEN 'a record must start with @' WHEN n % 103 = 0 THEN 'the third line of a record must start with +' END AS message FROM (SELECT split_part(qname, ':', 1)::BIGINT AS n, split_part(qname, ':', 1)::BIGINT % {PARTS} AS part, row_number() OVER (PARTITION BY split_part(qname, ':', 1)::BIGINT % {PARTS} ORDER BY qname) - 1 AS i FROM mates WHERE mate = 1)) WHERE message IS NOT NULL GROUP BY part"),
+    "totals_files": KNOWN["alignment_totals"],
+    "summaries_scan": "SELECT concat('s', o_orderkey % 4) AS sample_id, count(*) AS rows, (sum(o_custkey) FILTER (o_orderkey % 7 <> 0))::DOUBLE AS reads FROM orders GROUP BY o_orderkey % 4",
     "stream_pairs": sql("SELECT rname, kind, count(*) AS n FROM (SELECT rname, 'pair' AS kind FROM pairs WHERE split_part(key, ':', 1)::BIGINT % 7 <> 0 UNION ALL SELECT rname, 'orphan' FROM mates WHERE mate = 1 AND split_part(key, ':', 1)::BIGINT % 7 = 0) GROUP BY rname, kind"),
 }

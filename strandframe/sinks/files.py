@@ -13,17 +13,19 @@ from strandframe.operators.render import dense_text, letter_count, sparse_map
 from strandframe.sources import files
 
 
-def bit_vectors_text(judged: DataFrame, path: str, data_type: str = "DMS", pieces: int = 64) -> None:
+def bit_vectors_text(judged: DataFrame, path: str, data_type: str = "DMS", rows: int = 1_000_000) -> None:
     """Accepted vectors, below one folder for each reference: two header lines, the column line and a line a fragment.
 
-    A reference is up to ``pieces`` files, split by a hash of the query name, since it may have all reads; each has the
+    A reference has as many files of about ``rows`` fragments as it needs, split by a hash of the query name; each has the
     header.
     """
     ok = judged.filter(F.col("reason").isNull())
     one, end = F.lit(1), F.col("ref_length")
-    lines = ok.select("rname", F.lit(1).alias("n"), F.concat_ws("\t", "qname", dense_text(F.col("bits"), one, end), letter_count(F.col("bits"), one, end).cast("string")).alias("value"), "sequence", "ref_length", F.pmod(F.xxhash64("qname"), F.lit(pieces)).alias("salt"))
-    keys = lines.groupBy("rname", "salt").agg(F.first("sequence").alias("sequence"), F.first("ref_length").alias("ref_length"))
-    header = keys.select("rname", "salt", F.posexplode(F.array(
+    refs = ok.groupBy("rname").agg(F.first("sequence").alias("sequence"), F.first("ref_length").alias("ref_length"), F.ceil(F.count("*") / rows).alias("pieces"))
+    salt = F.pmod(F.xxhash64("qname"), F.col("pieces"))
+    value = F.concat_ws("\t", "qname", dense_text(F.col("bits"), one, end), letter_count(F.col("bits"), one, end).cast("string"))
+    lines = ok.join(refs.select("rname", "pieces"), "rname").select("rname", salt.alias("salt"), F.lit(1).alias("n"), value.alias("value"))
+    header = refs.select("rname", "sequence", "ref_length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("salt")).select("rname", "salt", F.posexplode(F.array(
         F.concat_ws("\t", F.lit("@ref"), "rname", "sequence", F.lit(data_type)), F.concat(F.lit("@coordinates:\t1,"), F.col("ref_length").cast("string"), F.lit(":"), F.col("ref_length").cast("string")), F.lit("Query_name\tBit_vector\tN_Mutations"),
     )).alias("n", "value")).withColumn("n", F.col("n") - 3)
     both = header.select("rname", "salt", "n", "value").unionByName(lines.select("rname", "salt", "n", "value"))
