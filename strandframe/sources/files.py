@@ -65,13 +65,13 @@ def is_paired(reads: DataFrame) -> bool:
     return bool(first) and int(first[0]["flag"]) & 1 == 1
 
 
-def numbered_lines(spark: SparkSession, path: str, end: str | None = None) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str], end: str | None = None, encoding: str | None = None) -> DataFrame:
     """(file, line, value): the lines of text files, plain or compressed, numbered from 0 within their file. end: what ends
-    a line, if it isn't a line break.
+    a line, if it isn't a line break; encoding: of that, if it isn't UTF-8.
 
     Lines are numbered within their split and moved on by the lines of the file's splits before.
     """
-    rows = spark.read.text(path, lineSep=end).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    rows = spark.read.options(**({"encoding": encoding} if encoding else {})).text(path, lineSep=end).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
     before = Window.partitionBy("b_file").orderBy("b_block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
     splits = rows.groupBy(F.col("file").alias("b_file"), F.col("block").alias("b_block")).agg(F.count("*").alias("n"), F.min("id").alias("first"))
     base = splits.select("b_file", "b_block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
