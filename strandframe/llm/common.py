@@ -7,9 +7,11 @@ import bisect
 import contextlib
 import ctypes
 import gc
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,14 +55,18 @@ def small(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_BYTES)
 
 def _is_scan(docs: DataFrame) -> bool:
     """Whether docs are rows of one set of files, each once: columns chosen and rows left out, but nothing joined,
-    repeated or put together."""
-    plan, nodes = docs._jdf.queryExecution().analyzed(), []
-    while True:
-        nodes.append(plan.nodeName())
-        children = plan.children()
-        if children.size() != 1:
-            return children.size() == 0 and nodes[-1].startswith("LogicalRelation") and set(nodes[:-1]) <= {"Project", "Filter", "SubqueryAlias"}
-        plan = children.apply(0)
+    repeated or put together, and no path named twice or below another."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1 and plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    if plan.children().size() or not plan.nodeName().startswith("LogicalRelation"):
+        return False
+    try:
+        found = plan.relation().location().rootPaths()
+    except Py4JError:  # a relation that isn't of files
+        return False
+    roots = sorted(found.apply(i).toString().rstrip("/") + "/" for i in range(found.size()))
+    return all(not b.startswith(a) for a, b in itertools.pairwise(roots))
 
 
 def placed(docs: DataFrame, name: str) -> DataFrame:
@@ -69,7 +75,7 @@ def placed(docs: DataFrame, name: str) -> DataFrame:
 
     Rows that don't come straight from files (after a join, say, or a path named twice) are staged first.
     """
-    if _is_scan(docs) and len(set(docs.inputFiles())) == len(docs.inputFiles()):
+    if _is_scan(docs):
         with contextlib.suppress(AnalysisException):  # files without row numbers, such as CSV
             own = docs.metadataColumn("_metadata")
             return docs.select("*", F.xxhash64(own["file_path"]).alias(PLACE[0]), own["row_index"].alias(PLACE[1]))

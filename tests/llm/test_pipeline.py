@@ -31,3 +31,11 @@ def test_odd_rows_pass_all_stages(spark, odd):
     for _, function in corpus_pipeline.STAGES:
         docs = function(spark, docs, "")
     assert docs.count() > 0
+
+
+def test_an_empty_table_passes_all_stages(empty):
+    docs = empty.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, function in corpus_pipeline.STAGES:
+        out = function(docs.sparkSession, docs, "")
+        assert out.count() == 0, name
+        docs = out if name != "bpe" else docs
