@@ -12,42 +12,53 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandframe.operators.vectors import is_primary
 
-_STATE = "r1 string, r2 string, n1 int, n2 int, last long"
+_STATE = "names array<string>, r1 array<string>, r2 array<string>, n1 array<int>, n2 array<int>, last array<bigint>"
 
 
-def fragments_of_stream(stream: DataFrame, wait_seconds: int, time_col: str = "seen", mate_col: str = "mate") -> DataFrame:
+def fragments_of_stream(stream: DataFrame, wait_seconds: int, time_col: str = "seen", mate_col: str = "mate", buckets: int = 1024) -> DataFrame:
     """A stream of (qname, r1, r2, n1, n2), as operators.vectors.fragments_by_name() gives them: pairs_of() and orphans_of()
     read pairs and orphans off it, as off a batch.
 
     A name is settled when the stream's time (the latest in ``time_col``) has passed its last line by ``wait_seconds`` (1 at
     least): only then is it known that no further line makes a pair of an orphan, or undoes a pair. Until then lines may come
     in any order; later ones are left out, or are a name of their own. So however the reads are cut into micro-batches,
-    names whose lines are that near to each other come out as from the batch operator. What is kept is the names not yet settled, two lines each. A row without a name only moves the time on: the
-    last row of a stream that ends should be one.
+    names whose lines are that near to each other come out as from the batch operator. A row without a name only moves the
+    time on: the last row of a stream that ends should be one.
+
+    What is kept is the names not yet settled, two lines each, in ``buckets`` by a hash of the name: a call for each bucket
+    instead of each name. A bucket's names are written anew when one comes, so there should be so many buckets that a few
+    hundred names wait in each.
     """
     columns = [c for c in stream.columns if c not in (mate_col, time_col)]
     kind = T.StructType([stream.schema[c] for c in columns])
     read = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    lines = stream.filter(F.col("qname").isNull() | is_primary(stream)).withWatermark(time_col, f"{wait_seconds} seconds").select(F.col("qname"), F.col(mate_col).cast("int").alias("m"), F.col(time_col), read.alias("read"))
+    lines = stream.filter(F.col("qname").isNull() | is_primary(stream)).withWatermark(time_col, f"{wait_seconds} seconds")
+    lines = lines.select(F.pmod(F.xxhash64("qname"), F.lit(buckets)).alias("bucket"), "qname", F.col(mate_col).cast("int").alias("m"), F.col(time_col), read.alias("read"))
 
     def settle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if key[0] is None:
-            return
-        if state.hasTimedOut:
-            r1, r2, n1, n2, _ = state.get
-            state.remove()
-            yield pd.DataFrame({"qname": [key[0]], "j1": [r1], "j2": [r2], "n1": [n1], "n2": [n2]})
-            return
-        r1, r2, n1, n2, last = state.get if state.exists else (None, None, 0, 0, 0)
+        waiting: dict[str, list] = {}
+        if state.exists:
+            waiting = {name: list(own) for name, *own in zip(*state.get, strict=True)}
         for batch in batches:
-            for m, seen, line in zip(batch["m"], batch[time_col], batch["read"], strict=True):
-                last = max(last, int(seen.timestamp() * 1000))
-                if m == 1:
-                    r1, n1 = (line if r1 is None else r1), n1 + 1
-                elif m == 2:
-                    r2, n2 = (line if r2 is None else r2), n2 + 1
-        state.update((r1, r2, n1, n2, last))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
-
-    out = lines.groupBy("qname").applyInPandasWithState(settle, "qname string, j1 string, j2 string, n1 long, n2 long", _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+            times = batch[time_col].astype("datetime64[ms]").astype("int64")
+            for name, m, seen, line in zip(batch["qname"], batch["m"], times, batch["read"], strict=True):
+                if name is not None:
+                    own = waiting.setdefault(name, [None, None, 0, 0, 0])
+                    own[4] = max(own[4], int(seen))
+                    if m in (1, 2):
+                        own[m - 1] = line if own[m - 1] is None else own[m - 1]
+                        own[m + 1] += 1
+        now = state.getCurrentWatermarkMs()
+        done = [(name, *own[:4]) for name, own in waiting.items() if own[4] < now]
+        for name, *_ in done:
+            del waiting[name]
+        if waiting:
+            state.update((list(waiting), *(list(c) for c in zip(*waiting.values(), strict=True))))
+            state.setTimeoutTimestamp(max(min(own[4] for own in waiting.values()), now + 1))
+        elif state.exists:
+            state.remove()
+        if done:
+            yield pd.DataFrame(done, columns=["qname", "j1", "j2", "n1", "n2"])
+
+    out = lines.groupBy("bucket").applyInPandasWithState(settle, "qname string, j1 string, j2 string, n1 long, n2 long", _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select("qname", *[F.from_json(f"j{m}", kind).alias(f"r{m}") for m in (1, 2)], "n1", "n2")
