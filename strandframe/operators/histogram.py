@@ -48,9 +48,10 @@ def tallies(judged: DataFrame, *by: str) -> DataFrame:
     read the three tables off it.
 
     A fragment's vector gets one more entry, which stands for itself: its symbol is the number of mutations and the
-    reason. A rejected fragment has that entry only. So vectors go to the one shuffle as they are.
+    reason. A rejected fragment has that entry only, and needs no vector (then it counts as one of -1 mutations). So vectors go
+    to the one shuffle as they are.
     """
-    tag = F.concat_ws(" ", F.col("n_mut").cast("string"), "reason")
+    tag = F.concat_ws(" ", F.coalesce("n_mut", F.lit(-1)).cast("string"), "reason")
     own = F.array(F.struct(F.lit(_SELF).alias("pos"), tag.alias("bit"))).cast(BITS)
     each = judged.select(*by, "rname", "ref_length", F.inline(F.when(F.col("reason").isNull(), F.concat(own, "bits")).otherwise(own)))
     inside = each.filter((F.col("pos") == _SELF) | ((F.col("pos") >= 1) & (F.col("pos") <= F.col("ref_length"))))

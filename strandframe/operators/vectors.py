@@ -88,10 +88,14 @@ def _once(df: DataFrame, name: str, value: Column, *columns: str) -> DataFrame:
     return df.select(*columns, F.inline(F.array(F.struct(value.alias(name)))))
 
 
-def single_fragments(reads: DataFrame, refs: DataFrame, config: BitVectorConfig = BitVectorConfig()) -> DataFrame:
-    """(qname, rname, sequence, ref_length, mapqs, lengths, seqs, bits): one row for each read."""
+def single_fragments(reads: DataFrame, refs: DataFrame, config: BitVectorConfig = BitVectorConfig(), lazy: bool = False) -> DataFrame:
+    """(qname, rname, sequence, ref_length, mapqs, lengths, seqs, bits): one row for each read.
+
+    lazy: a read whose mapping quality is too low has no vector (null), for counts that don't look at rejected ones.
+    """
     known = with_reference(reads, refs)
     bits = read_bits(*(F.col(c) for c in ("cigar", "pos", "seq", "qual", "sequence")), config)
+    bits = F.when(F.col("mapq") >= config.map_score_cutoff, bits) if lazy else bits
     known = known.withColumn("mapqs", F.array("mapq")).withColumn("lengths", F.array(F.length("seq"))).withColumn("seqs", F.array("seq"))
     return _once(known, "bits", bits, *_FRAGMENT)
 

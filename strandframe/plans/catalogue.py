@@ -47,7 +47,7 @@ def _with_part(judged: DataFrame) -> DataFrame:
 
 def _tallied(spark: SparkSession, d: str, config: BitVectorConfig = BitVectorConfig(), *by: str) -> DataFrame:
     """All counts, made in one pass over the reads and staged: a row for each position and number of mutations."""
-    judged = _judged(spark, d, config)
+    judged = filters.with_reason(vectors.single_fragments(synth.reads(spark, d), synth.references(spark, d), config, lazy=True), config)
     return stage(histogram.tallies(_with_part(judged) if by else judged, *by), "tallies")
 
 
