@@ -20,7 +20,10 @@
      of these differences two sets must have in common to be linked follows from their numbers, so a second inverted
      join over the differences, with the same prefix rule and a rule on the places in both prefixes, leaves hardly any
      pair that isn't linked: copies that were edited each in its own way share no differences;
-   * else (one of them doesn't agree with the hub) by pairs within the list, which has few such members.
+   * else (one of them doesn't agree with the hub) by pairs within the list, if it has up to ``CROWD`` such members. In
+     longer ones (texts that share a passage) members meet by a second value that they have in common, chosen by the same
+     prefix rule among the values that the list's members share: two that agree in threshold coordinates agree in
+     threshold - 1 besides the list's own. This loses nothing, and members with only the passage meet few others.
 
    So copies don't become all pairs, yet no link that could join components is lost (but for LOSS).
 5. Components by min-label propagation with pointer jumping over the links, staged at each round. A component is named
@@ -53,6 +56,8 @@ COORDINATES, MOST_ROWS, LEAST = 48, 6, 4
 LOSS = 1e-7
 #: Pairs of one hub that are compared in a task's one piece.
 PIECE = 256
+#: Members of a list that may be paired with all of it; longer lists are parted by a second value.
+CROWD = 32
 
 _SEEDS = mix(np.arange(1, COORDINATES * MOST_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
 _ODD = mix(_SEEDS) | np.uint64(1)
@@ -182,18 +187,23 @@ def by_differences(tested: DataFrame, percent: int) -> DataFrame:
 
     tested: (hub, rep, component, linked, n_hub, missing, added, differences). With u = 100 * missing + percent * added,
     two sets are linked if and only if their common differences number u1 + u2 - (100 - percent) * n_hub, divided by
-    100 + percent, or more; and one is linked with the hub if u <= (100 - percent) * n_hub.
+    100 + percent, or more; and one is linked with the hub if u <= (100 - percent) * n_hub. So a set of m differences
+    that others have too can't be linked with one whose u is above (100 + percent) * m + (100 - percent) * n_hub less
+    its own u: a difference that only such sets have is left out, and sets that have nothing but a passage in common
+    with the hub, and with each other, aren't posted at all.
     """
     mixed = tested.groupBy("hub").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("hub")
     mixed = small(stage(mixed, "dup-mixed"))  # else all of a hub's rows would be shuffled to one task
     u, slack, whole = 100 * F.col("missing") + percent * F.col("added"), (100 - percent) * F.col("n_hub"), 100 + percent
     # At least so many common differences with any partner: one that is linked needs a partner that isn't.
     least = F.greatest(F.lit(1), F.ceil(F.when(F.col("linked"), u + 1).otherwise(u - slack) / F.lit(float(whole))))
-    each = tested.join(mixed, "hub", "left_semi").select("hub", "rep", "component", "linked", u.alias("u"), slack.alias("slack"), least.alias("least"), F.explode("differences").alias("d"))
-    shared = each.groupBy("hub", "d").agg(F.count("*").alias("size")).filter("size > 1")
+    each = tested.join(mixed, "hub", "left_semi").select("hub", "rep", "component", u.alias("u"), slack.alias("slack"), least.alias("least"), F.explode("differences").alias("d"))
+    shared = each.groupBy("hub", "d").agg(F.count("*").alias("size"), F.min("u").alias("near"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").drop("c1", "c2")
     own = Window.partitionBy("hub", "rep")
-    ranked = each.join(shared, ["hub", "d"]).withColumn("place", F.row_number().over(own.orderBy("size", "d"))).withColumn("m", F.count("*").over(own))
-    posted = stage(ranked.filter(F.col("place") <= F.col("m") - F.col("least") + 1), "dup-differences")
+    able = each.join(shared, ["hub", "d"]).withColumn("m", F.count("*").over(own)).filter(F.col("near") <= whole * F.col("m") + F.col("slack") - F.col("u"))
+    nearest = F.ceil((F.col("u") + F.min("near").over(own) - F.col("slack")) / F.lit(float(whole)))
+    ranked = able.withColumn("least", F.greatest("least", nearest)).withColumn("place", F.row_number().over(own.orderBy("size", "d"))).withColumn("m", F.count("*").over(own))
+    posted = stage(ranked.filter(F.col("place") <= F.col("m") - F.col("least") + 1).drop("near"), "dup-differences")
     x, y = posted.alias("x"), posted.alias("y")
     need = F.ceil((F.col("x.u") + F.col("y.u") - F.col("x.slack")) / F.lit(float(whole)))
     meet = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.d") == F.col("y.d")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
@@ -201,6 +211,39 @@ def by_differences(tested: DataFrame, percent: int) -> DataFrame:
     return x.join(y, meet & reach).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
+def _of_lists(members: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Pairs (a, b) of members (the keys, rep, n_shingles, known, component) of one list, of different components and
+    similar sizes, of which one isn't known."""
+    x, y = members.filter("not known").alias("x"), members.alias("y")
+    meet = (F.col("x.rep") != F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)
+    for k in keys:
+        meet &= F.col(f"x.{k}") == F.col(f"y.{k}")
+    return x.join(y, meet).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+
+
+def apart(members: DataFrame, classes: DataFrame, threshold: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of a list, of which one doesn't agree with the list's hub, that can agree in threshold
+    coordinates; of different components and similar sizes.
+
+    members: (value, rep, n_shingles, known, component), staged; known: agrees with the hub, or is it.
+    """
+    strange = F.count_if(~F.col("known"))
+    lists = stage(members.groupBy("value").agg(strange.alias("strange"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("strange > 0 and c1 <> c2").select("value", "strange"), "dup-lists")
+    few = lists.filter(F.col("strange") <= CROWD) if threshold > 1 else lists
+    pairs = _of_lists(members.join(small(few.select("value")), "value", "left_semi"), ["value"], percent)
+    if threshold > 1:
+        crowd = members.join(small(lists.filter(F.col("strange") > CROWD).select("value")), "value", "left_semi")
+        signatures = classes.select("rep", "signature")
+        each = crowd.join(signatures, "rep").select("value", "rep", "n_shingles", "known", "component", F.explode("signature").alias("second")).filter("second <> value")
+        each = stage(each, "dup-crowd")
+        sizes = each.groupBy("value", "second").agg(F.count("*").alias("size"), strange.alias("strange"), F.min("component").alias("c1"), F.max("component").alias("c2")).filter("strange > 0 and c1 <> c2").select("value", "second", "size")
+        own = Window.partitionBy("value", "rep")
+        ranked = each.join(sizes, ["value", "second"]).withColumn("place", F.row_number().over(own.orderBy("size", "second"))).withColumn("m", F.count("*").over(own))
+        parted = stage(ranked.filter(F.col("place") <= F.col("m") - threshold + 2).drop("place", "m", "size"), "dup-parted")
+        pairs = pairs.union(_of_lists(parted, ["value", "second"], percent))
+    return pairs.distinct()
+
+
 def components(links: DataFrame, start: DataFrame | None = None) -> DataFrame:
     """(rep, component): the smallest rep that each end of a link is connected with.
 
@@ -249,10 +292,7 @@ def decided(rows: DataFrame, width: int, percent: int) -> DataFrame:
     close = by_differences(labelled(tested.withColumnsRenamed({"a": "hub", "b": "rep", "n_a": "n_hub"})), percent)
     known = tried.select(F.col("a").alias("hub"), F.col("b").alias("rep"), F.lit(True).alias("known"))
     open_ = stage(labelled(met.join(known, ["hub", "rep"], "left").withColumn("known", F.coalesce("known", F.col("rep") == F.col("hub")))), "dup-open")
-    x, y = open_.filter("not known").alias("x"), open_.alias("y")
-    meet = (F.col("x.value") == F.col("y.value")) & (F.col("x.rep") != F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
-    apart = x.join(y, meet & _similar_sizes(F.col("x.n_shingles"), F.col("y.n_shingles"), percent)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    rest = stage(close.union(_agreeing(stage(apart, "dup-apart"), classes, threshold)).distinct(), "dup-rest")
+    rest = stage(close.union(_agreeing(stage(apart(open_, classes, threshold, percent), "dup-apart"), classes, threshold)).distinct(), "dup-rest")
     if rest.take(1):
         more = stage(compared(rest, rows, classes, width, percent).filter("linked").select("a", "b"), "dup-linked")
         labels = components(more, labels)

@@ -80,6 +80,47 @@ def test_rows_that_share_an_id_are_decided_by_row(spark):
     assert found == [(1, 1, False), (1, 1, True), (5, 1, False), (7, 1, False), (7, 7, True), (9, 7, False), (11, 11, False), (11, 11, True)]
 
 
+def passage_family(n, seed=8):
+    """Texts that share a passage, and some copies of them with an edit that they all have."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    passage = [rng.choice(vocabulary) for _ in range(90)]
+    rows = []
+    for i in range(n):
+        own = [rng.choice(vocabulary) for _ in range(60)]
+        rows.append((2 * i + 1, " ".join(passage + own)))
+        if i % 10 == 0:
+            rows.append((100_000 + i, " ".join([*passage[:40], "common", *passage[41:], *own])))
+    return rows
+
+
+def test_texts_that_share_a_passage(spark, monkeypatch):
+    rows = passage_family(300)
+    monkeypatch.setattr(neardup, "CROWD", 4)
+    want = brute(rows, 3, 85)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert any(w[1] != i for i, w in want.items() if i >= 100_000)
+
+
+def test_crowded_lists_lose_no_pair_that_agrees(spark, monkeypatch):
+    rng = random.Random(2)
+    # Signatures of a family: each value is the family's with a probability, else the text's own.
+    common, threshold = list(range(1, 25)), 4
+    signatures = {i: [c if rng.random() < 0.12 else 1000 * i + c for c in common] for i in range(1, 400)}
+    signatures |= {i + 1000: [c if rng.random() < 0.8 else 5_000_000 + 1000 * i + k for k, c in enumerate(signatures[i])] for i in range(1, 400, 7)}
+    of = {v: [i for i, s in signatures.items() if v in s] for v in common[:6]}
+    members = [(v, i, 100 + i % 7, i % 5 == 0, i % 1000 // 2) for v, ids in of.items() for i in ids]
+    frame = spark.createDataFrame(members, "value long, rep long, n_shingles int, known boolean, component long")
+    classes = spark.createDataFrame(list(signatures.items()), "rep long, signature array<long>")
+    agree = {(a, b) for ids in of.values() for a, b in itertools.combinations(sorted(ids), 2) if len(set(signatures[a]) & set(signatures[b])) >= threshold and a % 1000 // 2 != b % 1000 // 2 and not (a % 5 == 0 == b % 5)}
+    found = {}
+    for crowd in (10, 10_000):
+        monkeypatch.setattr(neardup, "CROWD", crowd)
+        found[crowd] = {tuple(r) for r in neardup.apart(frame, classes, threshold, 80).collect()}
+    assert agree and agree <= found[10] <= found[10_000] and len(found[10]) < len(found[10_000]) / 3
+
+
 def test_whole_table(small_docs):
     want = brute([(r["doc_id"], r["text"]) for r in small_docs.collect()], 3, 85)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(small_docs, 3, 85).collect()} == want
