@@ -155,3 +155,23 @@ def test_the_first_bad_record_is_named(spark, tmp_path):
     (tmp_path / "x.fastq").write_text("".join(f"@q{i}\nACGT\n{'+' if i < 7 else 'x'}\nIIII\n" for i in range(20)))
     with pytest.raises(InputError, match="third line.*number 7"):
         validate.require(validate.fastq_violations(spark, str(tmp_path / "x.fastq")), "x")
+
+
+def test_records_are_put_together_where_they_are_read(spark, tmp_path):
+    text = "".join(f"@q{i}\n{'ACGT' * (i % 7 + 1)}\n+\n{'I@@@' * (i % 7 + 1)}\n" for i in range(500))
+    (tmp_path / "a.fastq").write_text(text)
+    (tmp_path / "b.fastq").write_text("@only\nACGT\n+\nIIII\n")
+    (tmp_path / "c.fastq").write_text("@q\nAC\n+\nII\n@cut\nACGT\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        records = files.fastq_records(spark, str(tmp_path / "*.fastq"))
+        assert "SortMergeJoin" not in records._jdf.queryExecution().executedPlan().toString()
+        got = {(r["file"][-7:], r["number"]): (r["head"], r["seq"], r["plus"], r["qual"]) for r in records.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    lines = text.splitlines()
+    want = {("a.fastq", i): tuple(lines[4 * i : 4 * i + 4]) for i in range(500)}
+    assert got == want | {("b.fastq", 0): ("@only", "ACGT", "+", "IIII"), ("c.fastq", 0): ("@q", "AC", "+", "II"), ("c.fastq", 1): ("@cut", "ACGT", None, None)}
