@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -15,6 +15,15 @@ from strandframe.operators.vectors import is_primary
 _STATE = "names array<string>, r1 array<string>, r2 array<string>, n1 array<int>, n2 array<int>, last array<bigint>"
 
 
+def wait_on_disk(spark: SparkSession, memory_mb: int = 500) -> None:
+    """Keep the state of streams that start after this in RocksDB, on the executors' disks: what waits may be larger than
+    their memory, of which all states of an executor share at most so many MB. By default Spark keeps it in the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", str(memory_mb))
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def fragments_of_stream(stream: DataFrame, wait_seconds: int, time_col: str = "seen", mate_col: str = "mate", buckets: int = 1024) -> DataFrame:
     """A stream of (qname, r1, r2, n1, n2), as operators.vectors.fragments_by_name() gives them: pairs_of() and orphans_of()
     read pairs and orphans off it, as off a batch.

@@ -195,3 +195,20 @@ def test_a_mate_that_comes_too_late_is_alone(spark, tmp_path):
     found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
     settled = spark.read.schema(found.schema).parquet(str(tmp_path / "out"))
     assert vectors.pairs_of(settled).count() == 0 and vectors.orphans_of(settled).count() == 2
+
+
+def test_what_a_stream_waits_for_can_be_on_disk(spark, tmp_path):
+    rows = [("a", "67", "r1", 1, 44, "=", 5, 1, 0), ("a", "131", "r1", 5, 44, "=", 1, 2, 1), (None,) * 8 + (9000,)]
+    for r in rows:
+        spark.createDataFrame([r], READ + ", at int").withColumn("seen", F.timestamp_seconds(F.col("at") + 1_000_000)).drop("at").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    old = {k: spark.conf.get(k, None) for k in [f"spark.sql.streaming.stateStore.{x}" for x in ("providerClass", "rocksdb.boundedMemoryUsage", "rocksdb.maxMemoryUsageMB", "rocksdb.changelogCheckpointing.enabled")]}
+    mates.wait_on_disk(spark)
+    try:
+        stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        found = mates.fragments_of_stream(stream, 60)
+        found.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert vectors.pairs_of(spark.read.schema(found.schema).parquet(str(tmp_path / "out"))).count() == 1
+    assert list(tmp_path.glob("state/state/**/*.changelog")) or list(tmp_path.glob("state/state/**/*.zip"))
