@@ -175,3 +175,25 @@ def test_records_are_put_together_where_they_are_read(spark, tmp_path):
     lines = text.splitlines()
     want = {("a.fastq", i): tuple(lines[4 * i : 4 * i + 4]) for i in range(500)}
     assert got == want | {("b.fastq", 0): ("@only", "ACGT", "+", "IIII"), ("c.fastq", 0): ("@q", "AC", "+", "II"), ("c.fastq", 1): ("@cut", "ACGT", None, None)}
+
+
+@pytest.mark.parametrize("adapter,overlap,rate", [("ACGTTGCAACGTTG", 3, 0.1), ("ACGTTGCAAC", 2, 0.3), ("GGA", 1, 0.0)])
+def test_adapters_are_found_as_without_the_test_of_pieces(spark, monkeypatch, adapter, overlap, rate):
+    import random
+
+    draw = random.Random(5)
+    rows = []
+    for _ in range(400):
+        a = list(adapter)
+        for _ in range(draw.randrange(3)):
+            i = draw.randrange(len(a) + 1)
+            a[i : i + draw.randrange(2)] = draw.choice(["", "A", "C", "G", "T"])
+        text = "".join(draw.choice("ACGT") for _ in range(draw.randrange(20))) + "".join(a)[: draw.randrange(len(adapter) + 3)]
+        rows.append((text + ("ACGT" * 5)[: draw.choice([0, 0, 7])],))
+    df = spark.createDataFrame(rows, "seq string")
+    got = df.select("seq", adapters.adapter_start(F.col("seq"), adapter, overlap, rate).alias("at"))
+    assert "Contains(" in got._jdf.queryExecution().analyzed().toString() or "contains(" in got._jdf.queryExecution().analyzed().toString().lower()
+    found = list(map(tuple, got.collect()))
+    monkeypatch.setattr(adapters, "_any_in", lambda text, pieces: F.lit(True))
+    assert found == list(map(tuple, df.select("seq", adapters.adapter_start(F.col("seq"), adapter, overlap, rate)).collect()))
+    assert any(at is not None for _, at in found) and any(at is None for _, at in found)
