@@ -80,3 +80,40 @@ def test_trials(spark):
     modes = {r["param"]: r for r in trials.modes(trials.frequency(trials.long(best))).collect()}
     assert modes["p"]["value"] == "b" and modes["q"]["most_common_frequency"] == 1.0
     assert {r["class"] for r in trials.classes(trials.modes(trials.frequency(trials.long(best)))).collect()} == {"high", "constant"}
+
+
+def test_vectors_are_packed_before_they_move(spark):
+    rows = [("q1", "r", [(-1, "A"), (0, "0"), (1, "C"), (2, "?"), (3, "1")], None), ("q2", "r", [(2, "."), (3, "N"), (4, "*"), (5, "A"), (6, "G")], None), ("q3", "r", [(1, "T"), (4, "0"), (5, "")], None),
+            ("q4", "r", [], None), ("q5", "r", [(1, "A")], "low_mapq"), ("q6", "s", [(9, "A")], None), ("q7", "s", [(4, "xy"), (5, "A")], None)]
+    kind = "qname string, rname string, bits array<struct<pos:int,bit:string>>, reason string"
+    judged = spark.createDataFrame(rows, kind).withColumn("ref_length", F.lit(5)).withColumn("n_mut", F.lit(1))
+    want: dict = {}
+    for _, name, bits, reason in rows:
+        for pos, bit in bits if reason is None else []:
+            if 1 <= pos <= 5:
+                c = want.setdefault((name, pos), [0] * 9)
+                for i, x in enumerate((bit != "?", True, bit in tuple("ACGT"), bit == "1", False, *(bit == b for b in "ACGT"))):
+                    c[i] += x
+    for table in (histogram.positions(judged), histogram.of_positions(histogram.tallies(judged))):
+        assert {(r["rname"], r["pos"]): [r[c] for c in histogram.SUMS] for r in table.collect()} == want
+    tallied = histogram.tallies(judged)
+    assert sorted(map(tuple, histogram.of_reads(tallied).collect())) == sorted(map(tuple, histogram.of_reads(histogram.fragment_counts(judged)).collect())) == [("r", 5, 4, 1, 0, 0, 0), ("s", 2, 2, 0, 0, 0, 0)]
+    plan = histogram.positions(judged)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+
+
+def test_dense_positions_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(histogram, "BLOCK", 4)
+    refs = spark.createDataFrame([("a", "ACGTACGTAC"), ("b", "ACGT"), ("c", "")], "rname string, sequence string")
+    pos = spark.createDataFrame([("a", 1, 7), ("a", 9, 3), ("a", 11, 1), ("a", 0, 1), ("z", 1, 1)], "rname string, pos int, cov long")
+    pos = pos.select("*", *[F.lit(0).cast("long").alias(c) for c in histogram.SUMS if c != "cov"])
+    got = {(r["rname"], r["pos"]): (r["nuc"], r["cov"]) for r in histogram.dense_positions(pos, refs).collect()}
+    assert got == {("a", i + 1): (x, {0: 7, 8: 3}.get(i, 0)) for i, x in enumerate("ACGTACGTAC")} | {("b", i + 1): (x, 0) for i, x in enumerate("ACGT")}
+    assert {r["rname"]: [s["pos"] for s in r["series"]] for r in histogram.dense_series(pos, refs).collect()} == {"a": list(range(1, 11)), "b": [1, 2, 3, 4]}
+
+
+def test_structures_are_never_broadcast_by_position(spark):
+    shapes = spark.createDataFrame([("a", "A", ".")], "name string, sequence string, structure string")
+    dense = spark.createDataFrame([("a", 1, "A", 1, 0, 1)], "rname string, pos int, nuc string, mut long, del long, info long")
+    averaged = histogram.population_average(dense, shapes)
+    assert "BroadcastHashJoin" not in averaged._jdf.queryExecution().executedPlan().toString() and averaged.first()["structure"] == "."
