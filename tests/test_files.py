@@ -176,3 +176,24 @@ def test_many_references_have_their_header_once(spark, tmp_path, monkeypatch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_many_references_share_files_of_vectors(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FOLDERS", 3)
+    refs = spark.createDataFrame([(f"r{i}", REF[i:] + REF[:i]) for i in range(9)], "rname string, sequence string")
+    rows = [(f"q{i}", f"r{i % 9 if i < 60 else 0}", 1 + i % 5, 44, "12M", REF[:12], "I" * 12) for i in range(200)]
+    judged = filters.with_reason(vectors.single_fragments(spark.createDataFrame(rows, "qname string, rname string, pos int, mapq int, cigar string, seq string, qual string"), refs))
+    sinks.bit_vectors_text(judged, str(tmp_path / "text"), rows=50)
+    sinks.joined_bit_vectors(spark, [str(tmp_path / "text" / "*" / "*")], str(tmp_path / "joined"))
+    made = list((tmp_path / "text").glob("*/*/*.txt"))
+    assert len({p.parent.parent for p in made}) <= 4 and len({p.parent for p in made}) < 9
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = {r["qname"]: (r["rname"], r["sequence"], r["bits"]) for r in judged.collect()}
+    for size in ("500", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            for folder in ("text", "joined"):
+                got = files.bit_vector_text(spark, str(tmp_path / folder / "*" / "*")).collect()
+                assert len(got) == 200 and {r["qname"]: (r["rname"], r["sequence"], r["bits"]) for r in got} == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
