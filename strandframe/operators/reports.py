@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandframe.functions.columns import half_even
+from strandframe.session import stage
 
 
 def number(cell: Column) -> Column:
@@ -82,9 +83,35 @@ def differences(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float =
     for c in values:
         changed = changed | differ(c)
     kind = F.when(F.col("vb").isNull(), "only left").when(F.col("va").isNull(), "only right").when(changed, "values")
-    found = left.join(right, on, "full").select(kind.alias("difference")).filter("difference is not null").groupBy("difference").agg(F.count("*").alias("n"))
-    none = found.agg(F.count("*").alias("rows")).filter("rows = 0").select(F.lit("none").alias("difference"), F.lit(0).cast("long").alias("n"))
-    return found.union(none)
+    names = ("only left", "only right", "values")
+    counted = left.join(right, on, "full").agg(*[F.count_if(F.coalesce(kind == n, F.lit(False))).alias(n) for n in names])
+    found = F.filter(F.array(*[F.struct(F.lit(n).alias("difference"), F.col(n).alias("n")) for n in names]), lambda x: x["n"] > 0)
+    none = F.array(F.struct(F.lit("none").alias("difference"), F.lit(0).cast("long").alias("n")))
+    return counted.select(F.inline(F.when(F.size(found) > 0, found).otherwise(none)))
+
+
+#: Values of the last key whose rows move together, in block_differences().
+BLOCK = 1024
+
+
+def block_differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """differences() of two tables that have each key once, where the last key is a whole number with many neighbours (a
+    position in a reference).
+
+    Rows move as blocks of BLOCK values of the last key at most, so the other keys move once for each block; only rows of
+    blocks that aren't equal are compared by key.
+    """
+    *outer, last = keys
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        row = F.struct(last, *[c for c in a.columns if c not in keys])
+        return df.groupBy(*outer, F.floor(F.col(last) / BLOCK).alias("block")).agg(F.array_sort(F.collect_list(row)).alias(name))
+
+    left, right = blocks(a, "left"), blocks(b, "right").withColumnsRenamed({c: f"k_{c}" for c in (*outer, "block")})
+    on = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in (*outer, "block")]
+    met = left.join(right, on, "full").filter(~F.col("left").eqNullSafe(F.col("right")))
+    unlike = stage(met.select(*[F.when(F.col("left").isNull(), F.col(f"k_{c}")).otherwise(F.col(c)).alias(c) for c in outer], "left", "right"), "unlike-blocks")
+    return differences(*[unlike.select(*outer, F.inline(side)) for side in ("left", "right")], keys)
 
 
 def difference_rows(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float = 0.0) -> DataFrame:

@@ -68,6 +68,28 @@ def test_differences(spark):
     assert {r["difference"] for r in reports.differences(a.limit(2), b.limit(2), ["k"], 0.01).collect()} == {"none"}
 
 
+def test_differences_by_blocks(spark):
+    rows = [("a", i, i % 7) for i in range(1, 3000)] + [("b", 5, 1), ("c", 5, 1), (None, 5, 1)]
+    a = spark.createDataFrame(rows, "rname string, pos int, n long")
+    b = a.filter("not (rname = 'a' and pos in (7, 2900)) and rname <> 'b' or rname is null").withColumn("n", F.when(F.col("pos") == 1500, 99).otherwise(F.col("n")))
+    b = b.unionByName(spark.createDataFrame([("d", 1, 1), ("a", 9000, 1)], a.schema))
+    for left, right in ((a, b), (b, a), (a, a), (a.limit(0), b), (a.limit(0), a.limit(0))):
+        got, want = reports.block_differences(left, right, ["rname", "pos"]), reports.differences(left, right, ["rname", "pos"])
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert {tuple(r) for r in reports.block_differences(a, b, ["rname", "pos"]).collect()} == {("only left", 3), ("only right", 2), ("values", 1)}
+
+
+def test_whole_and_merged_counts_meet_as_blocks(spark, monkeypatch):
+    from strandframe.plans import catalogue
+
+    met = []
+    monkeypatch.setattr(reports, "block_differences", lambda a, b, keys: met.append((a, b, keys)) or a)
+    catalogue.impl_diff(spark, "/root/testdata/sf0.001")
+    (_, merged, keys), = met
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert keys == ["rname", "pos"] and "Exchange hashpartitioning(rname" in plan and ", pos" not in " ".join(x for x in plan.splitlines() if "Exchange" in x)
+
+
 def test_alignment_log(spark):
     text = "1000 reads; of these:\n  400 (40.00%) aligned 0 times\n  500 (50.00%) aligned exactly 1 time\n  100 (10.00%) aligned >1 times\n60.00% overall alignment rate"
     row = spark.createDataFrame([(text,)], "t string").select(reports.parse_alignment_log(F.col("t")).alias("x")).first()["x"]
