@@ -134,6 +134,17 @@ def test_dense_positions_of_blocks(spark, monkeypatch):
     assert {r["rname"]: [s["pos"] for s in r["series"]] for r in histogram.dense_series(pos, refs).collect()} == {"a": list(range(1, 11)), "b": [1, 2, 3, 4]}
 
 
+def test_only_the_sums_asked_for_move(spark):
+    refs = spark.createDataFrame([("a", "ACGT"), ("b", "GG")], "rname string, sequence string")
+    pos = spark.createDataFrame([("a", 1, 7, 2), ("a", 3, 5, 4)], "rname string, pos int, mut long, cov long")
+    pos = pos.select("*", *[F.lit(0).cast("long").alias(c) for c in histogram.SUMS if c not in ("mut", "cov")])
+    few = histogram.dense_positions(pos, refs, ("mut",))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, histogram.dense_positions(pos, refs).select("rname", "pos", "nuc", "mut").collect()))
+    out = histogram.summary(refs, pos, spark.createDataFrame([], "rname string, n_mut int, reads long"), spark.createDataFrame([], "rname string, num_reads long, num_aligned long"))
+    lists = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "collect_list" in x]
+    assert lists and not any("cov" in x for x in lists)
+
+
 def test_structures_are_never_broadcast_by_position(spark):
     shapes = spark.createDataFrame([("a", "A", ".")], "name string, sequence string, structure string")
     dense = spark.createDataFrame([("a", 1, "A", 1, 0, 1)], "rname string, pos int, nuc string, mut long, del long, info long")
