@@ -18,7 +18,7 @@ def count_stream(reads: DataFrame, refs: DataFrame, folder: str, checkpoint: str
     """Write each micro-batch's tallies below folder; reads: a streaming DataFrame of aligned reads."""
 
     def count(batch: DataFrame, number: int) -> None:
-        judged = filters.with_reason(vectors.single_fragments(batch, refs, config), config)
+        judged = filters.with_reason(vectors.single_fragments(batch, refs, config, lazy=True), config)
         histogram.tallies(judged).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     writer = reads.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)

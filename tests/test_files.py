@@ -197,3 +197,23 @@ def test_many_references_share_files_of_vectors(spark, tmp_path, monkeypatch):
                 assert len(got) == 200 and {r["qname"]: (r["rname"], r["sequence"], r["bits"]) for r in got} == want
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_stream_of_many_files_has_few_batches(spark, monkeypatch):
+    from strandframe.plans import catalogue, synth
+    from strandframe.streaming import merge
+
+    folders = []
+    monkeypatch.setattr(catalogue, "BATCHES", 2)
+    monkeypatch.setattr(merge, "merged", lambda _, folder: folders.append(folder))
+    gathered = synth.reads(spark, "/root/testdata/sf0.001", gathered=True)
+    assert gathered.select("rname", F.spark_partition_id()).distinct().count() == gathered.select("rname").distinct().count()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(before, ("12", "false")):
+            spark.conf.set(k, v)
+        catalogue._streamed(spark, "/root/testdata/sf0.001")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert spark.read.parquet(folders[0]).select("batch").distinct().count() == 2
