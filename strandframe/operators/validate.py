@@ -26,9 +26,9 @@ def fasta_warnings(spark: SparkSession, path: str, most: int = 1000) -> list[str
     return [f"{n} sequences, which is more than {most}"] if n > most else []
 
 
-def fastq_violations(spark: SparkSession, path: str) -> DataFrame:
-    """(file, number, message) of the records of FASTQ files."""
-    reads = files.fastq_records(spark, path)
+def fastq_violations(spark: SparkSession, path: str, by_folder: bool = False) -> DataFrame:
+    """(file, number, message) of the records of FASTQ files; by_folder: of those of folders whose files are pieces of one."""
+    reads = files.fastq_records(spark, path, by_folder)
     message = F.when(~F.coalesce(F.col("head").startswith("@"), F.lit(False)), "a record must start with @").when(F.col("qual").isNull(), "record is cut off").when(~F.col("plus").startswith("+"), "the third line of a record must start with +").when(F.length("seq") != F.length("qual"), "sequence and qualities differ in length")
     return reads.select("file", "number", message.alias("message")).filter("message is not null")
 

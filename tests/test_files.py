@@ -217,3 +217,25 @@ def test_a_stream_of_many_files_has_few_batches(spark, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert spark.read.parquet(folders[0]).select("batch").distinct().count() == 2
+
+
+def test_files_of_a_folder_are_one(spark, tmp_path):
+    reads = spark.range(40).select((F.col("id") % 2).alias("part"), "id", F.concat(F.when(F.col("id").isin(33, 35, 6), "#").otherwise("@"), F.col("id").cast("string"), F.lit("\nAC\n+\nII")).alias("value"))
+    reads.repartitionByRange(5, "part", "id").sortWithinPartitions("part", "id").select("value", "part").write.partitionBy("part").text(str(tmp_path / "fastq"))
+    for conf in ("128m", "24"):  # records lie across splits
+        spark.conf.set("spark.sql.files.maxPartitionBytes", conf)
+        found = validate.fastq_violations(spark, str(tmp_path / "fastq" / "*"), by_folder=True)
+        assert sorted((r["file"][-1], r["number"]) for r in found.collect()) == [("0", 3), ("1", 16), ("1", 17)]
+        assert [(r["file"][-1], r["number"]) for r in validate.first_violations(found, "file").orderBy("file").collect()] == [("0", 3), ("1", 16)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+
+
+def test_first_violations_reads_pieces(spark):
+    from strandframe.plans import results
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = results.first_violations(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks.inputFiles()) > results.PARTS
