@@ -239,3 +239,18 @@ def test_first_violations_reads_pieces(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(tasks.inputFiles()) > results.PARTS
+
+
+def test_json_vectors_are_parsed_once_and_arrays_not_counted(spark, tmp_path):
+    lines = ['["r", 40, 0, 4, 0, {"2": "A", "10": "C"}, {"3": "1"}, {}]', '["s", null, 1, 2, 3, {}, {}, {"1": "?"}]', "{ broken", "[]", '["t", 1]']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(tmp_path / "lines"))
+    got = [(r["rname"], r["mapqs"], r["lengths"], [tuple(b) for b in r["bits"]]) for r in files.bit_vectors_json(spark, str(tmp_path / "lines")).collect()]
+    none = [None, None]
+    assert got == [("r", [40, 0], [4, 0], [(2, "A"), (3, "1"), (10, "C")]), ("s", [None, 1], [2, 3], [(1, "?")]), (None, none, none, []), (None, none, none, []), ("t", [1, None], none, [])]
+    plan = files.bit_vectors_json(spark, str(tmp_path / "lines"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "jsontostructs" not in plan.lower()
+    kind = "qname string, rname string, mapqs array<int>, lengths array<int>, bits array<struct<pos:int,bit:string>>, reason string"
+    judged = spark.createDataFrame([(f"q{i}", "r", [40], [2], [(1, "A")], None) for i in range(25)], kind).coalesce(1)
+    sinks.bit_vectors_json_array(judged, str(tmp_path / "array"), 10)
+    assert sorted(len(json.loads(r["value"])) for r in spark.read.text(str(tmp_path / "array"), wholetext=True).collect()) == [5, 10, 10]
+    assert files.bit_vectors_json_array(spark, str(tmp_path / "array")).filter("rname = 'r' and bits[0].bit = 'A'").count() == 25
