@@ -2,11 +2,12 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from strandframe.operators import chunks, merge, reports, reuse, vectors
+from strandframe.operators import chunks, histogram, merge, reports, reuse, vectors
 from strandframe.sinks import files as sinks
 from strandframe.sources import files
 from strandframe.streaming import mates
@@ -115,6 +116,33 @@ def test_merge_of_other_names_short_arrays_and_nothing(spark, tmp_path):
         assert spark.read.text(str(tmp_path / f"empty{len(paths)}")).count() == 0
 
 
+def test_merge_moves_records_by_reference(spark, tmp_path, monkeypatch):
+    """Rows of positions aren't shuffled, only the arrays that they come from, and by reference alone."""
+    plans, staged = [], merge.stage
+    monkeypatch.setattr(merge, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, name))
+    for strict in (False, True):
+        merge.merge_files(spark, written(tmp_path, [record(), record("only", "AC")], [record()]), strict=strict)
+    sums = [[x for x in p.splitlines() if "Exchange" in x] for p in plans[1::2]]
+    assert len(sums) == 2 and all(len(x) == 1 and re.search(r"hashpartitioning\(rname#\d+, \d+\)", x[0]) for x in sums)
+
+
+def test_gathered_counts_are_written_alike(spark, tmp_path):
+    """One row for each reference gives the files that tables of positions, mutations and reads give; a reference without
+    reads and one of many positions, in pieces, among them."""
+    refs = spark.createDataFrame([("a", "ACGT" * 3), ("long", "ACGTA" * 500), ("none", "ACG"), ("empty", "")], "rname string, sequence string")
+    rows = [("a", p, None, None, *range(9), 0) for p in (0, 1, 5, 12, 13)] + [("long", p, None, None, *[p] * 9, 0) for p in range(1, 2501, 7)] + [("a", None, 2, None, *[0] * 9, 5), ("a", None, 0, "low_mapq", *[0] * 9, 3)]
+    tallied = spark.createDataFrame(rows, f"rname string, pos int, n_mut int, reason string, {', '.join(f'{c} long' for c in histogram.SUMS)}, reads long")
+    sinks.histogram_json(refs, histogram.of_positions(tallied), histogram.of_mutations(tallied), histogram.of_reads(tallied), str(tmp_path / "tables"))
+    sinks.gathered_histogram_json(refs, histogram.gathered(tallied), str(tmp_path / "gathered"))
+    tables, gathered = (sorted(r["value"] for r in spark.read.text(str(tmp_path / n)).collect()) for n in ("tables", "gathered"))
+    assert tables == gathered and len(tables) == 3
+    a = json.loads(next(x for x in tables if '"name":"a"' in x))
+    assert a["cov_bases"] == [0] * 13 and a["info_bases"] == [0, 1, 0, 0, 0, 1, 0, 0, 0, 0, 0, 0, 1] and a["mod_bases"]["T"][12] == 8 and a["num_of_mutations"] == [0, 0, 5] + [0] * 10
+    assert (a["num_reads"], a["num_aligned"], a["skips"]["low_mapq"]) == (8, 5, 3)
+    long = json.loads(next(x for x in tables if '"name":"long"' in x))
+    assert len(long["T_bases"] if "T_bases" in long else long["mod_bases"]["T"]) == 2501 and long["mut_bases"][8] == 8 and sum(long["mut_bases"]) == sum(range(1, 2501, 7))
+
+
 def test_differences_of_each_kind(spark):
     a = spark.createDataFrame([(1, 1.0, "x"), (2, 2.0, "x"), (3, None, "x"), (None, 4.0, None)], "k int, v double, s string")
     b = spark.createDataFrame([(1, 1.009, "x"), (2, 2.2, "y"), (4, 1.0, "z"), (None, 4.0, None)], "k int, v double, s string")
