@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandframe.operators.vectors import is_primary
 
-_STATE = "names array<string>, r1 array<string>, r2 array<string>, n1 array<int>, n2 array<int>, last array<bigint>"
+_STATE = "waiting binary"
 
 
 def wait_on_disk(spark: SparkSession, memory_mb: int = 500) -> None:
@@ -34,20 +36,22 @@ def fragments_of_stream(stream: DataFrame, wait_seconds: int, time_col: str = "s
     names whose lines are that near to each other come out as from the batch operator. A row without a name only moves the
     time on: the last row of a stream that ends should be one.
 
-    What is kept is the names not yet settled, two lines each, in ``buckets`` by a hash of the name: a call for each bucket
-    instead of each name. A bucket's names are written anew when one comes, so there should be so many buckets that a few
-    hundred names wait in each.
+    What is kept is the names not yet settled, two lines each, in ``buckets`` by a hash of the name, compressed: a call for
+    each bucket instead of each name. A bucket's names are written anew when one comes, so there should be so many buckets
+    that a few hundred names wait in each. All columns of the stream move and wait, so it should have those alone that are
+    needed.
     """
     columns = [c for c in stream.columns if c not in (mate_col, time_col)]
-    kind = T.StructType([stream.schema[c] for c in columns])
-    read = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    short = {c: f"c{i}" for i, c in enumerate(columns) if c != "qname"}  # the name moves beside them
+    kind = T.StructType([T.StructField(n, stream.schema[c].dataType) for c, n in short.items()])
+    read = F.to_json(F.struct(*[F.col(c).alias(n) for c, n in short.items()])) if short else F.lit("{}")
     lines = stream.filter(F.col("qname").isNull() | is_primary(stream)).withWatermark(time_col, f"{wait_seconds} seconds")
     lines = lines.select(F.pmod(F.xxhash64("qname"), F.lit(buckets)).alias("bucket"), "qname", F.col(mate_col).cast("int").alias("m"), F.col(time_col), read.alias("read"))
 
     def settle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting: dict[str, list] = {}
         if state.exists:
-            waiting = {name: list(own) for name, *own in zip(*state.get, strict=True)}
+            waiting = json.loads(zlib.decompress(state.get[0]))
         for batch in batches:
             times = batch[time_col].astype("datetime64[ms]").astype("int64")
             for name, m, seen, line in zip(batch["qname"], batch["m"], times, batch["read"], strict=True):
@@ -62,7 +66,7 @@ def fragments_of_stream(stream: DataFrame, wait_seconds: int, time_col: str = "s
         for name, *_ in done:
             del waiting[name]
         if waiting:
-            state.update((list(waiting), *(list(c) for c in zip(*waiting.values(), strict=True))))
+            state.update((zlib.compress(json.dumps(waiting, separators=(",", ":")).encode(), 1),))
             state.setTimeoutTimestamp(max(min(own[4] for own in waiting.values()), now + 1))
         elif state.exists:
             state.remove()
@@ -70,4 +74,6 @@ def fragments_of_stream(stream: DataFrame, wait_seconds: int, time_col: str = "s
             yield pd.DataFrame(done, columns=["qname", "j1", "j2", "n1", "n2"])
 
     out = lines.groupBy("bucket").applyInPandasWithState(settle, "qname string, j1 string, j2 string, n1 long, n2 long", _STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    return out.select("qname", *[F.from_json(f"j{m}", kind).alias(f"r{m}") for m in (1, 2)], "n1", "n2")
+    parsed = out.select("*", *[F.from_json(f"j{m}", kind).alias(f"p{m}") for m in (1, 2)])
+    whole = [F.when(F.col(f"j{m}").isNotNull(), F.struct(*[F.col(f"p{m}.{short[c]}").alias(c) if c in short else F.col(c) for c in columns])).alias(f"r{m}") for m in (1, 2)]
+    return parsed.select("qname", *whole, "n1", "n2")

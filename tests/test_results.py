@@ -240,3 +240,30 @@ def test_what_a_stream_waits_for_can_be_on_disk(spark, tmp_path):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert vectors.pairs_of(spark.read.schema(found.schema).parquet(str(tmp_path / "out"))).count() == 1
     assert list(tmp_path.glob("state/state/**/*.changelog")) or list(tmp_path.glob("state/state/**/*.zip"))
+
+
+def test_streamed_mates_wait_with_what_tells_pairs(spark, tmp_path, monkeypatch):
+    """Files, state and results of stream_pairs are small beside the reads that they are of."""
+    from strandframe.plans import results
+
+    monkeypatch.setattr(results, "shared_dir", lambda *a: str(tmp_path / "mates"))
+    monkeypatch.setattr(results.mates, "wait_on_disk", lambda spark: None)
+    assert results.stream_pairs(spark, "/root/testdata/sf0.001").groupBy("kind").count().count() == 2
+    n = spark.read.parquet(str(tmp_path / "mates" / "in")).filter("qname is not null").count()
+    size = {k: sum(p.stat().st_size for p in (tmp_path / "mates" / k).rglob(f"*.{end}")) / n for k, end in (("in", "parquet"), ("out", "parquet"), ("state", "delta"))}
+    assert n > 10_000 and 0 < size["in"] < 30 and 0 < size["out"] < 40 and 0 < size["state"] < 60, size
+
+
+def test_reads_of_a_stream_keep_their_columns(spark, tmp_path):
+    """Nested columns, nulls and odd letters come out of the state as they went in."""
+    kind = "qname string, mate int, seen timestamp, flag string, n long, x struct<a:int,b:array<string>>"
+    rows = [("a", 1, 0, "65", 1, (1, ["é", None])), ('b"', 1, 1, "65", None, None), ("a", 2, 2, "129", 1 << 60, (None, [])), (None, None, 9000, None, None, None)]
+    for k, r in enumerate(rows):
+        df = spark.createDataFrame([(*r[:2], None, *r[3:])], kind).withColumn("seen", F.timestamp_seconds(F.lit(r[2] + 1_000_000)))
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    found = mates.fragments_of_stream(stream, 60)
+    found.writeStream.format("memory").queryName("kept_columns").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    got = {r["qname"]: r for r in spark.table("kept_columns").collect()}
+    assert tuple(got["a"]["r1"]) == ("a", "65", 1, (1, ["é", None])) and tuple(got["a"]["r2"]) == ("a", "129", 1 << 60, (None, []))
+    assert tuple(got['b"']["r1"]) == ('b"', "65", None, None) and got['b"']["r2"] is None and (got['b"']["n1"], got['b"']["n2"]) == (1, 0)
